@@ -43,21 +43,22 @@ def sample_fixed_n(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) ->
     are kept by a plain filter and only that one bucket is ranked.
     """
     parts = [F.lit(str(seed)), *[F.col(k).cast("string") for k in key]]
-    marked = df.withColumn("_h", F.md5(F.concat_ws(":", *parts))).withColumn("_b", F.substring("_h", 1, 5))
+    marked = df.withColumn("_h", F.md5(F.concat_ws(":", *parts))).withColumn(
+        "_b", F.conv(F.substring("_h", 1, 5), 16, 10).cast("int")
+    )
     counts = marked.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
     cut = (
         counts.withColumn("_before", F.coalesce(before, F.lit(0)))
         .where(F.col("_before") < n)
-        .agg(F.max(F.struct("_b", "_before")).alias("c"))
+        .agg(F.struct(F.max("_b").alias("bucket"), F.max("_before").alias("taken")).alias("c"))
+        .scalar()
     )
-    bucket, taken = cut.select("c._b").scalar(), cut.select("c._before").scalar()
-    whole = marked.where(F.col("_b") < bucket)
-    order = Window.orderBy("_h", *key)
+    whole = marked.where(F.col("_b") < cut["bucket"])
     part = (
-        marked.where(F.col("_b") == bucket)
-        .withColumn("_r", F.row_number().over(order))
-        .where(F.col("_r") <= F.lit(n) - taken)
+        marked.where(F.col("_b") == cut["bucket"])
+        .withColumn("_r", F.row_number().over(Window.orderBy("_h", *key)))
+        .where(F.col("_r") <= F.lit(n) - cut["taken"])
         .drop("_r")
     )
     return whole.unionByName(part).drop("_h", "_b")

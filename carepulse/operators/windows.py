@@ -15,17 +15,28 @@ from pyspark.sql import functions as F
 from ..functions.measures import median_disc
 
 
-def with_partition_median(df: DataFrame, c: str, parts: Sequence[str], out: str) -> DataFrame:
+def partition_medians(df: DataFrame, c: str, parts: Sequence[str], out: str) -> DataFrame:
+    """Lower median of ``c`` per partition, one row each."""
+    return df.groupBy(*parts).agg(median_disc(c).alias(out))
+
+
+def with_partition_median(df: DataFrame, c: str, parts: Sequence[str], out: str,
+                          medians: DataFrame | None = None) -> DataFrame:
     """Attach the lower median of ``c`` within each partition; every row is kept.
 
     Written as aggregate and join instead of a window: a window would sort all
     rows of a hot partition in one task, while the aggregate combines map-side
     and the join back can be broadcast or split. NULL keys form a group.
+
+    Give ``medians`` (:func:`partition_medians`, stored as a table) on large
+    data: the planner then knows their size beforehand and, if they are small
+    enough to broadcast, does not shuffle ``df`` at all.
     """
+    small = partition_medians(df, c, parts, out) if medians is None else medians
     keys = [f"_k{i}" for i in range(len(parts))]
-    medians = df.groupBy(*[F.col(p).alias(k) for p, k in zip(parts, keys)]).agg(median_disc(c).alias(out))
-    same = reduce(lambda a, b: a & b, [df[p].eqNullSafe(medians[k]) for p, k in zip(parts, keys)])
-    return df.join(medians, same, "left").drop(*keys)
+    right = small.select(*[F.col(p).alias(k) for p, k in zip(parts, keys)], out)
+    same = reduce(lambda a, b: a & b, [df[p].eqNullSafe(right[k]) for p, k in zip(parts, keys)])
+    return df.join(right, same, "left").drop(*keys)
 
 
 def running_sum(df: DataFrame, c: str, parts: Sequence[str], order: Sequence[str], out: str) -> DataFrame:

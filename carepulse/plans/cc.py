@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import classify, enum_ci, enum_ci_keep_unknown, enum_ci_self, enum_exact, flag, null_default
-from ..functions.measures import any_flag, count_if, rate, ratio, sum_if
+from ..functions.measures import count_if, rate, ratio, sum_if
 from ..functions.temporal import in_trailing_days, week_start
 from ..operators.aggregates import roll_up
 from ..operators.joining import densify, exists_in, left_enrich
@@ -219,25 +219,35 @@ def risk_score(w: RiskWeights, has_glucose: Column, has_bp: Column, missing_rate
 def patient_day_features(readings: DataFrame, notes: DataFrame) -> DataFrame:
     """One row per patient and day that has any reading or note; what is absent counts as 0.
 
-    Both inputs are reduced to patient-days map-side before they are joined.
+    Readings and notes are stacked and grouped once: one shuffle of patient-days
+    that were already combined map-side, instead of two and a full join. The
+    missing rate averages readings only, since note rows are NULL there.
     """
-    key = ["patient_id", "date"]
     device, valid = F.col("device_type"), F.col("valid_flag")
-    from_readings = readings.groupBy(*key).agg(
-        any_flag((device == "glucose") & valid).alias("has_valid_glucose"),
-        any_flag((device == "bp") & valid).alias("has_valid_bp"),
-        rate((device == "bp") & F.col("bp_missing_diastolic")).alias("bp_diastolic_missing_rate"),
-    )
-    from_notes = notes.groupBy(*key).agg(
-        any_flag(F.col("diet_non_adherence_flag")).alias("any_diet_non_adherence"),
-        any_flag(F.col("med_adherence_flag")).alias("any_med_adherence_issue"),
+
+    def bit(p: Column) -> Column:
+        return F.when(p, 1).otherwise(0)
+
+    none = F.lit(None)
+    stacked = readings.select(
+        "patient_id", "date",
+        bit((device == "glucose") & valid).alias("glucose"),
+        bit((device == "bp") & valid).alias("bp"),
+        bit((device == "bp") & F.col("bp_missing_diastolic")).cast("double").alias("missing"),
+        F.lit(0).alias("diet"), F.lit(0).alias("med"),
+    ).unionByName(notes.select(
+        "patient_id", "date",
+        F.lit(0).alias("glucose"), F.lit(0).alias("bp"), none.cast("double").alias("missing"),
+        bit(F.col("diet_non_adherence_flag")).alias("diet"),
+        bit(F.col("med_adherence_flag")).alias("med"),
+    ))
+    return stacked.groupBy("patient_id", "date").agg(
+        F.max("glucose").alias("has_valid_glucose"),
+        F.max("bp").alias("has_valid_bp"),
+        F.coalesce(F.avg("missing"), F.lit(0.0)).alias("bp_diastolic_missing_rate"),
+        F.max("diet").alias("any_diet_non_adherence"),
+        F.max("med").alias("any_med_adherence_issue"),
     )
-    features = {
-        "has_valid_glucose": 0, "has_valid_bp": 0, "bp_diastolic_missing_rate": 0.0,
-        "any_diet_non_adherence": 0, "any_med_adherence_issue": 0,
-    }
-    both = from_readings.join(from_notes, key, "full")
-    return both.select(*key, *[F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in features.items()])
 
 
 def gold_patient_risk_daily(calendar: DataFrame, patients: DataFrame, readings: DataFrame, notes: DataFrame,
@@ -375,9 +385,15 @@ def counter_valid_readings_7d(readings: DataFrame, calendar: DataFrame, days: in
 
 
 def counter_high_risk_avg_7d(risk: DataFrame, days: int = 7) -> DataFrame:
-    """Mean daily score of the high tier over the trailing days of the risk table itself."""
-    recent = risk.where((F.col("risk_tier") == "high") & in_trailing_days("date", last_date(risk), days))
-    return recent.agg(F.avg("avg_risk_score").alias("avg_daily_risk_high_last7"))
+    """Mean daily score of the high tier over the trailing days of the risk table itself.
+
+    The table is read once: it is reduced to one row per day before its last day is looked up.
+    """
+    score = F.when(F.col("risk_tier") == "high", F.col("avg_risk_score"))
+    per_day = risk.groupBy("date").agg(F.sum(score).alias("total"), F.count(score).alias("n"))
+    last = F.max("date").over(Window.partitionBy(F.lit(0)))
+    recent = per_day.withColumn("last", last).where(in_trailing_days("date", F.col("last"), days))
+    return recent.agg(ratio(F.sum("total"), F.sum("n")).alias("avg_daily_risk_high_last7"))
 
 
 def counter_actions_executed_14d(actions: DataFrame, calendar: DataFrame, days: int = 14) -> DataFrame:

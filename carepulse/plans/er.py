@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import bucket_in, enum_ci, enum_exact, flag, null_default, value_if
@@ -12,8 +12,7 @@ from ..functions.measures import count_if, median_disc, rate, ratio
 from ..functions.temporal import decode_time, duration_minutes, is_weekend, month_start, week_start
 from ..operators.joining import densify, left_enrich
 from ..operators.sets import union_distinct
-from ..operators.spine import date_spine_of, hour_spine, scaffold
-from ..operators.windows import running_sum, with_partition_median
+from ..operators.windows import partition_medians, running_sum, with_partition_median
 
 # The sites of each region, and the enum members of the raw feeds.
 SITE_REGIONS: Mapping[str, Sequence[str]] = {
@@ -128,11 +127,19 @@ def clean_patient_flow(raw: DataFrame, regions: Mapping[str, Sequence[str]] = SI
     )
 
 
-def silver_patient_flow(raw: DataFrame, regions: Mapping[str, Sequence[str]] = SITE_REGIONS) -> DataFrame:
+FLOW_HOUR = ["site", "date", "hour_of_day"]
+FLOW_MEDIAN = "queue_length_median_15min"
+
+
+def flow_hour_medians(raw: DataFrame, regions: Mapping[str, Sequence[str]] = SITE_REGIONS) -> DataFrame:
+    """Median queue length per site, date and hour; a small table worth storing first."""
+    return partition_medians(clean_patient_flow(raw, regions), "queue_length", FLOW_HOUR, FLOW_MEDIAN)
+
+
+def silver_patient_flow(raw: DataFrame, regions: Mapping[str, Sequence[str]] = SITE_REGIONS,
+                        medians: DataFrame | None = None) -> DataFrame:
     """Telemetry rows with the median queue length of their site, date and hour."""
-    smoothed = with_partition_median(
-        clean_patient_flow(raw, regions), "queue_length", ["site", "date", "hour_of_day"], "queue_length_median_15min"
-    )
+    smoothed = with_partition_median(clean_patient_flow(raw, regions), "queue_length", FLOW_HOUR, FLOW_MEDIAN, medians)
     event = "event_time_utc"
     return smoothed.select(
         "flow_id", "site", "unit", event, "date", "hour_of_day", "triage_wait_minutes", "door_to_provider_minutes",
@@ -191,10 +198,19 @@ def silver_readmission_risk(raw: DataFrame, visits: DataFrame) -> DataFrame:
 
 
 def er_hour_scaffold(visits: DataFrame) -> DataFrame:
-    """Every site, day and hour between the first and last arrival date."""
-    days = date_spine_of(visits, "arrival_date").select("date")
-    grid = scaffold(visits.select("site").distinct(), {"date": days, "hour_of_day": hour_spine(visits.sparkSession)})
-    return grid.select("site", F.lit("ER").alias("unit"), "date", "hour_of_day", is_weekend("date").alias("is_weekend"))
+    """Every site, day and hour between the first and last arrival date of all sites.
+
+    One scan gives the sites and the bounds: at most one row per listed site is
+    left when the window takes the overall bounds.
+    """
+    sites = visits.groupBy("site").agg(F.min("arrival_date").alias("_lo"), F.max("arrival_date").alias("_hi"))
+    everywhere = Window.partitionBy(F.lit(0))
+    days = F.sequence(F.min("_lo").over(everywhere), F.max("_hi").over(everywhere), F.expr("INTERVAL 1 DAY"))
+    grid = sites.select("site", days.alias("_days")).select("site", F.explode("_days").alias("date"))
+    hours = F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour_of_day")
+    return grid.select("site", "date", hours).select(
+        "site", F.lit("ER").alias("unit"), "date", "hour_of_day", is_weekend("date").alias("is_weekend")
+    )
 
 
 def gold_er_operational_hourly(visits: DataFrame, flow: DataFrame, shifts: DataFrame,

@@ -33,8 +33,10 @@ def er_steps() -> dict[str, Step]:
         "silver_hr_shifts": Step(
             lambda t: er.silver_hr_shifts(t["raw_hr_shifts"]),
             "Shifts with attendance, sick-leave flag and effective hours.", ("shift_date",)),
+        "silver_flow_hour_medians": Step(
+            lambda t: er.flow_hour_medians(t["raw_patient_flow"]), "Median queue length per site and hour."),
         "silver_patient_flow": Step(
-            lambda t: er.silver_patient_flow(t["raw_patient_flow"]),
+            lambda t: er.silver_patient_flow(t["raw_patient_flow"], medians=t["silver_flow_hour_medians"]),
             "Flow telemetry with the median queue length of its hour.", ("date",)),
         "silver_surveys": Step(
             lambda t: er.silver_surveys(t["raw_surveys"], t["silver_er_visits"]),

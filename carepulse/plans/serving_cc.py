@@ -116,17 +116,19 @@ def latest_risk(patients: DataFrame, risk: DataFrame, fallback: float = 68.0) ->
     fixed fallback score and labels.
     """
     group = ["risk_tier", "condition", "region"]
-    newest = risk.groupBy(*group).agg(F.max(F.struct("date", "avg_risk_score")).alias("_last"))
+    newest = risk.groupBy(*group).agg(
+        F.max_by("avg_risk_score", "date").alias("score"), F.max("date").alias("score_date")
+    )
     joined = patients.select("patient_id", *group).join(newest, group, "left")
-    missing, tier = F.col("_last").isNull(), F.col("risk_tier")
+    missing, tier = F.col("score_date").isNull(), F.col("risk_tier")
 
     def label(high: str, medium: str, low: str) -> Column:
         return F.when(missing | (tier == "high"), high).when(tier == "medium", medium).otherwise(low)
 
     return joined.select(
         "patient_id", *group,
-        F.coalesce(F.col("_last.avg_risk_score"), F.lit(fallback)).alias("overall"),
-        F.col("_last.date").alias("score_date"),
+        F.coalesce(F.col("score"), F.lit(fallback)).alias("overall"),
+        "score_date",
         label("Medium-High", "Medium", "Low").alias("hospitalization"),
         label("Medium", "Low-Medium", "Low").alias("deterioration"),
     )

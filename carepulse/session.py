@@ -10,13 +10,16 @@ from pyspark.sql import SparkSession
 #: Settings the plans rely on. AQE coalesces small shuffles, turns a join whose
 #: side proved small into a broadcast, and splits a shuffle partition that holds
 #: far more than its share (a hot key) over several tasks, also where that costs
-#: one more shuffle further up.
+#: one more shuffle further up. Medians keep a sketch per group and task; the
+#: default of 128 groups before a task falls back to sorting all its rows is too
+#: low for site-hours, and the sketches never hold more than the task's own rows.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
 }
 
 
