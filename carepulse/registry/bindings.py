@@ -8,7 +8,7 @@ Measures are multiples of 1/4 or 1/512, so sums come out the same in any order.
 
 from __future__ import annotations
 
-_K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
+_EVENTS = "(SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM {events}) e"
 
 _SITE = """CASE {n} % 8 WHEN 0 THEN 'Lakeview Central' WHEN 1 THEN ' Lakeview East' WHEN 2 THEN 'North Ridge '
     WHEN 3 THEN 'South Point' WHEN 4 THEN 'Pine Valley' WHEN 5 THEN ' Riverbend ' WHEN 6 THEN 'riverbend' END"""
@@ -22,20 +22,20 @@ BINDINGS: dict[str, str] = {
     "raw_er_visits": f"""
 SELECT ' V-' || CAST(event_id AS STRING) || ' ' AS visit_id,
   'P-' || CAST(user_id AS STRING) AS patient_id,
-  {_SITE.format(n=_K)} AS site,
+  {_SITE.format(n='k')} AS site,
   {_UNIT.format(n='user_id')} AS unit,
   ts AS arrival_time,
   CAST(hour(ts) AS INT) AS arrival_hour,
-  1 + {_K} % 5 AS acuity_level,
-  CASE {_K} % 7 WHEN 0 THEN 'Cardiac' WHEN 1 THEN 'GI' WHEN 2 THEN 'Neuro' WHEN 3 THEN 'Injury'
+  1 + k % 5 AS acuity_level,
+  CASE k % 7 WHEN 0 THEN 'Cardiac' WHEN 1 THEN 'GI' WHEN 2 THEN 'Neuro' WHEN 3 THEN 'Injury'
     WHEN 4 THEN 'Respiratory' WHEN 5 THEN 'Other' END AS diagnosis_group,
-  CASE WHEN {_K} % 11 = 0 THEN NULL ELSE ts + INTERVAL '1' SECOND * CAST(60 + floor(value * 30) AS INT) END AS discharge_time,
-  CASE WHEN {_K} % 11 = 0 THEN ' lwbs' WHEN event_type = 'click' THEN 'Discharged' WHEN event_type = 'view' THEN 'ADMITTED '
+  CASE WHEN k % 11 = 0 THEN NULL ELSE ts + INTERVAL '1' SECOND * CAST(60 + floor(value * 30) AS INT) END AS discharge_time,
+  CASE WHEN k % 11 = 0 THEN ' lwbs' WHEN event_type = 'click' THEN 'Discharged' WHEN event_type = 'view' THEN 'ADMITTED '
     WHEN event_type = 'signup' THEN 'transferred' WHEN event_type = 'error' THEN 'unclear' END AS discharge_disposition,
-  CASE WHEN {_K} % 11 = 0 THEN 'NaT' ELSE CAST(ts + INTERVAL '1' SECOND * CAST(floor(value * 12) AS INT) AS STRING) END AS provider_start_time,
-  CASE WHEN {_K} % 13 = 0 THEN TRUE WHEN {_K} % 13 = 1 THEN NULL ELSE FALSE END AS readmission_30d_flag,
+  CASE WHEN k % 11 = 0 THEN 'NaT' ELSE CAST(ts + INTERVAL '1' SECOND * CAST(floor(value * 12) AS INT) AS STRING) END AS provider_start_time,
+  CASE WHEN k % 13 = 0 THEN TRUE WHEN k % 13 = 1 THEN NULL ELSE FALSE END AS readmission_30d_flag,
   floor(value * 4) / 4 AS cost_per_visit_usd
-FROM {{events}}""",
+FROM {_EVENTS}""",
     "raw_hr_shifts": f"""
 SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || ' ' AS shift_id,
   ' S-' || CAST(l_suppkey AS STRING) AS staff_id,
@@ -53,36 +53,36 @@ SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || ' '
 FROM {{lineitem}}""",
     "raw_patient_flow": f"""
 SELECT 'F-' || CAST(event_id AS STRING) || '  ' AS flow_id,
-  {_SITE.format(n=_K)} AS site,
+  {_SITE.format(n='k')} AS site,
   {_UNIT.format(n='user_id')} AS unit,
   ts AS event_time,
   CAST(hour(ts) AS INT) AS hour_of_day,
   floor(value) / 4 AS door_to_triage_minutes,
-  CASE WHEN {_K} % 17 = 0 THEN NULL ELSE floor(value * 4) / 4 END AS door_to_provider_minutes,
-  1 + {_K} % 5 AS triage_level,
+  CASE WHEN k % 17 = 0 THEN NULL ELSE floor(value * 4) / 4 END AS door_to_provider_minutes,
+  1 + k % 5 AS triage_level,
   CAST(user_id % 17 AS INT) AS queue_length,
-  CASE {_K} WHEN 99 THEN 'DELAYED' WHEN 98 THEN NULL ELSE 'OK' END AS telemetry_status
-FROM {{events}}""",
+  CASE k WHEN 99 THEN 'DELAYED' WHEN 98 THEN NULL ELSE 'OK' END AS telemetry_status
+FROM {_EVENTS}""",
     "raw_surveys": f"""
 SELECT 'SV-' || CAST(event_id AS STRING) AS survey_id,
   ' V-' || CAST(event_id + 500 AS STRING) AS visit_id,
-  {_SITE.format(n=_K)} AS site,
+  {_SITE.format(n='k')} AS site,
   {_UNIT.format(n='user_id')} AS unit,
-  CAST(ts AS DATE) + {_K} % 4 AS survey_date,
-  1 + {_K} % 5 AS overall_score,
-  1 + ({_K} + 1) % 5 AS staff_courtesy,
-  1 + ({_K} + 2) % 5 AS communication_clarity,
-  CASE WHEN {_K} % 23 = 0 THEN NULL ELSE 1 + ({_K} + 3) % 5 END AS cleanliness,
+  CAST(ts AS DATE) + k % 4 AS survey_date,
+  1 + k % 5 AS overall_score,
+  1 + (k + 1) % 5 AS staff_courtesy,
+  1 + (k + 2) % 5 AS communication_clarity,
+  CASE WHEN k % 23 = 0 THEN NULL ELSE 1 + (k + 3) % 5 END AS cleanliness,
   event_type AS comments
-FROM {{events}}""",
+FROM {_EVENTS}""",
     "raw_readmission_risk": f"""
 SELECT 'V-' || CAST(event_id AS STRING) AS visit_id,
-  CASE WHEN {_K} % 19 = 0 THEN 'P-other' ELSE ' P-' || CAST(user_id AS STRING) END AS patient_id,
-  CAST(ts AS DATE) + {_K} % 3 AS prediction_date,
+  CASE WHEN k % 19 = 0 THEN 'P-other' ELSE ' P-' || CAST(user_id AS STRING) END AS patient_id,
+  CAST(ts AS DATE) + k % 3 AS prediction_date,
   floor(value) / 512 AS readmission_probability,
   CASE event_type WHEN 'click' THEN 'low' WHEN 'view' THEN ' MEDIUM' WHEN 'purchase' THEN 'High ' WHEN 'signup' THEN 'HIGH'
     ELSE 'extreme' END AS risk_band
-FROM {{events}}""",
+FROM {_EVENTS}""",
     "raw_patient_master": """
 SELECT 'PT-' || CAST(c_custkey AS STRING) AS patient_id,
   CASE r_name WHEN 'AFRICA' THEN 'east ' WHEN 'AMERICA' THEN 'CENTRAL' WHEN 'ASIA' THEN ' West' WHEN 'EUROPE' THEN 'North' END AS region,
@@ -101,24 +101,24 @@ SELECT CAST(event_id AS STRING) AS reading_id,
     ELSE 'pump' END AS device_type,
   CASE event_type WHEN 'click' THEN 'devco-gm' WHEN 'view' THEN 'DEVCO-BP' WHEN 'purchase' THEN ' DEVCO-SC'
     WHEN 'signup' THEN 'DEVCO-SC' ELSE 'ACME' END AS vendor,
-  'v' || CAST({_K} % 4 AS STRING) AS firmware_version,
+  'v' || CAST(k % 4 AS STRING) AS firmware_version,
   ts AS reading_time,
-  CASE WHEN event_type IN ('click', 'error') AND {_K} % 21 <> 0 THEN 60 + floor(value * 4) / 4 END AS glucose_mg_dl,
+  CASE WHEN event_type IN ('click', 'error') AND k % 21 <> 0 THEN 60 + floor(value * 4) / 4 END AS glucose_mg_dl,
   CASE WHEN event_type IN ('view', 'signup') THEN 100 + floor(value) END AS bp_systolic_mm_hg,
-  CASE WHEN event_type IN ('view', 'signup') AND {_K} % 6 <> 0 THEN 55 + floor(value / 2) END AS bp_diastolic_mm_hg,
+  CASE WHEN event_type IN ('view', 'signup') AND k % 6 <> 0 THEN 55 + floor(value / 2) END AS bp_diastolic_mm_hg,
   CASE WHEN event_type = 'purchase' THEN 50 + floor(value * 4) / 4 END AS weight_kg,
-  {_K} % 8 <> 0 AS valid_flag,
-  CASE {_K} % 8 WHEN 0 THEN 'BT-GM-3921' WHEN 1 THEN 'NONE' WHEN 2 THEN 'BT-BP-2710' END AS error_code
-FROM {{events}}""",
+  k % 8 <> 0 AS valid_flag,
+  CASE k % 8 WHEN 0 THEN 'BT-GM-3921' WHEN 1 THEN 'NONE' WHEN 2 THEN 'BT-BP-2710' END AS error_code
+FROM {_EVENTS}""",
     "raw_encounter_notes": f"""
 SELECT event_id AS note_id,
   'PT-' || CAST(user_id AS STRING) AS patient_id,
   {_REGION.format(n='user_id')} AS region,
   ts AS note_time,
   props AS note_text,
-  CASE WHEN {_K} % 5 = 0 THEN TRUE WHEN {_K} % 5 = 1 THEN NULL ELSE FALSE END AS diet_non_adherence_flag,
+  CASE WHEN k % 5 = 0 THEN TRUE WHEN k % 5 = 1 THEN NULL ELSE FALSE END AS diet_non_adherence_flag,
   event_type IN ('error', 'signup') AS med_adherence_flag
-FROM {{events}}""",
+FROM {_EVENTS}""",
     "raw_medication_lists": f"""
 SELECT o_orderkey AS list_id,
   'PT-' || CAST(o_custkey AS STRING) AS patient_id,

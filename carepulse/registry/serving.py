@@ -195,9 +195,9 @@ def _info(t: Inputs):
 @query("latest_vitals", f"""
 SELECT patient_id, type, value, CASE WHEN high THEN 'warning' ELSE 'normal' END AS status,
   CASE WHEN high THEN 'up' ELSE 'down' END AS trend,
-  CASE WHEN age >= 86400 THEN (age // 86400) || ' day' || CASE WHEN age // 86400 > 1 THEN 's' ELSE '' END || ' ago'
-    WHEN age > 3600 THEN (age // 3600) || ' hour' || CASE WHEN age // 3600 > 1 THEN 's' ELSE '' END || ' ago'
-    ELSE (age // 60) || ' minute' || CASE WHEN age // 60 > 1 THEN 's' ELSE '' END || ' ago' END AS last_reading,
+  CASE WHEN days > 0 THEN days || CASE WHEN days > 1 THEN ' days ago' ELSE ' day ago' END
+    WHEN secs > 3600 THEN (secs // 3600) || CASE WHEN secs >= 7200 THEN ' hours ago' ELSE ' hour ago' END
+    ELSE (secs // 60) || CASE WHEN secs >= 120 THEN ' minutes ago' ELSE ' minute ago' END END AS last_reading,
   CASE type WHEN 'Glucose' THEN '80-130 mg/dL' WHEN 'Weight' THEN '170-175 lbs' ELSE '<140/90 mmHg' END AS target
 FROM (
   SELECT patient_id, CASE device_type WHEN 'glucose' THEN 'Glucose' WHEN 'bp' THEN 'Blood Pressure' ELSE 'Weight' END AS type,
@@ -206,7 +206,8 @@ FROM (
       ELSE printf('%.1f lbs', weight_kg * 2.20462::DOUBLE) END AS value,
     coalesce(CASE device_type WHEN 'glucose' THEN glucose_mg_dl > 130 WHEN 'bp' THEN bp_systolic_mm_hg >= 140 OR bp_diastolic_mm_hg >= 90 END,
       FALSE) AS high,
-    CAST(floor(epoch(TIMESTAMP '{AS_OF}' - reading_time)) AS BIGINT) AS age
+    CAST(floor(epoch(TIMESTAMP '{AS_OF}' - reading_time) / 86400) AS BIGINT) AS days,
+    CAST(floor(epoch(TIMESTAMP '{AS_OF}' - reading_time)) - 86400 * floor(epoch(TIMESTAMP '{AS_OF}' - reading_time) / 86400) AS BIGINT) AS secs
   FROM (SELECT *, row_number() OVER (PARTITION BY patient_id, device_type ORDER BY reading_time DESC, reading_id DESC) AS newest
     FROM (SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY reading_time DESC, reading_id DESC) AS rank
       FROM silver_device_readings) ranked WHERE rank <= 10) recent
