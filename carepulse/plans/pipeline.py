@@ -1,5 +1,7 @@
 """Materialised runs: every table is written once and read back by the next ones.
 
+Tables keep the names and columns that existing SQL over them uses.
+
 Reading tables back keeps each plan short, lets later tables prune columns and
 partitions, and gives the planner real table sizes to choose joins by. A lost
 executor costs at most the table in progress.
@@ -27,43 +29,43 @@ class Step:
 
 def er_steps() -> dict[str, Step]:
     return {
-        "silver_er_visits": Step(
-            lambda t: er.silver_er_visits(t["raw_er_visits"]),
+        "silver_emr_er_visits": Step(
+            lambda t: er.silver_er_visits(t["raw_emr_er_visits"]),
             "Visits with typed times, calendar columns, region and durations.", ("arrival_date",)),
-        "silver_hr_shifts": Step(
-            lambda t: er.silver_hr_shifts(t["raw_hr_shifts"]),
+        "silver_hr_shifts_and_sickleave": Step(
+            lambda t: er.silver_hr_shifts(t["raw_hr_shifts_and_sickleave"]),
             "Shifts with attendance, sick-leave flag and effective hours.", ("shift_date",)),
         "silver_flow_hour_medians": Step(
-            lambda t: er.flow_hour_medians(t["raw_patient_flow"]), "Median queue length per site and hour."),
-        "silver_patient_flow": Step(
-            lambda t: er.silver_patient_flow(t["raw_patient_flow"], medians=t["silver_flow_hour_medians"]),
+            lambda t: er.flow_hour_medians(t["raw_patient_flow_metrics"]), "Median queue length per site and hour."),
+        "silver_patient_flow_metrics": Step(
+            lambda t: er.silver_patient_flow(t["raw_patient_flow_metrics"], medians=t["silver_flow_hour_medians"]),
             "Flow telemetry with the median queue length of its hour.", ("date",)),
-        "silver_surveys": Step(
-            lambda t: er.silver_surveys(t["raw_surveys"], t["silver_er_visits"]),
+        "silver_patient_satisfaction_surveys": Step(
+            lambda t: er.silver_surveys(t["raw_patient_satisfaction_surveys"], t["silver_emr_er_visits"]),
             "Survey scores with date, weekend and region of the visit."),
-        "silver_readmission_risk": Step(
-            lambda t: er.silver_readmission_risk(t["raw_readmission_risk"], t["silver_er_visits"]),
+        "silver_readmission_risk_feed": Step(
+            lambda t: er.silver_readmission_risk(t["raw_readmission_risk_feed"], t["silver_emr_er_visits"]),
             "Readmission predictions with the visit's attributes and lag in days."),
         "gold_er_operational_hourly": Step(
             lambda t: er.gold_er_operational_hourly(
-                t["silver_er_visits"], t["silver_patient_flow"], t["silver_hr_shifts"]),
+                t["silver_emr_er_visits"], t["silver_patient_flow_metrics"], t["silver_hr_shifts_and_sickleave"]),
             "Dense site-hour operations: arrivals, throughput, waits, staffing, ratios."),
         "gold_er_quality_daily": Step(
             lambda t: er.gold_er_quality_daily(
-                t["silver_er_visits"], t["silver_patient_flow"], t["silver_surveys"]),
+                t["silver_emr_er_visits"], t["silver_patient_flow_metrics"], t["silver_patient_satisfaction_surveys"]),
             "Daily access and satisfaction measures per site."),
         "gold_er_finance_daily": Step(
             lambda t: er.gold_er_finance_daily(
-                t["silver_hr_shifts"], t["silver_er_visits"], t["gold_er_quality_daily"]),
+                t["silver_hr_shifts_and_sickleave"], t["silver_emr_er_visits"], t["gold_er_quality_daily"]),
             "Daily overtime, cost and reimbursement at risk with running total."),
         "gold_er_staffing_daily": Step(
-            lambda t: er.gold_er_staffing_daily(t["silver_hr_shifts"], t["gold_er_operational_hourly"]),
+            lambda t: er.gold_er_staffing_daily(t["silver_hr_shifts_and_sickleave"], t["gold_er_operational_hourly"]),
             "Daily hours, sick-leave rate and coverage gap by role."),
-        "gold_er_readmission_daily": Step(
-            lambda t: er.gold_er_readmission_daily(t["silver_readmission_risk"], t["silver_er_visits"]),
+        "gold_er_readmission_risk_daily": Step(
+            lambda t: er.gold_er_readmission_daily(t["silver_readmission_risk_feed"], t["silver_emr_er_visits"]),
             "Daily predicted risk and realised readmissions."),
-        "gold_er_filters_bridge": Step(
-            lambda t: er.gold_er_filters_bridge(t["silver_er_visits"], t["silver_hr_shifts"]),
+        "gold_global_filters_bridge": Step(
+            lambda t: er.gold_er_filters_bridge(t["silver_emr_er_visits"], t["silver_hr_shifts_and_sickleave"]),
             "Distinct filter values over visits and shifts."),
     }
 
@@ -85,56 +87,66 @@ def cc_steps(spark: SparkSession, start: str, end: str, weights: cc.RiskWeights
             lambda t: cc.silver_care_actions(t["raw_care_actions"], t["silver_patient_master"]),
             "Care actions; condition completed from the registry."),
         "gold_date_spine": Step(lambda t: cc.gold_date_spine(spark, start, end), "Daily calendar."),
-        "gold_device_ingestion": Step(
+        "gold_device_ingestion_timeseries": Step(
             lambda t: cc.gold_device_ingestion(
                 t["silver_device_readings"], t["gold_date_spine"], t["silver_patient_master"]),
             "Dense daily readings and valid share by region and device."),
-        "gold_bp_quality": Step(
+        "gold_bp_quality_timeseries": Step(
             lambda t: cc.gold_bp_quality(t["silver_device_readings"]), "Daily missing-diastolic rate by region."),
-        "gold_encounter_signals": Step(
+        "gold_encounter_signal_timeseries": Step(
             lambda t: cc.gold_encounter_signals(t["silver_encounter_notes"]), "Daily note-flag rates by region."),
-        "gold_patient_risk_daily": Step(
+        "gold_patient_risk_timeseries": Step(
             lambda t: cc.gold_patient_risk_daily(
                 t["gold_date_spine"], t["silver_patient_master"], t["silver_device_readings"],
                 t["silver_encounter_notes"], weights),
             "Mean patient-day risk score by region, tier and condition."),
         "gold_patient_risk_weekly": Step(
-            lambda t: cc.gold_patient_risk_weekly(t["gold_patient_risk_daily"]), "Weekly mean of daily risk means."),
+            lambda t: cc.gold_patient_risk_weekly(t["gold_patient_risk_timeseries"]), "Weekly mean of daily risk means."),
         "gold_care_actions_weekly": Step(
             lambda t: cc.gold_care_actions_weekly(t["silver_care_actions"]), "Weekly action mix, execution and cost."),
         "gold_cumulative_care_cost": Step(
             lambda t: cc.gold_cumulative_care_cost(t["silver_care_actions"]), "Executed cost and running total."),
         "gold_root_cause_alignment": Step(
             lambda t: cc.gold_root_cause_alignment(
-                t["gold_device_ingestion"], t["silver_device_change_log"], t["silver_device_readings"]),
+                t["gold_device_ingestion_timeseries"], t["silver_device_change_log"], t["silver_device_readings"]),
             "Ingestion shifts beside device changes and error counts."),
-        "gold_cc_filters_bridge": Step(
+        "gold_global_filters_bridge": Step(
             lambda t: cc.gold_cc_filters_bridge(
-                t["gold_device_ingestion"], t["gold_patient_risk_daily"], t["gold_care_actions_weekly"]),
+                t["gold_device_ingestion_timeseries"], t["gold_patient_risk_timeseries"], t["gold_care_actions_weekly"]),
             "Filter values seen in the gold tables."),
-        "counter_active_patients": Step(
+        "gold_counter_active_patients": Step(
             lambda t: cc.counter_active_patients(
                 t["silver_patient_master"], t["silver_device_readings"], t["gold_date_spine"]),
             "Active patients with a reading in the trailing 30 days."),
-        "counter_valid_readings_7d": Step(
+        "gold_counter_valid_readings_last7": Step(
             lambda t: cc.counter_valid_readings_7d(t["silver_device_readings"], t["gold_date_spine"]),
             "Valid readings in the trailing 7 days."),
-        "counter_high_risk_avg_7d": Step(
-            lambda t: cc.counter_high_risk_avg_7d(t["gold_patient_risk_daily"]),
+        "gold_counter_avg_daily_risk_high_last7": Step(
+            lambda t: cc.counter_high_risk_avg_7d(t["gold_patient_risk_timeseries"]),
             "Mean high-tier score over the trailing 7 days."),
-        "counter_actions_executed_14d": Step(
+        "gold_counter_care_actions_executed_last14": Step(
             lambda t: cc.counter_actions_executed_14d(t["silver_care_actions"], t["gold_date_spine"]),
             "Executed actions in the trailing 14 days."),
     }
 
 
-def layer_of(name: str) -> str:
-    return "silver" if name.startswith("silver_") else "gold"
+def one_schema(db: str) -> Callable[[str], str]:
+    """All tables in one database, told apart by their name prefix."""
+    return lambda name: db
+
 
+def schema_per_layer(prefix: str = "") -> Callable[[str], str]:
+    """One database per layer: silver and gold."""
+    return lambda name: f"{prefix}{name.split('_', 1)[0]}"
 
-def materialise(raw: Mapping[str, DataFrame], steps: Mapping[str, Step], db_prefix: str = "",
+
+def materialise(raw: Mapping[str, DataFrame], steps: Mapping[str, Step], db_of: Callable[[str], str],
                 root: str | None = None) -> dict[str, DataFrame]:
-    """Write the tables in order, one database per layer, and return them for reading."""
+    """Write the tables in order and return them for reading.
+
+    ``db_of`` gives the database of a table; ``root`` is a shared folder for
+    the files (without it the warehouse keeps them).
+    """
     tables = dict(raw)
     for name, step in steps.items():
         df = step.build(tables)
@@ -142,7 +154,5 @@ def materialise(raw: Mapping[str, DataFrame], steps: Mapping[str, Step], db_pref
             # one shuffle by date, so a date's rows land in few files instead of one per task;
             # AQE splits a date that is far larger than the rest
             df = df.hint("rebalance", *step.partition_by)
-        tables[name] = replace_table(
-            df, f"{db_prefix}{layer_of(name)}", name, root, step.comment, step.partition_by
-        )
+        tables[name] = replace_table(df, db_of(name), name, root, step.comment, step.partition_by)
     return {name: tables[name] for name in steps}

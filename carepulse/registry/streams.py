@@ -8,6 +8,7 @@ from ..operators.shaping import where
 from ..session import shared_dir
 from ..sources.tables import replace_table
 from ..streaming import joins, tables as st
+from ..streaming.orders import FLAT, update_sales_orders
 from .bindings import BINDINGS
 from .core import query
 from .inputs import Inputs
@@ -53,18 +54,12 @@ def _computed(t: Inputs):
 @query("st_sales_orders_flat", "SELECT * FROM sales_orders_flat", "StandardCost ListPrice")
 def _flat(t: Inputs):
     """Three landing copies, then the flat table from two of the copies."""
-    base = shared_dir(t.spark, "flat")
-    feeds = {
-        "order_lines": _feed(t, "order_lines", "lineitem"),
-        "products": _feed(t, "products", "part"),
-        "customers": _stream(t, "customer"),
+    landing = {
+        "customer": _stream(t, "customer"),
+        "product": _feed(t, "products", "part"),
+        "salesorderdetail": _feed(t, "order_lines", "lineitem"),
     }
-    copies = {}
-    for name, feed in feeds.items():
-        path = st.run_available(feed, f"{base}/{name}/data", f"{base}/{name}/checkpoint")
-        copies[name] = st.read_stream(t.spark, path, feed.schema)
-    flat = joins.flat_orders(copies["order_lines"], copies["products"])
-    return t.spark.read.parquet(st.run_available(flat, f"{base}/flat/data", f"{base}/flat/checkpoint"))
+    return update_sales_orders(landing, shared_dir(t.spark, "orders"))[FLAT]
 
 
 @query("stream_static_left_join", """

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from ..plans import cc, er
+from ..session import shared_dir
+from ..sources.files import stored
 from .core import query
 from .inputs import Inputs
 
@@ -13,7 +15,15 @@ def _table(key: str, doubles: str = "", sql: str | None = None):
 
 _table("silver_er_visits", "visit_duration_minutes door_to_provider_minutes_raw")(lambda t: t.visits)
 _table("silver_hr_shifts")(lambda t: t.shifts)
-_table("silver_patient_flow")(lambda t: er.silver_patient_flow(t.raw("raw_patient_flow")))
+
+
+@query("silver_patient_flow", "SELECT * FROM silver_patient_flow")
+def _flow(t: Inputs):
+    """The small medians are stored first, so the telemetry rows need no shuffle to meet them."""
+    medians = stored(er.flow_hour_medians(t.raw("raw_patient_flow")), shared_dir(t.spark, "medians"))
+    return er.silver_patient_flow(t.raw("raw_patient_flow"), medians=medians)
+
+
 _table("silver_surveys")(lambda t: t.surveys)
 _table("silver_readmission_risk", "readmission_probability")(lambda t: t.risk_feed)
 

@@ -27,6 +27,12 @@ def write_parquet_files(df: DataFrame, path: str, num_files: int, mode: str = "o
     df.repartition(1 if few else num_files).write.mode(mode).parquet(path)
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write to a new shared folder and read back: a short lineage, and a size the planner knows."""
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def encode_iso(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: encode_iso_ms(c) for c in cols})
 

@@ -6,8 +6,9 @@ import uuid
 import pytest
 
 from __spark_entry__ import queries
-from carepulse.plans.pipeline import cc_steps, er_steps, materialise
+from carepulse.plans.pipeline import cc_steps, er_steps, materialise, one_schema, schema_per_layer
 from carepulse.registry.inputs import FIRST_DAY, LAST_DAY, WEIGHTS, Inputs
+from carepulse.sources.schemas import CC_RAW, ER_RAW, read_raw
 from carepulse.sources.tables import get_comment
 from helpers import plan_of, rows
 
@@ -24,31 +25,31 @@ def prefix():
 
 def test_er_run_equals_the_lazy_tables(spark, inputs, prefix, tmp_path_factory):
     steps = er_steps()
-    names = ["raw_er_visits", "raw_hr_shifts", "raw_patient_flow", "raw_surveys", "raw_readmission_risk"]
-    out = materialise({n: inputs.raw(n) for n in names}, steps, prefix, str(tmp_path_factory.mktemp("er")))
+    feeds = ["raw_er_visits", "raw_hr_shifts", "raw_patient_flow", "raw_surveys", "raw_readmission_risk"]
+    raw = {name: inputs.raw(feed) for name, feed in zip(ER_RAW, feeds)}
+    out = materialise(raw, steps, one_schema(f"{prefix}er"), str(tmp_path_factory.mktemp("er")))
     assert list(out) == list(steps)
     assert rows(out["gold_er_operational_hourly"]) == rows(inputs.hourly)
     assert rows(out["gold_er_quality_daily"]) == rows(inputs.quality)
     assert rows(out["gold_er_staffing_daily"]) == rows(inputs.staffing)
-    assert get_comment(spark, f"{prefix}gold", "gold_er_finance_daily") == steps["gold_er_finance_daily"].comment
+    assert get_comment(spark, f"{prefix}er", "gold_er_finance_daily") == steps["gold_er_finance_daily"].comment
     # known table size: the medians are broadcast and the telemetry rows are not shuffled
-    flow = steps["silver_patient_flow"].build({**out, "raw_patient_flow": inputs.raw("raw_patient_flow")})
+    flow = steps["silver_patient_flow_metrics"].build({**out, **raw})
     assert "BroadcastHashJoin" in plan_of(flow) and "hashpartitioning" not in plan_of(flow)
     # partitioned silver: a date filter prunes directories
-    assert re.search(r"PartitionFilters: \[[^\]]*arrival_date", plan_of(out["silver_er_visits"].where("arrival_date = DATE '2024-01-05'")))
+    assert re.search(r"PartitionFilters: \[[^\]]*arrival_date", plan_of(out["silver_emr_er_visits"].where("arrival_date = DATE '2024-01-05'")))
 
 
 def test_cc_run_equals_the_lazy_tables(spark, inputs, prefix, tmp_path_factory):
-    names = ["raw_patient_master", "raw_device_readings", "raw_encounter_notes", "raw_medication_lists",
-             "raw_device_change_log", "raw_care_actions"]
     steps = cc_steps(spark, FIRST_DAY, LAST_DAY, WEIGHTS)
-    out = materialise({n: inputs.raw(n) for n in names}, steps, prefix, str(tmp_path_factory.mktemp("cc")))
+    out = materialise({n: inputs.raw(n) for n in CC_RAW}, steps, schema_per_layer(prefix), str(tmp_path_factory.mktemp("cc")))
     assert list(out) == list(steps)
     assert rows(out["gold_root_cause_alignment"]) == rows(inputs.alignment)
-    risk = {tuple(r)[:4]: tuple(r)[4:] for r in out["gold_patient_risk_daily"].collect()}
+    risk = {tuple(r)[:4]: tuple(r)[4:] for r in out["gold_patient_risk_timeseries"].collect()}
     for r in inputs.patient_risk.collect():
         assert risk[tuple(r)[:4]] == (pytest.approx(r["avg_risk_score"]), r["patient_days"])
-    assert out["counter_active_patients"].count() == 1
+    assert out["gold_counter_active_patients"].count() == 1
+    assert spark.table(f"{prefix}gold.gold_global_filters_bridge").count() > 0
 
 
 @pytest.mark.parametrize("key", [k for k in queries() if not k.startswith(("st", "incremental", "full_refresh"))])
@@ -82,3 +83,18 @@ def test_shuffled_joins_give_the_same_rows(spark, sf_dir):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_declared_raw_schemas_feed_every_table(spark, tmp_path):
+    """Raw files written with the declared schemas run through both pipelines."""
+    for name, schema in {**ER_RAW, **CC_RAW}.items():
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / "raw" / name))
+    er = read_raw(spark, str(tmp_path / "raw"), ER_RAW)
+    cc = read_raw(spark, str(tmp_path / "raw"), CC_RAW)
+    db = f"empty_{uuid.uuid4().hex[:6]}"
+    done = materialise(er, er_steps(), one_schema(db), str(tmp_path / "out"))
+    done |= materialise(cc, cc_steps(spark, "2025-08-01", "2025-11-10"), schema_per_layer(f"{db}_"), str(tmp_path / "out"))
+    assert {n: df.count() for n, df in done.items() if df.count()} == {
+        "gold_date_spine": 102, "gold_counter_active_patients": 1, "gold_counter_valid_readings_last7": 1,
+        "gold_counter_avg_daily_risk_high_last7": 1, "gold_counter_care_actions_executed_last14": 1,
+    }

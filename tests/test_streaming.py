@@ -1,11 +1,14 @@
 """Incremental copies and stream joins."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from carepulse.sources.schemas import ORDERS_LANDING
 from carepulse.streaming import joins, tables as st
+from carepulse.streaming.orders import update_sales_orders
 from helpers import rows
 
 
@@ -87,3 +90,22 @@ def test_live_join_and_view(table):
     a, b = table("k int, x int", (1, 1), (2, 2)), table("k int, y int", (1, 9))
     assert rows(joins.live_join(a, b, "k")) == [(1, 1, 9)]
     assert rows(st.temp_view(a, "a_view").where("k = 2")) == [(2, 2)]
+
+
+def test_order_pipeline_updates_and_refreshes(spark, tmp_path, land):
+    def landing(orders):
+        return {
+            "customer": land("customer", spark.createDataFrame([(orders[0], "a", "b")], ORDERS_LANDING["customer"])),
+            "product": land("product", spark.createDataFrame([(orders[0], *[None] * 12)], ORDERS_LANDING["product"])),
+            "salesorderdetail": land("salesorderdetail", spark.createDataFrame(
+                [(o, 1, 2, o, Decimal("1.50"), Decimal(0), Decimal("2.75"), None) for o in orders], ORDERS_LANDING["salesorderdetail"])),
+        }
+
+    target = str(tmp_path / "target")
+    first = update_sales_orders(landing([1, 2]), target)
+    assert rows(first["sales_orders_flat"], "SalesOrderID", "ExtendedPrice", "TotalDiscount") == [(1, Decimal("3.0000"), Decimal("0.250000"))]
+    second = update_sales_orders(landing([2, 3]), target)
+    assert rows(second["sales_orders_flat"], "SalesOrderID") == [(1,), (2,), (2,)] and second["salesorderdetail"].count() == 4
+    streams = {n: st.read_stream(spark, str(tmp_path / n), s) for n, s in ORDERS_LANDING.items()}
+    again = update_sales_orders(streams, target, full_refresh=True)
+    assert rows(again["sales_orders_flat"], "SalesOrderID") == [(1,), (2,), (2,)] and again["customer"].count() == 2
