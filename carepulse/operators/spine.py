@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.temporal import is_weekend, month_start, week_start
@@ -51,15 +51,26 @@ def scaffold(keys: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
 
     ``keys`` may be of any size and keeps its partitioning. Each dimension is a
     one-column, calendar-like relation (days, hours, device types): it travels
-    as one array, so its length must be bounded by the calendar, not the data.
+    as one array, and one with more than ``MAX_MEMBERS`` rows is an error.
     """
     out = keys
     for name, dim in dims.items():
-        members = dim.agg(F.sort_array(F.collect_list(dim.columns[0]))).scalar()
-        out = out.select("*", F.explode(members).alias(name))
+        out = out.select("*", F.explode(_members(dim)).alias(name))
     return out
 
 
+#: Longest dimension of a scaffold: 270 years of days.
+MAX_MEMBERS = 100_000
+
+
+def _members(dim: DataFrame) -> Column:
+    """All members of a dimension as one checked array."""
+    listed = dim.limit(MAX_MEMBERS + 1).agg(F.sort_array(F.collect_list(dim.columns[0])).alias("m"))
+    too_long = F.raise_error(F.lit(f"a scaffold dimension has more than {MAX_MEMBERS} members; make it the keys"))
+    checked = F.when(F.size("m") <= MAX_MEMBERS, F.col("m")).otherwise(too_long)
+    return listed.select(checked).scalar()
+
+
 def explode_csv(df: DataFrame, c: str, out: str, sep: str = ",") -> DataFrame:
     """One row per trimmed item of a separated list.
 

@@ -223,14 +223,18 @@ def gold_er_operational_hourly(visits: DataFrame, flow: DataFrame, shifts: DataF
     join (:func:`clean_patient_flow` will do).
     """
     key = ["site", "date", "hour_of_day"]
-    n = F.count(F.lit(1))
-    arrivals = visits.groupBy(
-        "site", F.col("arrival_date").alias("date"), F.col("arrival_hour").alias("hour_of_day")
-    ).agg(n.alias("arrivals"))
     left = F.col("discharge_time_utc")
-    throughput = visits.where(left.isNotNull()).groupBy(
-        "site", left.cast("date").alias("date"), F.hour(left).alias("hour_of_day")
-    ).agg(n.alias("throughput"))
+
+    def movement(date: Column, hour: Column, came: int) -> Column:
+        return F.struct(
+            date.alias("date"), hour.alias("hour_of_day"), F.lit(came).alias("came"), F.lit(1 - came).alias("went")
+        )
+
+    # one scan counts both: each visit is an arrival and, once discharged, a departure
+    moves = visits.select("site", F.inline(F.array(
+        movement(F.col("arrival_date"), F.col("arrival_hour"), 1), movement(left.cast("date"), F.hour(left), 0)
+    ))).where(F.col("date").isNotNull())
+    counts = moves.groupBy(*key).agg(F.sum("came").alias("arrivals"), F.sum("went").alias("throughput"))
     waits = flow.groupBy(*key).agg(
         median_disc("triage_wait_minutes").alias("door_to_triage_median"),
         median_disc("door_to_provider_minutes").alias("door_to_provider_median"),
@@ -241,7 +245,7 @@ def gold_er_operational_hourly(visits: DataFrame, flow: DataFrame, shifts: DataF
     ).agg(F.sum("effective_shift_hours").alias("effective_staffing_hours"))
     dense = densify(
         er_hour_scaffold(visits),
-        [arrivals, throughput, waits, staffing],
+        [counts, waits, staffing],
         key,
         {"arrivals": 0, "throughput": 0, "queue_length_median": 0.0, "effective_staffing_hours": 0.0},
     )

@@ -60,17 +60,17 @@ def _n_files(t: Inputs):
 
 
 @query("table_comment", """
-SELECT 'Nations, written ''as is'' \\ whole.' AS comment, count(*) AS row_count FROM nation""")
+SELECT 'Customers, written ''as is'' \\ whole.' AS comment, count(*) AS row_count FROM customer""")
 def _comment(t: Inputs):
-    text = "Nations, written 'as is' \\ whole."
-    saved = tables.replace_table(t.supplied("nation"), DB, "nation_described", shared_dir(t.spark, "tables"), text)
-    stored = tables.get_comment(t.spark, DB, "nation_described")
+    text = "Customers, written 'as is' \\ whole."
+    saved = tables.replace_table(t.supplied("customer"), DB, "customer_described", shared_dir(t.spark, "tables"), text)
+    stored = tables.get_comment(t.spark, DB, "customer_described")
     return saved.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(stored).alias("comment"), "row_count")
 
 
-@query("create_namespace", "SELECT 'carepulse_checks' AS db, count(*) AS row_count FROM region")
+@query("create_namespace", "SELECT 'carepulse_checks' AS db, count(*) AS row_count FROM part")
 def _namespace(t: Inputs):
-    saved = tables.replace_table(t.supplied("region"), DB, "region_copy", shared_dir(t.spark, "tables"))
+    saved = tables.replace_table(t.supplied("part"), DB, "part_copy", shared_dir(t.spark, "tables"))
     tables.ensure_db(t.spark, DB)
     return saved.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(DB).alias("db"), "row_count")
 
@@ -113,12 +113,12 @@ def _audit(t: Inputs):
 
 
 @query("expect_tables", """
-SELECT 'region_checked' AS table_name, FALSE AS missing, count(*) AS row_count FROM region
-UNION ALL SELECT 'nation_checked', FALSE, count(*) FROM nation UNION ALL SELECT 'never_written', TRUE, NULL""")
+SELECT 'orders_checked' AS table_name, FALSE AS missing, count(*) AS row_count FROM orders
+UNION ALL SELECT 'customer_checked', FALSE, count(*) FROM customer UNION ALL SELECT 'never_written', TRUE, NULL""")
 def _expect(t: Inputs):
     """Expected tables with their row counts; a table that is absent is marked."""
     root, db = shared_dir(t.spark, "tables"), "carepulse_expected"
-    saved = {f"{n}_checked": tables.replace_table(t.supplied(n), db, f"{n}_checked", root) for n in ("region", "nation")}
+    saved = {f"{n}_checked": tables.replace_table(t.supplied(n), db, f"{n}_checked", root) for n in ("orders", "customer")}
     absent = tables.missing_tables(t.spark, db, [*saved, "never_written"])
     expected = t.spark.createDataFrame(
         [(n, n in absent) for n in [*saved, "never_written"]], "table_name string, missing boolean"

@@ -17,14 +17,18 @@ def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | str | No
     return (reader.schema(schema) if schema is not None else reader).parquet(path)
 
 
-def write_parquet_files(df: DataFrame, path: str, num_files: int, mode: str = "overwrite") -> None:
+def write_parquet_files(df: DataFrame, path: str, num_files: int) -> None:
     """Write at most ``num_files`` part files of even size; one file if there are fewer rows than files.
 
     ``repartition`` and not ``coalesce``: it can raise the number of tasks and
-    does not pull the upstream work into few tasks.
+    does not pull the upstream work into few tasks. The row count is looked up
+    in the written files, so the input is computed once; only an output of fewer
+    than ``num_files`` rows is written again.
     """
-    few = num_files > 1 and df.limit(num_files).count() < num_files
-    df.repartition(1 if few else num_files).write.mode(mode).parquet(path)
+    df.repartition(num_files).write.mode("overwrite").parquet(path)
+    few = df.sparkSession.read.schema(df.schema).parquet(path).take(num_files)
+    if len(few) < num_files:
+        df.sparkSession.createDataFrame(few, df.schema).coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:

@@ -52,6 +52,12 @@ def test_scaffold_is_dense_without_a_cross_join(spark, table):
     assert "NestedLoop" not in plan_of(grid) and "Cartesian" not in plan_of(grid)
 
 
+def test_scaffold_refuses_an_unbounded_dimension(spark, table):
+    keys = table("site string", ("a",))
+    with pytest.raises(Exception, match="make it the keys"):
+        spine.scaffold(keys, {"id": spark.range(spine.MAX_MEMBERS + 1)}).count()
+
+
 def test_explode_csv_with_spaces_empty_and_null(table):
     df = table("id int, s string", (1, "Central, West"), (2, "East"), (3, ""), (4, None))
     out = spine.explode_csv(df, "s", "region")
