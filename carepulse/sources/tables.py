@@ -91,6 +91,7 @@ def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def missing_tables(spark: SparkSession, db: str, expected: Sequence[str]) -> list[str]:
-    """Expected table names that the database does not have."""
-    present = {t.name for t in spark.catalog.listTables(db)} if spark.catalog.databaseExists(db) else set()
+    """Expected table names that the database does not have; temporary views do not count."""
+    listed = spark.catalog.listTables(db) if spark.catalog.databaseExists(db) else []
+    present = {t.name for t in listed if not t.isTemporary}
     return [name for name in expected if name not in present]

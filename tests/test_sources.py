@@ -5,6 +5,7 @@ import uuid
 
 import pytest
 
+from carepulse.session import shared_dir
 from carepulse.sources import files, jdbc, tables
 from helpers import rows
 
@@ -38,7 +39,7 @@ def test_replace_reads_itself_and_keeps_comment(spark, db, tmp_path):
     again = tables.replace_table(first.where("id > 2"), db, "t", root)
     assert rows(again, "id") == [(3,), (4,)]
     assert rows(tables.scan_table(spark, db, "t"), "id") == [(3,), (4,)]
-    assert [t.name for t in spark.catalog.listTables(db)] == ["t"]
+    assert [t.name for t in spark.catalog.listTables(db) if not t.isTemporary] == ["t"]
 
 
 def test_a_failed_replace_leaves_the_old_table(spark, db, tmp_path):
@@ -71,11 +72,34 @@ def test_bucketed_tables_join_without_a_shuffle(spark, db, tmp_path):
 def test_names_and_audits(spark, db, tmp_path):
     assert tables.raw_name("x") == tables.raw_name("raw_x") == "raw_x"
     assert tables.missing_tables(spark, db, ["a"]) == ["a"]
+    spark.range(1).createOrReplaceTempView("b")
     tables.replace_table(spark.range(3), db, "raw_a", str(tmp_path))
     assert tables.missing_tables(spark, db, ["raw_a", "b"]) == ["b"]
     assert rows(tables.row_counts({"a": tables.scan_table(spark, db, "a", raw=True), "e": spark.range(0)})) == [("a", 3), ("e", 0)]
 
 
+class FakeContext:
+    def __init__(self, master, folder=None):
+        self.master, self.folder = master, folder
+
+    def getCheckpointDir(self):
+        return self.folder
+
+
+class FakeSession:
+    def __init__(self, master, conf=None, folder=None):
+        self.conf, self.sparkContext = conf or {}, FakeContext(master, folder)
+
+
+def test_shared_folder_comes_from_the_session():
+    named = FakeSession("yarn", {"spark.checkpoint.dir": "s3://b/ckpt"})
+    one, two = shared_dir(named, "x"), shared_dir(named, "x")
+    assert one.startswith("s3://b/ckpt/x-") and one != two
+    assert shared_dir(FakeSession("yarn", folder="hdfs:///c"), "x").startswith("hdfs:///c/x-")
+    with pytest.raises(RuntimeError):
+        shared_dir(FakeSession("yarn"), "x")
+
+
 def test_parameters_are_not_spliced(spark):
     spark.range(3).createOrReplaceTempView("numbers_v")
     got = tables.run_sql(spark, "SELECT :text AS x, count(*) AS n FROM IDENTIFIER(:t) WHERE id >= :lo", {"t": "numbers_v", "lo": 1, "text": "'; DROP"})
