@@ -13,6 +13,8 @@ from pyspark.sql import SparkSession
 #: one more shuffle further up. Medians keep a sketch per group and task; the
 #: default of 128 groups before a task falls back to sorting all its rows is too
 #: low for site-hours, and the sketches never hold more than the task's own rows.
+#: An unbounded stream join keeps both inputs as state: it lives in RocksDB on
+#: local disk, not in executor memory, and is restored from the checkpoint.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -20,6 +22,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
