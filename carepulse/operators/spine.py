@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.temporal import is_weekend, month_start, week_start
 
@@ -42,20 +43,25 @@ def hour_spine(spark: SparkSession) -> DataFrame:
 
 
 def values(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A small literal relation."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small literal relation, made of literals so that the planner knows its size."""
+    fields = T.StructType.fromDDL(schema).fields
+    literals = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)]) for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*literals)))
 
 
-def scaffold(keys: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+def scaffold(keys: DataFrame, dims: Mapping[str, DataFrame | Sequence]) -> DataFrame:
     """Every key row with every combination of the dimensions.
 
     ``keys`` may be of any size and keeps its partitioning. Each dimension is a
-    one-column, calendar-like relation (days, hours, device types): it travels
-    as one array, and one with more than ``MAX_MEMBERS`` rows is an error.
+    list of literals or a one-column, calendar-like relation (days, hours): it
+    travels as one array, and more than ``MAX_MEMBERS`` members are an error.
     """
     out = keys
     for name, dim in dims.items():
-        out = out.select("*", F.explode(_members(dim)).alias(name))
+        members = _members(dim) if isinstance(dim, DataFrame) else F.array(*[F.lit(m) for m in dim])
+        out = out.select("*", F.explode(members).alias(name))
     return out
 
 

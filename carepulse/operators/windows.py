@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from ..functions.measures import median_disc
 
 
-def partition_medians(df: DataFrame, c: str, parts: Sequence[str], out: str) -> DataFrame:
+def partition_medians(df: DataFrame, c: str, parts: Sequence[str], out: str, accuracy: int = 10000) -> DataFrame:
     """Lower median of ``c`` per partition, one row each."""
-    return df.groupBy(*parts).agg(median_disc(c).alias(out))
+    return df.groupBy(*parts).agg(median_disc(c, accuracy=accuracy).alias(out))
 
 
 def with_partition_median(df: DataFrame, c: str, parts: Sequence[str], out: str,

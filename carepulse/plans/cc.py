@@ -147,9 +147,8 @@ def gold_date_spine(spark: SparkSession, start: str = "2025-08-01", end: str = "
 
 def gold_device_ingestion(readings: DataFrame, calendar: DataFrame, patients: DataFrame) -> DataFrame:
     """Dense date-region-device table of readings and their valid share (NULL without readings)."""
-    spark = readings.sparkSession
-    devices = spark.createDataFrame([(d,) for d in DEVICE_TYPES], "device_type string")
-    grid = scaffold(patients.select("region").distinct(), {"date": calendar.select("date"), "device_type": devices})
+    regions = patients.select("region").distinct()
+    grid = scaffold(regions, {"date": calendar.select("date"), "device_type": DEVICE_TYPES})
     key = ["date", "region", "device_type"]
     counts = readings.groupBy(*key).agg(
         F.count(F.lit(1)).alias("readings_total"), count_if(F.col("valid_flag")).alias("readings_valid")

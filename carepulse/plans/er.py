@@ -131,9 +131,10 @@ FLOW_HOUR = ["site", "date", "hour_of_day"]
 FLOW_MEDIAN = "queue_length_median_15min"
 
 
-def flow_hour_medians(raw: DataFrame, regions: Mapping[str, Sequence[str]] = SITE_REGIONS) -> DataFrame:
+def flow_hour_medians(raw: DataFrame, regions: Mapping[str, Sequence[str]] = SITE_REGIONS,
+                      accuracy: int = 10000) -> DataFrame:
     """Median queue length per site, date and hour; a small table worth storing first."""
-    return partition_medians(clean_patient_flow(raw, regions), "queue_length", FLOW_HOUR, FLOW_MEDIAN)
+    return partition_medians(clean_patient_flow(raw, regions), "queue_length", FLOW_HOUR, FLOW_MEDIAN, accuracy)
 
 
 def silver_patient_flow(raw: DataFrame, regions: Mapping[str, Sequence[str]] = SITE_REGIONS,
@@ -215,7 +216,7 @@ def er_hour_scaffold(visits: DataFrame) -> DataFrame:
 
 def gold_er_operational_hourly(visits: DataFrame, flow: DataFrame, shifts: DataFrame,
                                regions: Mapping[str, Sequence[str]] = SITE_REGIONS,
-                               minutes_per_arrival: float = 240.0) -> DataFrame:
+                               minutes_per_arrival: float = 240.0, accuracy: int = 10000) -> DataFrame:
     """Dense site-hour table: arrivals, throughput, medians, staffing and two ratios.
 
     The smoothed queue length is constant within a site-hour, so its median is
@@ -236,9 +237,9 @@ def gold_er_operational_hourly(visits: DataFrame, flow: DataFrame, shifts: DataF
     ))).where(F.col("date").isNotNull())
     counts = moves.groupBy(*key).agg(F.sum("came").alias("arrivals"), F.sum("went").alias("throughput"))
     waits = flow.groupBy(*key).agg(
-        median_disc("triage_wait_minutes").alias("door_to_triage_median"),
-        median_disc("door_to_provider_minutes").alias("door_to_provider_median"),
-        median_disc("queue_length").cast("double").alias("queue_length_median"),
+        median_disc("triage_wait_minutes", accuracy=accuracy).alias("door_to_triage_median"),
+        median_disc("door_to_provider_minutes", accuracy=accuracy).alias("door_to_provider_median"),
+        median_disc("queue_length", accuracy=accuracy).cast("double").alias("queue_length_median"),
     )
     staffing = shifts.groupBy(
         "site", F.col("shift_date").alias("date"), F.col("start_hour").alias("hour_of_day")
@@ -262,7 +263,7 @@ def gold_er_operational_hourly(visits: DataFrame, flow: DataFrame, shifts: DataF
 
 
 def gold_er_quality_daily(visits: DataFrame, flow: DataFrame, surveys: DataFrame,
-                          regions: Mapping[str, Sequence[str]] = SITE_REGIONS) -> DataFrame:
+                          regions: Mapping[str, Sequence[str]] = SITE_REGIONS, accuracy: int = 10000) -> DataFrame:
     """Daily left-without-being-seen rate, throughput, median waits and satisfaction."""
     day = ["site", "unit", "date"]
     daily = visits.groupBy("site", "unit", F.col("arrival_date").alias("date"), "is_weekend").agg(
@@ -271,8 +272,8 @@ def gold_er_quality_daily(visits: DataFrame, flow: DataFrame, surveys: DataFrame
         F.count("discharge_time_utc").alias("throughput_daily"),
     )
     waits = flow.groupBy(*day).agg(
-        median_disc("triage_wait_minutes").alias("median_triage_wait_minutes"),
-        median_disc("door_to_provider_minutes").alias("median_door_to_provider_minutes"),
+        median_disc("triage_wait_minutes", accuracy=accuracy).alias("median_triage_wait_minutes"),
+        median_disc("door_to_provider_minutes", accuracy=accuracy).alias("median_door_to_provider_minutes"),
     )
     scores = surveys.groupBy("site", "unit", F.col("arrival_date").alias("date")).agg(
         F.avg("overall_score").alias("satisfaction_overall_avg")

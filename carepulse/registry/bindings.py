@@ -159,7 +159,7 @@ SELECT l_orderkey AS SalesOrderID, l_linenumber AS SalesOrderDetailID, l_quantit
 FROM {lineitem}""",
     "products": """
 SELECT p_partkey AS ProductID, p_name AS Name, p_brand AS ProductNumber, p_type AS Color, p_retailprice / 2 AS StandardCost,
-  p_retailprice AS ListPrice, CAST(p_size AS STRING) AS Size, p_size * 0.25 AS Weight, p_size % 7 AS ProductCategoryID,
+  p_retailprice AS ListPrice, CAST(p_size AS STRING) AS Size, p_size / 4 AS Weight, p_size % 7 AS ProductCategoryID,
   p_size % 11 AS ProductModelID, CAST('2020-01-01 00:00:00' AS TIMESTAMP) AS SellStartDate, CAST(NULL AS TIMESTAMP) AS SellEndDate,
   CAST(NULL AS TIMESTAMP) AS DiscontinuedDate
 FROM {part}""",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.aggregates import count_by
+from ..operators.spine import values
 from ..session import shared_dir
 from ..sources import files, tables
 from .core import query
@@ -120,7 +120,5 @@ def _expect(t: Inputs):
     root, db = shared_dir(t.spark, "tables"), "carepulse_expected"
     saved = {f"{n}_checked": tables.replace_table(t.supplied(n), db, f"{n}_checked", root) for n in ("orders", "customer")}
     absent = tables.missing_tables(t.spark, db, [*saved, "never_written"])
-    expected = t.spark.createDataFrame(
-        [(n, n in absent) for n in [*saved, "never_written"]], "table_name string, missing boolean"
-    )
+    expected = values(t.spark, [(n, n in absent) for n in [*saved, "never_written"]], "table_name string, missing boolean")
     return expected.join(tables.row_counts(saved), "table_name", "left")

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from carepulse.operators.windows import partition_medians
 from carepulse.plans import er, serving_er as se
 from helpers import column, rows
 
@@ -115,6 +116,17 @@ def test_flow_median_is_the_lower_one_of_the_hour(raw_flow):
     ]
 
 
+def test_higher_accuracy_is_exact_for_large_groups(spark):
+    n = 200_001
+    flow = spark.range(n).select(
+        F.lit(LC).alias("site"), F.lit("ER").alias("unit"), F.lit("2025-09-06").cast("date").alias("date"),
+        F.when(F.col("id") >= 0, 10).alias("hour_of_day"), (F.pmod(F.col("id") * 7919, F.lit(n)) / 8).alias("queue_length"),
+    )
+    exact = (n // 2) / 8
+    assert column(partition_medians(flow, "queue_length", ["site"], "m", accuracy=1_000_000), "m") == [exact]
+    assert abs(column(partition_medians(flow, "queue_length", ["site"], "m"), "m")[0] - exact) * 8 <= n / 10000
+
+
 def test_stored_medians_give_the_same_flow(raw_flow):
     medians = er.flow_hour_medians(raw_flow)
     assert rows(er.silver_patient_flow(raw_flow, medians=medians)) == rows(er.silver_patient_flow(raw_flow))

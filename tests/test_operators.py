@@ -52,6 +52,12 @@ def test_scaffold_is_dense_without_a_cross_join(spark, table):
     assert "NestedLoop" not in plan_of(grid) and "Cartesian" not in plan_of(grid)
 
 
+def test_literal_relations(spark, table):
+    df = spine.values(spark, [("a", 1), ("b", None)], "k string, n int")
+    assert rows(df) == [("a", 1), ("b", None)] and df.dtypes == [("k", "string"), ("n", "int")]
+    assert rows(spine.scaffold(table("site string", ("s",)), {"kind": ["x", "y"]})) == [("s", "x"), ("s", "y")]
+
+
 def test_scaffold_refuses_an_unbounded_dimension(spark, table):
     keys = table("site string", ("a",))
     with pytest.raises(Exception, match="make it the keys"):
