@@ -44,6 +44,11 @@ def minutes(a: str, b: str) -> str:
     return f"round((floor(epoch({b})) - floor(epoch({a}))) / 60.0, 2)"
 
 
+def half_up(x: str, digits: int) -> str:
+    """Decimal rounding, so that a tie such as 0.06375 goes up whatever its binary form."""
+    return f"CAST(round(CAST({x} AS DECIMAL(28, 12)), {digits}) AS DOUBLE)"
+
+
 def cc_region(c: str = "region") -> str:
     return members(c, cc.REGIONS, f"coalesce({c}, 'East')")
 
@@ -134,8 +139,8 @@ FROM (SELECT DISTINCT site FROM silver_er_visits) sites,
 SELECT g.site, {region('g.site')} AS region, 'ER' AS unit, g.date, g.hour_of_day, {weekend('g.date')} AS is_weekend,
   coalesce(a.n, 0) AS arrivals, coalesce(t.n, 0) AS throughput, CAST(coalesce(m.queue, 0) AS DOUBLE) AS queue_length_median,
   m.triage AS door_to_triage_median, m.provider AS door_to_provider_median, coalesce(s.hours, 0) AS effective_staffing_hours,
-  round(coalesce(s.hours, 0) * 60 / (a.n * 240.0), 3) AS nurse_to_patient_ratio,
-  round(coalesce(t.n, 0) / CAST(a.n AS DOUBLE), 3) AS occupancy_pct
+  {half_up('coalesce(s.hours, 0) * 60 / (a.n * 240.0)', 3)} AS nurse_to_patient_ratio,
+  {half_up('coalesce(t.n, 0) / CAST(a.n AS DOUBLE)', 3)} AS occupancy_pct
 FROM er_grid g
 LEFT JOIN (SELECT site, arrival_date AS date, arrival_hour AS hour_of_day, count(*) AS n FROM silver_er_visits GROUP BY ALL) a
   USING (site, date, hour_of_day)
@@ -148,7 +153,7 @@ LEFT JOIN (SELECT site, shift_date AS date, start_hour AS hour_of_day, sum(effec
   FROM silver_hr_shifts GROUP BY ALL) s USING (site, date, hour_of_day)""",
     "gold_er_quality_daily": f"""
 SELECT v.site, {region('v.site')} AS region, v.unit, v.date, v.is_weekend, v.visits_total, v.throughput_daily,
-  round(v.lwbs / CAST(v.visits_total AS DOUBLE), 4) AS lwbs_rate, m.triage AS median_triage_wait_minutes,
+  {half_up('v.lwbs / CAST(v.visits_total AS DOUBLE)', 4)} AS lwbs_rate, m.triage AS median_triage_wait_minutes,
   m.provider AS median_door_to_provider_minutes, s.score AS satisfaction_overall_avg, {dow('v.date')} AS day_of_week_num
 FROM (SELECT site, unit, arrival_date AS date, is_weekend, count(*) AS visits_total,
     count(*) FILTER (WHERE discharge_disposition = 'LWBS') AS lwbs, count(discharge_time_utc) AS throughput_daily
@@ -162,7 +167,7 @@ SELECT *, sum(reimbursement_at_risk_usd) OVER (PARTITION BY site ORDER BY date,
   AS cumulative_reimbursement_at_risk_usd
 FROM (
   SELECT o.site, {region('o.site')} AS region, o.unit, o.date, o.is_weekend, o.overtime_hours_sum, c.cost_per_visit_avg,
-    round(coalesce(q.lwbs_rate, 0) * 100 * 250 + CASE WHEN q.median_door_to_provider_minutes > 35 THEN 750 ELSE 0 END, 2)
+    {half_up('coalesce(q.lwbs_rate, 0) * 100 * 250 + CASE WHEN q.median_door_to_provider_minutes > 35 THEN 750 ELSE 0 END', 2)}
       AS reimbursement_at_risk_usd
   FROM (SELECT site, unit, shift_date AS date, is_weekend, sum(overtime_hours) AS overtime_hours_sum
     FROM silver_hr_shifts GROUP BY ALL) o

@@ -5,6 +5,7 @@ from __future__ import annotations
 from ..plans import cc, serving_cc as sc, serving_er as se
 from .core import query
 from .inputs import AS_OF, JANUARY, MID_MONTH, Inputs
+from .oracle import half_up
 
 DAYS = f"date BETWEEN DATE '{MID_MONTH.first}' AND DATE '{MID_MONTH.last}'"
 ALL_DAYS = f"date BETWEEN DATE '{JANUARY.first}' AND DATE '{JANUARY.last}'"
@@ -13,11 +14,11 @@ WAITS = "median_triage_wait_minutes, median_door_to_provider_minutes"
 
 
 @query("er_weekend_compare", f"""
-SELECT site, is_weekend, round(avg(lwbs_rate), 4) AS avg_lwbs_rate,
-  round(avg(median_triage_wait_minutes), 2) AS avg_triage_wait_min,
-  round(avg(median_door_to_provider_minutes), 2) AS avg_door_to_provider_min,
+SELECT site, is_weekend, {half_up('avg(lwbs_rate)', 4)} AS avg_lwbs_rate,
+  {half_up('avg(median_triage_wait_minutes)', 2)} AS avg_triage_wait_min,
+  {half_up('avg(median_door_to_provider_minutes)', 2)} AS avg_door_to_provider_min,
   CAST(sum(throughput_daily) AS BIGINT) AS total_throughput
-FROM gold_er_quality_daily WHERE {DAYS} GROUP BY ALL""", "avg_lwbs_rate")
+FROM gold_er_quality_daily WHERE {DAYS} GROUP BY ALL""")
 def _weekend(t: Inputs):
     return se.er_weekend_compare(t.quality, MID_MONTH)
 
@@ -48,16 +49,16 @@ def _reimbursement(t: Inputs):
 
 
 @query("er_hourly_signature", f"""
-SELECT site, date, hour_of_day, arrivals, queue_length_median, round(door_to_triage_median, 2) AS door_to_triage_median_min,
-  round(door_to_provider_median, 2) AS door_to_provider_median_min, round(nurse_to_patient_ratio, 3) AS nurse_to_patient_ratio
+SELECT site, date, hour_of_day, arrivals, queue_length_median, {half_up('door_to_triage_median', 2)} AS door_to_triage_median_min,
+  {half_up('door_to_provider_median', 2)} AS door_to_provider_median_min, {half_up('nurse_to_patient_ratio', 3)} AS nurse_to_patient_ratio
 FROM gold_er_operational_hourly WHERE is_weekend AND {DAYS}""", "nurse_to_patient_ratio")
 def _signature(t: Inputs):
     return se.er_hourly_signature(t.hourly, MID_MONTH)
 
 
 @query("er_readmission_exposure", f"""
-SELECT site, is_weekend, round(avg(avg_readmission_probability), 4) AS avg_readmit_prob,
-  round(avg(high_risk_share), 5) AS high_risk_share_avg, CAST(sum(realized_readmissions_30d) AS BIGINT) AS readmissions_30d
+SELECT site, is_weekend, {half_up('avg(avg_readmission_probability)', 4)} AS avg_readmit_prob,
+  {half_up('avg(high_risk_share)', 5)} AS high_risk_share_avg, CAST(sum(realized_readmissions_30d) AS BIGINT) AS readmissions_30d
 FROM gold_er_readmission_daily WHERE {DAYS} GROUP BY ALL""", "avg_readmit_prob high_risk_share_avg")
 def _exposure(t: Inputs):
     return se.er_readmission_exposure(t.readmission, MID_MONTH)
@@ -143,7 +144,7 @@ def _access(t: Inputs):
 
 
 @query("er_top10_lwbs_pct", f"""
-SELECT site, date, is_weekend, visits_total, round(lwbs_rate * 100, 2) AS lwbs_rate_pct, {WAITS}, satisfaction_overall_avg
+SELECT site, date, is_weekend, visits_total, {half_up('lwbs_rate * 100', 2)} AS lwbs_rate_pct, {WAITS}, satisfaction_overall_avg
 FROM gold_er_quality_daily WHERE {ALL_DAYS} ORDER BY lwbs_rate DESC, date, site, unit, is_weekend LIMIT 10""",
        "lwbs_rate_pct satisfaction_overall_avg")
 def _top(t: Inputs):
