@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
 
 from .joins import flat_orders
-from .tables import read_stream, run_available
+from .tables import read_stream, start_available
 
 COPIES = ("customer", "product", "salesorderdetail")
 FLAT = "sales_orders_flat"
@@ -22,12 +23,18 @@ def update_sales_orders(landing: Mapping[str, DataFrame], target: str, full_refr
     """
     spark = landing["product"].sparkSession
 
-    def update(name: str, stream: DataFrame) -> DataFrame:
-        path = run_available(stream, f"{target}/{name}/data", f"{target}/{name}/checkpoint", full_refresh)
-        return read_stream(spark, path, stream.schema)
-
-    copies = {name: update(name, landing[name]) for name in COPIES}
+    def start(name: str, stream: DataFrame) -> StreamingQuery:
+        return start_available(stream, f"{target}/{name}/data", f"{target}/{name}/checkpoint", full_refresh)
+
+    running = [start(name, landing[name]) for name in COPIES]  # side by side
+    try:
+        for query in running:
+            query.awaitTermination()
+    finally:
+        for query in running:
+            query.stop()
+    copies = {name: read_stream(spark, f"{target}/{name}/data", landing[name].schema) for name in COPIES}
     flat = flat_orders(copies["salesorderdetail"], copies["product"], salts)
-    update(FLAT, flat)
+    start(FLAT, flat).awaitTermination()
     schemas = {**{n: s.schema for n, s in copies.items()}, FLAT: flat.schema}
     return {n: spark.read.schema(schema).parquet(f"{target}/{n}/data") for n, schema in schemas.items()}

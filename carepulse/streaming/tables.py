@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType | str, glob: str = "*.parquet",
@@ -20,17 +21,12 @@ def _drop_folder(spark: SparkSession, path: str) -> None:
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
-def run_available(stream: DataFrame, dst: str, ckpt: str, full_refresh: bool = False) -> str:
-    """Process what is new, then stop; a later call adds only newer rows.
-
-    ``dst`` and ``ckpt`` must be shared folders. ``full_refresh`` forgets the
-    progress and the output and recomputes from the start. Returns ``dst``.
-    """
-    spark = stream.sparkSession
+def start_available(stream: DataFrame, dst: str, ckpt: str, full_refresh: bool = False) -> StreamingQuery:
+    """Start processing what is new; the query stops by itself when that is done."""
     if full_refresh:
-        _drop_folder(spark, ckpt)
-        _drop_folder(spark, dst)
-    query = (
+        _drop_folder(stream.sparkSession, ckpt)
+        _drop_folder(stream.sparkSession, dst)
+    return (
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("path", dst)
@@ -38,7 +34,15 @@ def run_available(stream: DataFrame, dst: str, ckpt: str, full_refresh: bool = F
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+
+
+def run_available(stream: DataFrame, dst: str, ckpt: str, full_refresh: bool = False) -> str:
+    """Process what is new, then stop; a later call adds only newer rows.
+
+    ``dst`` and ``ckpt`` must be shared folders. ``full_refresh`` forgets the
+    progress and the output and recomputes from the start. Returns ``dst``.
+    """
+    start_available(stream, dst, ckpt, full_refresh).awaitTermination()
     return dst
 
 
