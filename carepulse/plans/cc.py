@@ -179,7 +179,7 @@ def gold_encounter_signals(notes: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class RiskWeights:
-    """Constants of the patient-day risk score."""
+    """Fixed values of the patient-day risk score."""
 
     high: float = 0.5
     medium: float = 0.25

@@ -14,6 +14,21 @@ from ..functions.wording import glucose_text, join_sentences, pounds_text, press
 from ..operators.ranking import latest_n, lookup, sort_by
 from .serving_er import Period
 
+# Report names, targets, outlooks and sentences.
+VITALS = {
+    "glucose": ("Glucose", "80-130 mg/dL"),
+    "bp": ("Blood Pressure", "<140/90 mmHg"),
+    "weight": ("Weight", "170-175 lbs"),
+}
+OUTLOOKS = {  # tier: hospitalization, deterioration
+    "high": ("Medium-High", "Medium"),
+    "medium": ("Medium", "Low-Medium"),
+    "low": ("Low", "Low"),
+}
+NOTE_TYPE = "Phone Follow-up"
+DIET_SENTENCE = "Diet non-adherence noted"
+MEDICATION_SENTENCE = "Medication adherence issues"
+
 AUTUMN = Period("2025-09-15", "2025-11-10")
 WEEKS = Period("2025-09-01", "2025-11-10")
 
@@ -95,7 +110,7 @@ def latest_vitals(readings: DataFrame, as_of: str, n: int = 10, glucose_limit: f
 
     report = last.select(
         "patient_id",
-        by_device(F.lit("Glucose"), F.lit("Blood Pressure"), F.lit("Weight")).alias("type"),
+        by_device(*[F.lit(name) for name, _ in VITALS.values()]).alias("type"),
         by_device(
             F.when(F.col("glucose_mg_dl").isNotNull(), glucose_text("glucose_mg_dl")),
             pressure_text("bp_systolic_mm_hg", "bp_diastolic_mm_hg"),
@@ -104,7 +119,7 @@ def latest_vitals(readings: DataFrame, as_of: str, n: int = 10, glucose_limit: f
         F.when(high, "warning").otherwise("normal").alias("status"),
         F.when(high, "up").otherwise("down").alias("trend"),
         time_ago("reading_time", F.lit(as_of).cast("timestamp")).alias("last_reading"),
-        by_device(F.lit("80-130 mg/dL"), F.lit("<140/90 mmHg"), F.lit("170-175 lbs")).alias("target"),
+        by_device(*[F.lit(target) for _, target in VITALS.values()]).alias("target"),
     )
     return report.where(F.col("value").isNotNull())
 
@@ -122,15 +137,16 @@ def latest_risk(patients: DataFrame, risk: DataFrame, fallback: float = 68.0) ->
     joined = patients.select("patient_id", *group).join(newest, group, "left")
     missing, tier = F.col("score_date").isNull(), F.col("risk_tier")
 
-    def label(high: str, medium: str, low: str) -> Column:
+    def outlook(i: int) -> Column:
+        high, medium, low = (OUTLOOKS[t][i] for t in ("high", "medium", "low"))
         return F.when(missing | (tier == "high"), high).when(tier == "medium", medium).otherwise(low)
 
     return joined.select(
         "patient_id", *group,
         F.coalesce(F.col("score"), F.lit(fallback)).alias("overall"),
         "score_date",
-        label("Medium-High", "Medium", "Low").alias("hospitalization"),
-        label("Medium", "Low-Medium", "Low").alias("deterioration"),
+        outlook(0).alias("hospitalization"),
+        outlook(1).alias("deterioration"),
     )
 
 
@@ -138,12 +154,12 @@ def recent_notes(notes: DataFrame, n: int = 5) -> DataFrame:
     """Summaries of the flagged notes among each patient's last ``n`` notes."""
     recent = latest_n(notes, ["patient_id"], [F.col("note_time").desc(), F.col("note_id").desc()], n)
     summary = join_sentences([
-        (F.col("diet_non_adherence_flag"), "Diet non-adherence noted"),
-        (F.col("med_adherence_flag"), "Medication adherence issues"),
+        (F.col("diet_non_adherence_flag"), DIET_SENTENCE),
+        (F.col("med_adherence_flag"), MEDICATION_SENTENCE),
     ])
     return recent.select(
         "patient_id", "note_id",
         us_date("note_time").alias("date"),
-        F.lit("Phone Follow-up").alias("type"),
+        F.lit(NOTE_TYPE).alias("type"),
         summary.alias("summary"),
     ).where(F.col("summary").isNotNull())

@@ -20,8 +20,6 @@ MID_MONTH = Period("2024-01-08", "2024-01-25")
 WEIGHTS = cc.RiskWeights(incident_start="2024-01-10", incident_end="2024-01-20")
 AS_OF = "2024-01-31 00:00:00"
 
-SUPPLIED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-
 
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
