@@ -3,12 +3,13 @@
 Each binding is one projection (or plain join) over whole tables, in SQL that
 Spark and DuckDB both read, so the engine and the check start from the same
 rows. Values are messy on purpose (padding, case, NULL, unknown members, 'NaT').
-Measures are multiples of 1/4 or 1/512, so sums come out the same in any order.
+Most measures are multiples of 1/4, so sums come out the same in any order.
 """
 
 from __future__ import annotations
 
-_EVENTS = "(SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM {events}) e"
+# k, the cents of an event's value, spreads the events over the members of an enum
+_EVENTS = "(SELECT *, CAST(CAST(floor(value * 100) AS BIGINT) % 100 AS INT) AS k FROM {events}) e"
 
 _SITE = """CASE {n} % 8 WHEN 0 THEN 'Lakeview Central' WHEN 1 THEN ' Lakeview East' WHEN 2 THEN 'North Ridge '
     WHEN 3 THEN 'South Point' WHEN 4 THEN 'Pine Valley' WHEN 5 THEN ' Riverbend ' WHEN 6 THEN 'riverbend' END"""
@@ -79,7 +80,7 @@ FROM {_EVENTS}""",
 SELECT 'V-' || CAST(event_id AS STRING) AS visit_id,
   CASE WHEN k % 19 = 0 THEN 'P-other' ELSE ' P-' || CAST(user_id AS STRING) END AS patient_id,
   CAST(ts AS DATE) + k % 3 AS prediction_date,
-  floor(value) / 512 AS readmission_probability,
+  floor(value) / 500 AS readmission_probability,
   CASE event_type WHEN 'click' THEN 'low' WHEN 'view' THEN ' MEDIUM' WHEN 'purchase' THEN 'High ' WHEN 'signup' THEN 'HIGH'
     ELSE 'extreme' END AS risk_band
 FROM {_EVENTS}""",

@@ -16,11 +16,12 @@ DIGITS = 9
 
 
 def present(df: DataFrame) -> DataFrame:
-    """Result columns as the check expects them: doubles rounded, timestamps without a zone."""
+    """Result columns as the check expects them: doubles rounded as decimals, timestamps without a zone."""
 
     def shown(f: T.StructField):
         if isinstance(f.dataType, T.DoubleType):
-            return F.round(F.col(f.name), DIGITS).alias(f.name)
+            exact = F.round(F.col(f.name).try_cast("decimal(28,12)"), DIGITS).cast("double")
+            return F.coalesce(exact, F.col(f.name)).alias(f.name)
         if isinstance(f.dataType, T.TimestampType):
             return F.col(f.name).cast("timestamp_ntz").alias(f.name)
         return F.col(f.name)

@@ -336,7 +336,10 @@ def with_tables(sql: str, doubles: str = "", digits: int = 9) -> str:
     visit(sql)
     ctes = ",\n".join(f"{name} AS ({TABLES[name].strip()})" for name in TABLES if name in wanted)
     if doubles:
-        rounded = ", ".join(f"round(CAST({c} AS DOUBLE), {digits}) AS {c}" for c in doubles.split())
+        def shown(c: str) -> str:  # decimals of large values do not all turn back into the same double
+            return f"CASE WHEN abs({c}) < 1000 THEN {half_up(c, digits)} ELSE round(CAST({c} AS DOUBLE), {digits}) END AS {c}"
+
+        rounded = ", ".join(shown(c) for c in doubles.split())
         sql = f"SELECT * REPLACE ({rounded}) FROM ({sql}) result"
     if not ctes:
         return sql

@@ -17,7 +17,7 @@ ORDERS = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalpri
 
 @query("scan_parquet_dir", "SELECT * FROM orders")
 def _scan_dir(t: Inputs):
-    return files.scan_parquet(t.spark, t.sf_dir, ORDERS, "orders.parquet")
+    return files.scan_parquet(t.spark, f"{t.sf_dir}/orders.parquet", ORDERS)
 
 
 @query("scan_table", "SELECT * FROM part")

@@ -176,8 +176,7 @@ def _cc_actions(t: Inputs):
     return sc.cc_actions_weekly(t.actions_weekly, MID_MONTH)
 
 
-@query("cc_cumulative_cost", f"SELECT * FROM gold_cumulative_care_cost WHERE {DAYS}",
-       "executed_cost_usd running_total_cost_usd")
+@query("cc_cumulative_cost", f"SELECT * FROM gold_cumulative_care_cost WHERE {DAYS}")
 def _cc_cost(t: Inputs):
     return sc.cc_cumulative_cost(cc.gold_cumulative_care_cost(t.actions), MID_MONTH)
 

@@ -14,8 +14,13 @@ from .core import query
 from .inputs import Inputs
 
 
+def _source(t: Inputs, name: str) -> str:
+    """A supplied table's path as a pattern, so that it may be one file or a directory of parts."""
+    return f"{t.sf_dir}/{name}.parque[t]"
+
+
 def _stream(t: Inputs, name: str):
-    return st.read_stream(t.spark, t.sf_dir, t.supplied(name).schema, f"{name}.parquet")
+    return st.read_stream(t.spark, _source(t, name), t.supplied(name).schema)
 
 
 def _drain(t: Inputs, stream, purpose: str):
@@ -32,7 +37,7 @@ def _feed(t: Inputs, binding: str, table: str):
 def _copy(t: Inputs):
     base = shared_dir(t.spark, "copy")
     path = st.stream_copy(
-        t.spark, t.sf_dir, t.supplied("customer").schema, f"{base}/data", f"{base}/checkpoint", "customer.parquet"
+        t.spark, _source(t, "customer"), t.supplied("customer").schema, f"{base}/data", f"{base}/checkpoint"
     )
     return t.spark.read.parquet(path)
 
@@ -94,7 +99,7 @@ def _refresh(t: Inputs):
     base, suppliers = shared_dir(t.spark, "refresh"), t.supplied("supplier")
     for again in (False, True):
         path = st.stream_copy(
-            t.spark, t.sf_dir, suppliers.schema, f"{base}/data", f"{base}/checkpoint", "supplier.parquet", again
+            t.spark, _source(t, "supplier"), suppliers.schema, f"{base}/data", f"{base}/checkpoint", full_refresh=again
         )
     return t.spark.read.parquet(path)
 

@@ -56,7 +56,7 @@ _table("gold_encounter_signals", "pct_notes_with_diet_non_adherence pct_notes_wi
 _table("gold_patient_risk_daily", "avg_risk_score")(lambda t: t.patient_risk)
 _table("gold_patient_risk_weekly", "avg_risk_score")(lambda t: cc.gold_patient_risk_weekly(t.patient_risk))
 _table("gold_care_actions_weekly", "execute_rate avg_cost_usd")(lambda t: t.actions_weekly)
-_table("gold_cumulative_care_cost", "executed_cost_usd running_total_cost_usd")(
+_table("gold_cumulative_care_cost")(
     lambda t: cc.gold_cumulative_care_cost(t.actions)
 )
 _table("gold_root_cause_alignment", "valid_rate valid_rate_lag7 delta_vs_7d")(lambda t: t.alignment)
