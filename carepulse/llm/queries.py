@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bitpack, packing, simhash
+from . import bitpack, language, packing, simhash, toxicity
+from .words import fold
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -39,3 +41,21 @@ def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, bits=2)
     return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
+
+
+@_query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    known = labels.where(fold("doc_id", 5) != 0).select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
+    scored = toxicity.score(docs, toxicity.train(known, docs))
+    return scored.select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score",
+                         "predicted", "n_toxic_words", "spans")
+
+
+@_query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    known = docs.where((fold("doc_id", 4) != 2) & F.col("lang").isNotNull())
+    model = language.train(known.select(F.col("doc_id").alias("id"), F.col("lang").alias("label")), docs)
+    return language.predict(docs, model).select(
+        "doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
