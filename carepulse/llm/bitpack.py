@@ -159,7 +159,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end: int = 1, id_col: str = "doc_
         for batch in slices(batches):
             out = out or Writer(path, width(encoder(tokenizer).vocabulary))
             ids, offsets = encode_with_end(tokenizer, batch, end)
-            out.add(batch["id"], ids, offsets[1:])
+            out.add(batch["id"], ids.astype(np.uint32), offsets[1:])
         if out:
             n = out.close()
             yield pa.RecordBatch.from_pydict({"path": [path], "part": pa.array([part], pa.int32()), "n_docs": [n], "n_ids": [out.ids]})

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import bounded_batches, keep, record, slices
-from .tokens import encode_with_end, encoder
+from .tokens import encode_with_end
 
 #: Pieces that one task packs: enough for gaps of every size to meet what fills them.
 GROUP = 20_000
@@ -66,7 +66,6 @@ def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int, end: int, id_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
-        width = "<u2" if encoder(tokenizer).vocabulary <= 1 << 16 else "<u4"
         for batch in slices(batches):
             ids, offsets = encode_with_end(tokenizer, batch, end)
             pieces = -(-np.diff(offsets) // capacity)
@@ -75,8 +74,8 @@ def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int, end: int, id_c
             start = number * capacity
             begin = offsets[:-1][owner] + start
             length = np.minimum(capacity, offsets[1:][owner] - begin)
-            wide, narrow = memoryview(ids.astype("<u4").tobytes()), memoryview(ids.astype(width).tobytes())
-            size = len(narrow) // max(1, len(ids))
+            wide, narrow = memoryview(ids.astype("<u4").tobytes()), memoryview(ids.tobytes())
+            size = ids.itemsize
             spans = list(zip(begin.tolist(), (begin + length).tolist()))
             schema = pa.schema([("row", pa.int64()), ("doc_id", batch["id"].type), ("piece", pa.int32()),
                                 ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),

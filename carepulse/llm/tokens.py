@@ -10,20 +10,35 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .batches import texts
+from .batches import raw_bytes, texts
 
-#: Words remembered by a Python worker before it starts anew, and the longest word remembered.
-REMEMBERED, LONGEST = 600_000, 64
-MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Words that a Python worker remembers at most (twice over), and the longest of them.
+REMEMBERED, LONGEST = 700_000, 48
+_SPACE, _WORD, _MARK, _APOSTROPHE = range(4)
+_KIND = np.full(256, _WORD, np.uint8)
+_KIND[[9, 10, 11, 12, 13, 32]] = _SPACE
+_KIND[[b for b in range(128) if not chr(b).isalnum() and _KIND[b] != _SPACE]] = _MARK
+_KIND[ord("'")] = _APOSTROPHE
 
 
-class WordEncoder:
-    """Ids of texts under a tokenizer that drops white space and never joins text across it.
+def _plain(raw: np.ndarray) -> bool:
+    """Whether all characters beyond ASCII are letters below U+02C0 other than U+0130, and no marker string begins."""
+    high = np.bincount(raw, minlength=256)
+    if high[0xC2] or high[0xCB:].any():
+        return False
+    data = raw.tobytes()
+    return not any(x in data for x in (b"\xc3\x97", b"\xc3\xb7", b"\xc4\xb0", b"<|"))
+
 
-    A text's ids are then those of its white-space separated words, so a word is
-    given to the library once and its ids are gathered for every occurrence. Only
-    ASCII white space separates, and marker strings are left whole, so the ids
-    are those of ``encode(text, add_special_tokens=False)``.
+class WordEncoder:
+    """Ids of texts under a tokenizer that lowers case, drops white space and splits words from marks.
+
+    A text's ids are those of its pieces, so a piece is given to the library
+    once and its ids are gathered for every occurrence. Pieces are parted by ASCII
+    white space. Where a batch has nothing but ASCII and plain Latin letters,
+    they are also lower-cased and parted before marks, and after marks other than
+    an apostrophe, which the tokenizer may join with what follows. The ids are
+    those of ``encode(text, add_special_tokens=False)``.
     """
 
     def __init__(self, path: str):
@@ -32,52 +47,62 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.known: dict[str, list[int]] = {}
-
-    def _learn(self, words: list[str]) -> dict[str, list[int]]:
-        """Ids of words that aren't known yet.
-
-        A word that ends in a letter or digit and then marks is two pieces for
-        the tokenizer, so its stem is looked up in lower case like any word.
-        """
-        known, ask, joined = self.known, {}, []
-        for word in words:
-            stem = word.rstrip(MARKS)
-            if stem and word.isascii() and stem[-1].isalnum() and "<|" not in word:
-                low, tail = stem.lower(), word[len(stem):]
-                if low not in known:
-                    ask[low] = None
-                if tail and tail not in known:
-                    ask[tail] = None
-                if low != word:
-                    joined.append((word, low, tail))
-            else:
-                ask[word] = None
-        found = dict(zip(ask, [e.ids for e in self.tokenizer.encode_batch_fast(list(ask), add_special_tokens=False)]))
-        for word, low, tail in joined:
-            ids = known[low] if low in known else found[low]
-            found[word] = ids + (known[tail] if tail in known else found[tail]) if tail else ids
-        return found
+        self.kind = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def _pieces(self, column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The pieces of all texts, and the n + 1 offsets of the texts in them."""
+        raw, offsets = raw_bytes(column)
+        plain = _plain(raw)
+        if plain:
+            raw, offsets = raw_bytes(pc.utf8_lower(column))
+        kind = _KIND[raw]
+        inside = kind != _SPACE
+        begin = inside.copy()
+        if plain:
+            begin[1:] &= ~inside[:-1] | ((kind[:-1] == _WORD) & (kind[1:] >= _MARK)) | ((kind[:-1] == _MARK) & (kind[1:] == _WORD))
+        else:
+            begin[1:] &= ~inside[:-1]
+        first = offsets[:-1][np.diff(offsets) > 0]
+        begin[first] = inside[first]
+        start = np.flatnonzero(begin)
+        ends = np.append(np.cumsum(inside)[start] - 1, np.count_nonzero(inside))  # places without the white space
+        packed = pa.LargeStringArray.from_buffers(
+            len(start), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(raw[inside]))
+        return packed, np.searchsorted(start, offsets)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after another, and the n + 1 offsets of the texts."""
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        split = pc.ascii_split_whitespace(column.cast(pa.large_string()))
-        offsets = split.offsets.to_numpy().astype(np.int64)
-        coded = split.values[offsets[0]:offsets[-1]].dictionary_encode()
-        words, known = coded.dictionary.to_pylist(), self.known
-        found = self._learn([w for w in words if w not in known])
-        found[""] = []
-        lists = [known[w] if w in known else found[w] for w in words]
-        known.update(x for x in found.items() if len(x[0]) <= LONGEST)
-        counts = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter(chain.from_iterable(lists), np.uint32, counts.sum())
+            self.known, self.before = {}, self.known
+        packed, offsets = self._pieces(column)
+        coded = packed.dictionary_encode()
+        pieces, known, before = coded.dictionary.to_pylist(), self.known, self.before
+        lists = list(map(known.get, pieces))
+        new = [i for i, x in enumerate(lists) if x is None]
+        ask = []
+        for i in new:
+            lists[i] = x = before.get(pieces[i])
+            if x is None:
+                ask.append(i)
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([pieces[i] for i in ask], add_special_tokens=False)]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        raw = np.fromiter(chain.from_iterable(found), self.kind, counts.sum()).tobytes()
+        ends = (np.cumsum(counts) * self.kind.itemsize).tolist()
+        for i, a, b in zip(ask, [0, *ends], ends):
+            lists[i] = raw[a:b]
+        for i in new:
+            if len(pieces[i]) <= LONGEST:
+                known[pieces[i]] = lists[i]
+        counts = np.fromiter(map(len, lists), np.int64, len(lists)) // self.kind.itemsize
+        flat = np.frombuffer(b"".join(lists), self.kind)
         at = coded.indices.to_numpy()
         begin, counts = (np.cumsum(counts) - counts)[at], counts[at]
         ends = np.cumsum(counts)
-        ids = flat[np.repeat(begin - ends + counts, counts) + np.arange(counts.sum())]
-        return ids, np.concatenate([[0], ends])[offsets - offsets[0]]
+        total = int(ends[-1]) if len(ends) else 0
+        ids = flat[np.repeat(begin - ends + counts, counts) + np.arange(total)]
+        return ids, np.concatenate([[0], ends])[offsets]
 
 
 @functools.lru_cache(maxsize=2)
@@ -87,7 +112,11 @@ def encoder(path: str) -> WordEncoder:
 
 
 def encode_with_end(path: str, batch: pa.RecordBatch, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the batch's texts, id ``end`` after each, and the n + 1 offsets."""
+    """Ids of the batch's texts, id ``end`` after each, and the n + 1 offsets. Ids are as wide as the vocabulary needs."""
     ids, offsets = encoder(path).encode(texts(batch))
-    out = np.insert(ids, offsets[1:], end) if len(offsets) > 1 else ids
+    lengths = np.diff(offsets)
+    out = np.full(len(ids) + len(lengths), end, ids.dtype)
+    inside = np.ones(len(out), bool)
+    inside[offsets[1:] + np.arange(len(lengths))] = False
+    out[inside] = ids
     return out, offsets + np.arange(len(offsets))
