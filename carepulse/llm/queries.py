@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, language, packing, simhash, toxicity
+from . import bitpack, decontaminate, fingerprints, language, packing, pii, simhash, toxicity
 from .words import fold
 
 TOKENIZER = "word_bpe_49k.json"
@@ -59,3 +59,23 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.train(known.select(F.col("doc_id").alias("id"), F.col("lang").alias("label")), docs)
     return language.predict(docs, model).select(
         "doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@_query
+def op2_version_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.version_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"].cast("int"))
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.written(base), 256).alias("base_sha256"),
+                        pii.written(F.col("spans")).alias("spans"))

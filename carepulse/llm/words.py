@@ -60,12 +60,14 @@ def sample(labelled: DataFrame, docs: DataFrame, most: dict | int, id_col: str,
     ``labelled`` has columns id and label. One text stands for an id, that of the
     least digest, so that repeated rows can't enlarge the sample.
     """
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    limit = F.lit(most) if isinstance(most, int) else \
-        F.element_at(F.create_map(*[F.lit(x) for kv in most.items() for x in kv]), F.col("label"))
-    top = max(most.values()) if isinstance(most, dict) else most
-    rows = labelled.where("id IS NOT NULL AND label IS NOT NULL").distinct() \
-        .withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= top).where(F.col("_n") <= limit)
+    limits = most if isinstance(most, dict) else None
+    limit = F.lit(most) if limits is None else F.element_at(F.create_map(*[F.lit(x) for kv in limits.items() for x in kv]), F.col("label"))
+    rows = keep(labelled.where("id IS NOT NULL AND label IS NOT NULL").distinct(), "labelled")
+    # a share of each label's rows that is a little too large, then exactly the first of them
+    share = rows.groupBy("label").agg((limit * 1.3 * (1 << 20) / F.count("*")).alias("_share"))
+    few = rows.join(share, "label").where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.col("_share") + 64)
+    order = Window.partitionBy("label").orderBy(F.xxhash64(F.lit(1), "id"), "id")
+    rows = few.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= limit)
     chosen = keep(rows.select("id", "label"), "sample")
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = docs.select(F.col(id_col).alias("id"), text.alias("text")).join(chosen, "id")
