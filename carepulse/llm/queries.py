@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, decontaminate, fingerprints, language, packing, pii, simhash, toxicity
+from . import bitpack, decontaminate, fingerprints, language, packing, pii, repeats, simhash, toxicity
 from .words import fold
 
 TOKENIZER = "word_bpe_49k.json"
@@ -79,3 +79,9 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
     return found.select("doc_id", *counts, F.sha2(pii.written(base), 256).alias("base_sha256"),
                         pii.written(F.col("spans")).alias("spans"))
+
+
+@_query
+def op10_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove(_table(spark, sf_dir, "documents"), 100)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
