@@ -194,3 +194,11 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     kinds = dict(rows.dtypes)
     out = rows.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in names_out) + ", lang_pred string, score double")
     return out.select(*[F.col(k).alias(c) for k, c in zip(names_out, carried.values())], "lang_pred", "score")
+
+
+def accepted(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that have a language, with all their columns."""
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text = plain.columns[docs.columns.index(text_col)]
+    found = predict(plain, model, plain.columns[0], text, carry=plain.columns)
+    return found.where(F.col("lang_pred") != UNKNOWN).select(*plain.columns).toDF(*docs.columns)

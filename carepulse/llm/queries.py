@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, decontaminate, fingerprints, language, packing, pii, repeats, simhash, toxicity
+from . import bitpack, decontaminate, fingerprints, language, packing, pii, repeats, simhash, toxicity, transcripts
 from .words import fold
 
 TOKENIZER = "word_bpe_49k.json"
@@ -22,6 +23,9 @@ def _query(f: Callable[[SparkSession, str], DataFrame]):
     return f
 
 
+LLM_QUERIES["pipeline"] = corpus_pipeline.run
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -85,3 +89,22 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.remove(_table(spark, sf_dir, "documents"), 100)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def marked_transcripts(conversations: DataFrame) -> DataFrame:
+    """Conversations as transcripts in five styles of speaker markers; one turn in eight has none."""
+    style = F.pmod(F.xxhash64("conv_id"), F.lit(5))
+    name = F.when(F.col("role") == "user", F.element_at(F.array(*map(F.lit, ("User", "Human", "user", "Q", "Customer"))), style.cast("int") + 1)) \
+        .when(F.col("role") == "assistant", F.element_at(F.array(*map(F.lit, ("Assistant", "AI", "assistant", "A", "Agent"))), style.cast("int") + 1)) \
+        .otherwise("System")
+    mark = F.when(style == 1, F.concat(F.lit("### "), name, F.lit("\n"))).when(style == 2, F.concat(F.lit("<|"), name, F.lit("|>\n"))) \
+        .when(style == 4, F.concat(F.lit("**"), name, F.lit("**: "))).otherwise(F.concat(name, F.lit(": ")))
+    bare = (F.pmod(F.xxhash64("conv_id", "turn", F.lit("bare")), F.lit(8)) == 0) | F.col("role").isNull()
+    return conversations.withColumn("text", F.concat(F.when(bare, "").otherwise(mark), F.coalesce("text", F.lit(""))))
+
+
+@_query
+def op8_transcript_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = marked_transcripts(_table(spark, sf_dir, "conversations"))
+    found = transcripts.parse(rows, "conv_id", "turn", "text", "role", fold("conv_id", 4) != 0)
+    return found.select(F.col("id").alias("conv_id"), "first_line", "begins", "role", "n_lines", "rendered")
