@@ -28,11 +28,10 @@ def any_flag(predicate: Column) -> Column:
     return F.max(F.when(predicate, 1).otherwise(0))
 
 
-def median_disc(c: ColumnLike, p: float = 0.5, accuracy: int = 10000) -> Column:
-    """An actual element at rank ``p`` (the lower median for an even count).
+def approx_median(c: ColumnLike, p: float = 0.5, accuracy: int = 10000) -> Column:
+    """Some element near rank ``p``: a bounded sketch for each group, within ``1/accuracy`` of the rank.
 
-    Bounded sketch per group: exact up to ``accuracy`` rows, then within
-    ``1/accuracy`` of the rank. Raise ``accuracy`` for more.
+    For exact medians see :func:`carepulse.operators.aggregates.exact_quantiles`.
     """
     return F.percentile_approx(col(c), p, accuracy)
 

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+from ..sources.files import stored
+
 
 def sort_by(df: DataFrame, keys: Sequence[tuple[str, bool]]) -> DataFrame:
     """Order by ``(column, ascending)`` pairs."""
@@ -34,34 +37,40 @@ def latest_n(df: DataFrame, parts: Sequence[str], order: Sequence[Column], n: in
     )
 
 
+#: Hex digits of a digest that one histogram looks at: 4096 buckets.
+_DIGITS = 3
+#: Rows of the last bucket that are ranked instead of being looked at more closely.
+_RANKED = 10_000
+
+
 def sample_fixed_n(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
     """Repeatable sample of exactly ``n`` rows without replacement; all rows if there are fewer.
 
     Rows are ordered by a digest of seed and key, which must identify the row.
-    A histogram over the first five hex digits (at most 2^20 buckets, whatever
-    the input size) finds the bucket in which the n-th row falls; earlier buckets
-    are kept by a plain filter and only that one bucket is ranked.
+    The input is computed once and stored with its digest in the shared folder. A histogram
+    over the first digits finds the bucket in which the n-th row falls, another one over the
+    next digits the part of that bucket, until few rows are left to be ranked: those are
+    the only ones that meet in one task, however large the input.
     """
     parts = [F.lit(str(seed)), *[F.col(k).cast("string") for k in key]]
-    marked = df.withColumn("_h", F.md5(F.concat_ws(":", *parts))).withColumn(
-        "_b", F.conv(F.substring("_h", 1, 5), 16, 10).cast("int")
-    )
-    counts = marked.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
-    cut = (
-        counts.withColumn("_before", F.coalesce(before, F.lit(0)))
-        .where(F.col("_before") < n)
-        .agg(F.struct(F.max("_b").alias("bucket"), F.max("_before").alias("taken")).alias("c"))
-        .scalar()
-    )
-    whole = marked.where(F.col("_b") < cut["bucket"])
-    part = (
-        marked.where(F.col("_b") == cut["bucket"])
-        .withColumn("_r", F.row_number().over(Window.orderBy("_h", *key)))
-        .where(F.col("_r") <= F.lit(n) - cut["taken"])
-        .drop("_r")
-    )
-    return whole.unionByName(part).drop("_h", "_b")
+    spark = df.sparkSession
+    marked = stored(df.withColumn("_h", F.md5(F.concat_ws(":", *parts))), shared_dir(spark, "sample"))
+    low, left = "", n
+    for at in range(0, 32, _DIGITS):
+        inside = marked.where(F.col("_h").startswith(low)).groupBy(F.substring("_h", at + 1, _DIGITS).alias("b"))
+        counts = sorted((r["b"], r["count"]) for r in inside.count().collect())  # 4096 rows at most
+        if sum(c for _, c in counts) <= left:
+            return marked.where((F.col("_h") < low) | F.col("_h").startswith(low)).drop("_h")
+        for bucket, count in counts:
+            if count > left:
+                break
+            left -= count
+        low += bucket
+        if count <= _RANKED:
+            break
+    whole = marked.where(F.col("_h") < low)
+    part = marked.where(F.col("_h").startswith(low)).orderBy("_h", *key).limit(left)
+    return whole.unionByName(part).drop("_h")
 
 
 def trim_to_target(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:

@@ -1,12 +1,13 @@
 """Row generators: calendars, dense scaffolds, list and count expansion.
 
-No cross join anywhere: a dimension becomes one array (a scalar subquery) that
+No cross join anywhere: a dimension is a list or a range between two scalars that
 is exploded next to the keys, so the plan is a projection over the key side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,32 +52,44 @@ def values(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame
     return spark.range(1).select(F.inline(F.array(*literals)))
 
 
-def scaffold(keys: DataFrame, dims: Mapping[str, DataFrame | Sequence]) -> DataFrame:
+@dataclass(frozen=True)
+class Span:
+    """A range as a scaffold dimension: bounds and step are scalars, the members are never gathered."""
+
+    low: Column
+    high: Column
+    step: Column
+
+    def members(self) -> Column:
+        return F.sequence(self.low, self.high, self.step)
+
+
+def days_of(df: DataFrame, date_col: str = "date") -> Span:
+    """Every day between the first and the last date found in ``df``: for a calendar, its days."""
+    days = F.col(date_col).cast("date")
+    low, high = (df.agg(f(days).alias("d")).scalar() for f in (F.min, F.max))
+    return Span(low, high, F.expr("INTERVAL 1 DAY"))
+
+
+def hours_of_day() -> Span:
+    return Span(F.lit(0), F.lit(23), F.lit(1))
+
+
+def scaffold(keys: DataFrame, dims: Mapping[str, Span | Sequence]) -> DataFrame:
     """Every key row with every combination of the dimensions.
 
-    ``keys`` may be of any size and keeps its partitioning. Each dimension is a
-    list of literals or a one-column, calendar-like relation (days, hours): it
-    travels as one array, and more than ``MAX_MEMBERS`` members are an error.
+    ``keys`` may be of any size and keeps its partitioning. A dimension is a list of
+    literals or a :class:`Span`; a relation is refused, whatever its size: make it the keys.
     """
     out = keys
     for name, dim in dims.items():
-        members = _members(dim) if isinstance(dim, DataFrame) else F.array(*[F.lit(m) for m in dim])
+        if isinstance(dim, DataFrame):
+            raise TypeError(f"dimension {name} is a relation; give its Span, or make it the keys")
+        members = dim.members() if isinstance(dim, Span) else F.array(*[F.lit(m) for m in dim])
         out = out.select("*", F.explode(members).alias(name))
     return out
 
 
-#: Longest dimension of a scaffold: 270 years of days.
-MAX_MEMBERS = 100_000
-
-
-def _members(dim: DataFrame) -> Column:
-    """All members of a dimension as one checked array."""
-    listed = dim.limit(MAX_MEMBERS + 1).agg(F.sort_array(F.collect_list(dim.columns[0])).alias("m"))
-    too_long = F.raise_error(F.lit(f"a scaffold dimension has more than {MAX_MEMBERS} members; make it the keys"))
-    checked = F.when(F.size("m") <= MAX_MEMBERS, F.col("m")).otherwise(too_long)
-    return listed.select(checked).scalar()
-
-
 def explode_csv(df: DataFrame, c: str, out: str, sep: str = ",") -> DataFrame:
     """One row per trimmed item of a separated list.
 
@@ -87,19 +100,19 @@ def explode_csv(df: DataFrame, c: str, out: str, sep: str = ",") -> DataFrame:
 
 
 def repeat_rows(df: DataFrame, n_col: str, out: str = "copy_no", chunk: int = 4096,
-                spread: int | None = None) -> DataFrame:
+                spread: bool = False) -> DataFrame:
     """Repeat each row ``n_col`` times, numbered 1..n; no row where n is NULL or below 1.
 
     Expansion is in two steps, so no array is longer than ``max(n/chunk, chunk)``
     and a row with a huge count streams through. ``spread`` shuffles the chunks
-    of rows over that many partitions in between, for when one row makes up
+    of rows in between, to the session's shuffle partitions, for when one row makes up
     much of the output.
     """
     chunks = df.where(F.col(n_col) >= 1).withColumn(
         "_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n_col) - 1) / chunk)))
     )
     if spread:
-        chunks = chunks.repartition(spread, *df.columns, "_chunk")
+        chunks = chunks.repartition(*df.columns, "_chunk")
     low = F.col("_chunk") * chunk
     high = F.least(low + chunk, F.col(n_col).cast("long"))
     return chunks.withColumn(out, F.explode(F.sequence(low + 1, high))).drop("_chunk")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import ColumnLike, col
+from .quality import dq_unique
 
 
 def map_concepts(concept: DataFrame, relationship: DataFrame, vocabulary: str, target: str | None = None,
@@ -40,8 +41,19 @@ def map_concepts(concept: DataFrame, relationship: DataFrame, vocabulary: str, t
 
 
 def surrogate_id(c: ColumnLike) -> Column:
-    """Repeatable 60-bit id from a natural key; the same on every engine that has md5."""
-    return F.conv(F.substring(F.md5(col(c).cast("string")), 1, 15), 16, 10).cast("bigint")
+    """Repeatable id from a natural key: all 128 bits of md5 as text; the same on every engine that has md5.
+
+    Two of n keys share an id with a chance of about n^2 / 2^129.
+    """
+    return F.md5(col(c).cast("string"))
+
+
+def checked_persons(persons: DataFrame) -> DataFrame:
+    """``persons`` if no id stands for two different people; an error otherwise, before any row is passed on."""
+    clash = dq_unique(persons.select("person_id", "person_source_value").distinct(), ["person_id"]).limit(1).count()
+    if clash:
+        raise ValueError("a person_id stands for more than one source patient")
+    return persons
 
 
 def omop_person_load(patients: DataFrame, locations: DataFrame | None = None,

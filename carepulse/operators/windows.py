@@ -7,17 +7,16 @@ row per day (and unit), so its size is bounded by the calendar.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.measures import median_disc
+from .aggregates import exact_quantiles, with_group_columns
 
 
-def partition_medians(df: DataFrame, c: str, parts: Sequence[str], out: str, accuracy: int = 10000) -> DataFrame:
-    """Lower median of ``c`` per partition, one row each."""
-    return df.groupBy(*parts).agg(median_disc(c, accuracy=accuracy).alias(out))
+def partition_medians(df: DataFrame, c: str, parts: Sequence[str], out: str) -> DataFrame:
+    """Lower median of ``c`` per partition, one row each; exact."""
+    return exact_quantiles(df, parts, {out: c})
 
 
 def with_partition_median(df: DataFrame, c: str, parts: Sequence[str], out: str,
@@ -33,10 +32,7 @@ def with_partition_median(df: DataFrame, c: str, parts: Sequence[str], out: str,
     enough to broadcast, does not shuffle ``df`` at all.
     """
     small = partition_medians(df, c, parts, out) if medians is None else medians
-    keys = [f"_k{i}" for i in range(len(parts))]
-    right = small.select(*[F.col(p).alias(k) for p, k in zip(parts, keys)], out)
-    same = reduce(lambda a, b: a & b, [df[p].eqNullSafe(right[k]) for p, k in zip(parts, keys)])
-    return df.join(right, same, "left").drop(*keys)
+    return with_group_columns(df, small.select(*parts, out), parts)
 
 
 def running_sum(df: DataFrame, c: str, parts: Sequence[str], order: Sequence[str], out: str) -> DataFrame:

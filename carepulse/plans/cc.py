@@ -13,7 +13,7 @@ from ..functions.temporal import in_trailing_days, week_start
 from ..operators.aggregates import roll_up
 from ..operators.joining import densify, exists_in, left_enrich
 from ..operators.sets import filter_bridge
-from ..operators.spine import date_spine, explode_csv, scaffold
+from ..operators.spine import date_spine, days_of, explode_csv, scaffold
 from ..operators.windows import delta_vs_lag, running_sum
 
 # The enum members of the raw feeds.
@@ -148,7 +148,7 @@ def gold_date_spine(spark: SparkSession, start: str = "2025-08-01", end: str = "
 def gold_device_ingestion(readings: DataFrame, calendar: DataFrame, patients: DataFrame) -> DataFrame:
     """Dense date-region-device table of readings and their valid share (NULL without readings)."""
     regions = patients.select("region").distinct()
-    grid = scaffold(regions, {"date": calendar.select("date"), "device_type": DEVICE_TYPES})
+    grid = scaffold(regions, {"date": days_of(calendar), "device_type": DEVICE_TYPES})
     key = ["date", "region", "device_type"]
     counts = readings.groupBy(*key).agg(
         F.count(F.lit(1)).alias("readings_total"), count_if(F.col("valid_flag")).alias("readings_valid")
@@ -278,7 +278,7 @@ def gold_patient_risk_daily(calendar: DataFrame, patients: DataFrame, readings:
     ).join(active.select("patient_id", *group), "patient_id")
     extra = observed.groupBy("date", *group).agg(F.sum(seen - idle).alias("_extra"))
     sizes = active.groupBy(*group).agg(F.count(F.lit(1)).alias("patient_days"))
-    dense = densify(scaffold(sizes, {"date": days}), [extra], ["date", *group], {"_extra": 0.0})
+    dense = densify(scaffold(sizes, {"date": days_of(calendar)}), [extra], ["date", *group], {"_extra": 0.0})
     return dense.select(
         "date", *group,
         (idle + F.col("_extra") / F.col("patient_days")).alias("avg_risk_score"),

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import bucket_in, enum_ci, enum_exact, flag, null_default, value_if
-from ..functions.measures import count_if, median_disc, rate, ratio
+from ..functions.measures import count_if, rate, ratio
 from ..functions.temporal import decode_time, duration_minutes, is_weekend, month_start, week_start
+from ..operators.aggregates import exact_quantiles
 from ..operators.joining import densify, left_enrich
 from ..operators.sets import union_distinct
 from ..operators.windows import partition_medians, running_sum, with_partition_median
@@ -131,10 +132,9 @@ FLOW_HOUR = ["site", "date", "hour_of_day"]
 FLOW_MEDIAN = "queue_length_median_15min"
 
 
-def flow_hour_medians(raw: DataFrame, regions: Mapping[str, Sequence[str]] = SITE_REGIONS,
-                      accuracy: int = 10000) -> DataFrame:
+def flow_hour_medians(raw: DataFrame, regions: Mapping[str, Sequence[str]] = SITE_REGIONS) -> DataFrame:
     """Median queue length per site, date and hour; a small table worth storing first."""
-    return partition_medians(clean_patient_flow(raw, regions), "queue_length", FLOW_HOUR, FLOW_MEDIAN, accuracy)
+    return partition_medians(clean_patient_flow(raw, regions), "queue_length", FLOW_HOUR, FLOW_MEDIAN)
 
 
 def silver_patient_flow(raw: DataFrame, regions: Mapping[str, Sequence[str]] = SITE_REGIONS,
@@ -216,7 +216,7 @@ def er_hour_scaffold(visits: DataFrame) -> DataFrame:
 
 def gold_er_operational_hourly(visits: DataFrame, flow: DataFrame, shifts: DataFrame,
                                regions: Mapping[str, Sequence[str]] = SITE_REGIONS,
-                               minutes_per_arrival: float = 240.0, accuracy: int = 10000) -> DataFrame:
+                               minutes_per_arrival: float = 240.0) -> DataFrame:
     """Dense site-hour table: arrivals, throughput, medians, staffing and two ratios.
 
     The smoothed queue length is constant within a site-hour, so its median is
@@ -236,11 +236,11 @@ def gold_er_operational_hourly(visits: DataFrame, flow: DataFrame, shifts: DataF
         movement(F.col("arrival_date"), F.col("arrival_hour"), 1), movement(left.cast("date"), F.hour(left), 0)
     ))).where(F.col("date").isNotNull())
     counts = moves.groupBy(*key).agg(F.sum("came").alias("arrivals"), F.sum("went").alias("throughput"))
-    waits = flow.groupBy(*key).agg(
-        median_disc("triage_wait_minutes", accuracy=accuracy).alias("door_to_triage_median"),
-        median_disc("door_to_provider_minutes", accuracy=accuracy).alias("door_to_provider_median"),
-        median_disc("queue_length", accuracy=accuracy).cast("double").alias("queue_length_median"),
-    )
+    waits = exact_quantiles(flow, key, {
+        "door_to_triage_median": "triage_wait_minutes",
+        "door_to_provider_median": "door_to_provider_minutes",
+        "queue_length_median": F.col("queue_length").cast("double"),
+    })
     staffing = shifts.groupBy(
         "site", F.col("shift_date").alias("date"), F.col("start_hour").alias("hour_of_day")
     ).agg(F.sum("effective_shift_hours").alias("effective_staffing_hours"))
@@ -263,7 +263,7 @@ def gold_er_operational_hourly(visits: DataFrame, flow: DataFrame, shifts: DataF
 
 
 def gold_er_quality_daily(visits: DataFrame, flow: DataFrame, surveys: DataFrame,
-                          regions: Mapping[str, Sequence[str]] = SITE_REGIONS, accuracy: int = 10000) -> DataFrame:
+                          regions: Mapping[str, Sequence[str]] = SITE_REGIONS) -> DataFrame:
     """Daily left-without-being-seen rate, throughput, median waits and satisfaction."""
     day = ["site", "unit", "date"]
     daily = visits.groupBy("site", "unit", F.col("arrival_date").alias("date"), "is_weekend").agg(
@@ -271,10 +271,10 @@ def gold_er_quality_daily(visits: DataFrame, flow: DataFrame, surveys: DataFrame
         count_if(F.col("discharge_disposition") == "LWBS").alias("lwbs_count"),
         F.count("discharge_time_utc").alias("throughput_daily"),
     )
-    waits = flow.groupBy(*day).agg(
-        median_disc("triage_wait_minutes", accuracy=accuracy).alias("median_triage_wait_minutes"),
-        median_disc("door_to_provider_minutes", accuracy=accuracy).alias("median_door_to_provider_minutes"),
-    )
+    waits = exact_quantiles(flow, day, {
+        "median_triage_wait_minutes": "triage_wait_minutes",
+        "median_door_to_provider_minutes": "door_to_provider_minutes",
+    })
     scores = surveys.groupBy("site", "unit", F.col("arrival_date").alias("date")).agg(
         F.avg("overall_score").alias("satisfaction_overall_avg")
     )

@@ -178,7 +178,7 @@ def er_risk_vs_access(readmission: DataFrame, quality: DataFrame, period: Period
 
 def er_top10_lwbs(quality: DataFrame, k: int = 10, period: Period = SEPTEMBER) -> DataFrame:
     cols = ["site", "date", "is_weekend", "visits_total", "lwbs_rate", *WAITS]
-    return top_k(quality.where(period.holds()).select(*cols), "lwbs_rate", k, ["date", "site", "is_weekend"])
+    return top_k(quality.where(period.holds()), "lwbs_rate", k, ["date", "site", "unit", "is_weekend"]).select(*cols)
 
 
 def er_top10_lwbs_pct(quality: DataFrame, k: int = 10, period: Period = SEPTEMBER) -> DataFrame:

@@ -9,14 +9,14 @@ from ..functions import measures as m
 from ..functions.cleaning import band_probability
 from ..operators import aggregates as ag, quality as dq, ranking as rk
 from ..operators.metrics import metric_view
-from ..operators.vocabulary import omop_person_load
+from ..operators.vocabulary import checked_persons, omop_person_load
 from .core import query
 from .inputs import Inputs
 from .oracle import share
 
 
 def _person(t: Inputs):
-    return omop_person_load(t.raw("clean_patients"), t.raw("locations"), {"zip": "zip"})
+    return checked_persons(omop_person_load(t.raw("clean_patients"), t.raw("locations"), {"zip": "zip"}))
 
 
 @query("dq_required_not_null", """
@@ -54,10 +54,10 @@ def _(t: Inputs):
 
 
 @query("dq_referential", """
-SELECT count(DISTINCT l_suppkey) AS orphan_keys, count(*) AS orphan_rows FROM lineitem
-WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)""")
+SELECT count(DISTINCT c_custkey) AS orphan_keys, count(*) AS orphan_rows FROM customer
+WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
 def _(t: Inputs):
-    return dq.dq_referential(t.supplied("lineitem"), t.supplied("supplier").where("s_acctbal > 0"), {"l_suppkey": "s_suppkey"})
+    return dq.dq_referential(t.supplied("customer"), t.supplied("orders"), {"c_custkey": "o_custkey"})
 
 
 @query("dq_unique", """
@@ -166,6 +166,6 @@ def _(t: Inputs):
     measures = {
         "shifts": F.count(F.lit(1)),
         "sick_rate": m.rate(F.col("sick_leave_flag")),
-        "overtime_median": m.median_disc("overtime_hours"),
     }
-    return ag.weekend_compare(t.shifts.where("role = 'Nurse'"), "scheduled_start_utc", measures)
+    nurses = t.shifts.where("role = 'Nurse'")
+    return ag.weekend_compare(nurses, "scheduled_start_utc", measures, {"overtime_median": "overtime_hours"})

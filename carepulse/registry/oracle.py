@@ -315,7 +315,7 @@ SELECT o.SalesOrderID, o.SalesOrderDetailID, o.OrderQty, o.UnitPrice, o.UnitPric
   o.OrderQty * o.UnitPrice - o.LineTotal AS TotalDiscount
 FROM order_lines o JOIN products p ON o.ProductID = p.ProductID""",
     "person": """
-SELECT CAST('0x' || substr(md5(source_patient_id), 1, 15) AS BIGINT) AS person_id, gender_concept_id,
+SELECT md5(source_patient_id) AS person_id, gender_concept_id,
   CAST(year(birth_datetime) AS INT) AS year_of_birth, CAST(month(birth_datetime) AS INT) AS month_of_birth,
   CAST(day(birth_datetime) AS INT) AS day_of_birth, birth_datetime, race_concept_id, ethnicity_concept_id, location_id,
   source_patient_id AS person_source_value

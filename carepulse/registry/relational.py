@@ -18,11 +18,11 @@ from .oracle import median, share
 SELECT CAST(d.date AS DATE) AS date, CAST(dayofweek(d.date) + 1 AS INT) AS dow, dayofweek(d.date) IN (0, 6) AS is_weekend,
   CAST(date_trunc('week', d.date) AS TIMESTAMP) AS week_start, CAST(date_trunc('month', d.date) AS TIMESTAMP) AS month,
   count(o.o_orderkey) AS orders_total
-FROM (SELECT unnest(generate_series(DATE '1995-01-01', DATE '1996-12-31', INTERVAL 1 DAY)) AS date) d
+FROM (SELECT unnest(generate_series(DATE '1990-01-01', DATE '2009-12-31', INTERVAL 1 DAY)) AS date) d
 LEFT JOIN orders o ON CAST(o.o_orderdate AS DATE) = CAST(d.date AS DATE) GROUP BY ALL""")
 def _(t: Inputs):
     daily = ag.count_by(t.supplied("orders"), {"date": F.col("o_orderdate").cast("date")}, "orders_total")
-    return jo.densify(spine.date_spine(t.spark, "1995-01-01", "1996-12-31"), [daily], ["date"], {"orders_total": 0})
+    return jo.densify(spine.date_spine(t.spark, "1990-01-01", "2009-12-31"), [daily], ["date"], {"orders_total": 0})
 
 
 @query("date_spine_from_data", """
@@ -35,12 +35,12 @@ def _(t: Inputs):
 
 
 @query("hour_spine", """
-SELECT CAST(h.hour_of_day AS INT) AS hour_of_day, count(e.event_id) AS big_events
+SELECT CAST(h.hour_of_day AS INT) AS hour_of_day, count(e.event_id) AS events_total
 FROM (SELECT unnest(generate_series(0, 23)) AS hour_of_day) h
-LEFT JOIN events e ON hour(e.ts) = h.hour_of_day AND e.value > 200 GROUP BY ALL""")
+LEFT JOIN events e ON hour(e.ts) = h.hour_of_day GROUP BY ALL""")
 def _(t: Inputs):
-    counts = ag.count_by(t.supplied("events").where("value > 200"), {"hour_of_day": F.hour("ts")}, "big_events")
-    return jo.densify(spine.hour_spine(t.spark), [counts], ["hour_of_day"], {"big_events": 0})
+    counts = ag.count_by(t.supplied("events"), {"hour_of_day": F.hour("ts")}, "events_total")
+    return jo.densify(spine.hour_spine(t.spark), [counts], ["hour_of_day"], {"events_total": 0})
 
 
 @query("literal_values", """
@@ -61,7 +61,7 @@ def _(t: Inputs):
 @query("expand_by_count", """
 SELECT p_partkey, p_size, CAST(unnest(generate_series(1, p_size)) AS BIGINT) AS copy_no FROM part""")
 def _(t: Inputs):
-    return spine.repeat_rows(t.supplied("part").select("p_partkey", "p_size"), "p_size", chunk=16, spread=8)
+    return spine.repeat_rows(t.supplied("part").select("p_partkey", "p_size"), "p_size", chunk=16, spread=True)
 
 
 # ---- joins ----------------------------------------------------------------
@@ -89,7 +89,7 @@ def _(t: Inputs):
     throughput = ag.count_by(
         t.visits.where(left.isNotNull()), {"site": "site", "date": left.cast("date"), "hour_of_day": F.hour(left)}, "throughput"
     )
-    waits = t.flow.groupBy(*key).agg(m.median_disc("triage_wait_minutes").alias("door_to_triage_median"))
+    waits = ag.exact_quantiles(t.flow, key, {"door_to_triage_median": "triage_wait_minutes"})
     grid = er.er_hour_scaffold(t.visits).select(*key)
     return jo.densify(grid, [arrivals, throughput, waits], key, {"arrivals": 0, "throughput": 0})
 
@@ -116,10 +116,12 @@ def _(t: Inputs):
 
 
 @query("filtered_cross_join", """
-SELECT d.date, p.patient_id, p.risk_tier FROM gold_date_spine d CROSS JOIN silver_patient_master p WHERE p.active_flag""")
+SELECT d.date, p.risk_tier, count(*) AS patients FROM gold_date_spine d CROSS JOIN silver_patient_master p
+WHERE p.active_flag GROUP BY ALL""")
 def _(t: Inputs):
-    active = t.patients.where("active_flag").select("patient_id", "risk_tier")
-    return spine.scaffold(active, {"date": t.calendar.select("date")})
+    # every day meets every active patient, so patients are counted first and the pairs never made
+    active = ag.count_by(t.patients.where("active_flag"), {"risk_tier": "risk_tier"}, "patients")
+    return spine.scaffold(active, {"date": spine.days_of(t.calendar)}).select("date", "risk_tier", "patients")
 
 
 @query("inner_join_distinct", """
@@ -207,9 +209,7 @@ def _(t: Inputs):
 @query("agg_median", f"""
 SELECT site, date, {median('triage_wait_minutes')} AS triage, {median('queue_length')} AS queue FROM flow_rows GROUP BY ALL""")
 def _(t: Inputs):
-    return t.flow.groupBy("site", "date").agg(
-        m.median_disc("triage_wait_minutes").alias("triage"), m.median_disc("queue_length").alias("queue")
-    )
+    return ag.exact_quantiles(t.flow, ["site", "date"], {"triage": "triage_wait_minutes", "queue": "queue_length"})
 
 
 @query("agg_ratio", f"""
@@ -294,10 +294,10 @@ def _(t: Inputs):
 
 @query("topk_global", f"""
 SELECT site, date, is_weekend, visits_total, lwbs_rate, median_triage_wait_minutes, median_door_to_provider_minutes
-FROM gold_er_quality_daily WHERE unit = 'ER' AND date BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}'
-ORDER BY lwbs_rate DESC, date, site, is_weekend LIMIT 10""", "lwbs_rate")
+FROM gold_er_quality_daily WHERE date BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}'
+ORDER BY lwbs_rate DESC, date, site, unit, is_weekend LIMIT 10""", "lwbs_rate")
 def _(t: Inputs):
-    return se.er_top10_lwbs(t.quality.where("unit = 'ER'"), 10, JANUARY)
+    return se.er_top10_lwbs(t.quality, 10, JANUARY)
 
 
 @query("limit_lookup", "SELECT * FROM customer WHERE c_custkey = 77 LIMIT 1")

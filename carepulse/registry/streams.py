@@ -104,7 +104,7 @@ def _refresh(t: Inputs):
     return t.spark.read.parquet(path)
 
 
-@query("pipeline_temp_view", "SELECT c_mktsegment, count(*) AS customers FROM customer WHERE c_acctbal > 0 GROUP BY ALL")
+@query("pipeline_temp_view", "SELECT c_mktsegment, count(*) AS customers FROM customer GROUP BY ALL")
 def _view(t: Inputs):
-    view = st.temp_view(where(t.supplied("customer"), F.col("c_acctbal") > 0), "customers_in_credit")
+    view = st.temp_view(t.supplied("customer"), "customers_by_segment")
     return view.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("customers"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -20,7 +20,8 @@ class TimeBound:
     after: str
 
 
-def stream_join(left: DataFrame, right: DataFrame, on: str, salts: int = 8, bound: TimeBound | None = None) -> DataFrame:
+def stream_join(left: DataFrame, right: DataFrame, on: str, salts: int = 8, bound: TimeBound | None = None,
+                rename: Mapping[str, str] | None = None) -> DataFrame:
     """Inner equi-join of two streams in append mode.
 
     Without ``bound`` both sides stay in state for good, as an unbounded inner
@@ -28,21 +29,33 @@ def stream_join(left: DataFrame, right: DataFrame, on: str, salts: int = 8, boun
     memory. AQE does not act on streams, so a hot key is split by hand: each
     left row goes to one of ``salts`` sub-keys, each right row to all of them.
     The result is the same; the right side (the smaller one) is stored
-    ``salts`` times.
+    ``salts`` times, so set it to the number of tasks that the hottest key needs. On batch tables
+    nothing is salted, since AQE splits a hot key there.
+
+    Columns other than the key that both sides have are an error, unless
+    ``rename`` (``{right column: name in the result}``) tells them apart.
     """
-    if bound is not None:
+    names = dict(rename or {})
+    taken = [names.get(c, c) for c in right.columns if c != on]
+    clash = sorted(set(left.columns) & set(taken))
+    if clash:
+        raise ValueError(f"both sides have the columns {clash}; rename those of the right side")
+    if bound is not None and left.isStreaming:
         left = left.withWatermark(bound.left_time, bound.delay)
         right = right.withWatermark(bound.right_time, bound.delay)
-    spread = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")).alias("l")
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).alias("r")
-    match = (F.col(f"l.{on}") == F.col(f"r.{on}")) & (F.col("l._salt") == F.col("r._salt"))
+    salted = left.isStreaming or right.isStreaming
+    salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int") if salted else F.lit(0)
+    spread = left.withColumn("_salt", salt).alias("l")
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))) if salted else F.lit(0)).alias("r")
+    match = F.col(f"l.{on}") == F.col(f"r.{on}")
+    if salted:
+        match = match & (F.col("l._salt") == F.col("r._salt"))
     if bound is not None:
         lt, rt = F.col(f"l.{bound.left_time}"), F.col(f"r.{bound.right_time}")
         match = match & (rt >= lt - F.expr(f"INTERVAL {bound.before}")) & (rt <= lt + F.expr(f"INTERVAL {bound.after}"))
-    taken = set(left.columns)
     return spread.join(copies, match, "inner").select(
         *[F.col(f"l.{c}") for c in left.columns],
-        *[F.col(f"r.{c}") for c in right.columns if c not in taken],
+        *[F.col(f"r.{c}").alias(names.get(c, c)) for c in right.columns if c != on],
     )
 
 
@@ -78,8 +91,11 @@ PRODUCT_COLUMNS = [
 ]
 
 
-def flat_orders(order_lines: DataFrame, products: DataFrame, salts: int = 8) -> DataFrame:
-    """Order lines with their product, flat; works on streams and on batch tables alike."""
+def flat_orders(order_lines: DataFrame, products: DataFrame, salts: int = 8, bound: TimeBound | None = None) -> DataFrame:
+    """Order lines with their product, flat; works on streams and on batch tables alike.
+
+    ``bound`` (order ``ModifiedDate`` against a product time such as ``SellStartDate``) limits what the streams keep.
+    """
     lines = order_lines.select("ProductID", *ORDER_COLUMNS)
-    joined = stream_join(lines, products.select(*PRODUCT_COLUMNS), "ProductID", salts)
+    joined = stream_join(lines, products.select(*PRODUCT_COLUMNS), "ProductID", salts, bound)
     return with_order_amounts(joined.select(*ORDER_COLUMNS, *PRODUCT_COLUMNS)).withColumnsRenamed(FLAT_RENAMES)

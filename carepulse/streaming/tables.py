@@ -47,9 +47,9 @@ def run_available(stream: DataFrame, dst: str, ckpt: str, full_refresh: bool = F
 
 
 def stream_copy(spark: SparkSession, src: str, schema: T.StructType | str, dst: str, ckpt: str,
-                glob: str = "*.parquet", full_refresh: bool = False) -> str:
-    """Append-only copy of a landing directory."""
-    return run_available(read_stream(spark, src, schema, glob), dst, ckpt, full_refresh)
+                glob: str = "*.parquet", full_refresh: bool = False, max_files: int | None = 1000) -> str:
+    """Append-only copy of a landing directory, ``max_files`` new files a batch."""
+    return run_available(read_stream(spark, src, schema, glob, max_files), dst, ckpt, full_refresh)
 
 
 def temp_view(df: DataFrame, name: str) -> DataFrame:

@@ -70,11 +70,12 @@ def main() -> int:
             continue
         started = time.time()
         try:
-            wrong = difference(run(spark, sf_dir), con, checks[key])
+            result = run(spark, sf_dir)
+            wrong = difference(result, con, checks[key]) if key in checks else f"no SQL; {result.count()} rows"
         except Exception as e:  # report and go on
             wrong = f"{type(e).__name__}: {str(e)[:1200]}"
-        failed += wrong is not None
-        print(f"{'ok ' if wrong is None else 'BAD'} {key} {time.time() - started:.2f}s {wrong or ''}", flush=True)
+        failed += wrong is not None and key in checks
+        print(f"{'ok ' if wrong is None else 'BAD' if key in checks else '-- '} {key} {time.time() - started:.2f}s {wrong or ''}", flush=True)
     print(f"{failed} failed")
     return failed
 

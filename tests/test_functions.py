@@ -102,7 +102,7 @@ def test_trailing_days_include_both_ends(table):
 def test_measures(table):
     df = table("f boolean, x int", (True, 0), (None, 1), (False, 2), (True, 3))
     got = df.agg(
-        m.count_if(F.col("f")), m.rate(F.col("f")), m.any_flag(F.col("f")), m.sum_if(F.col("f"), "x"), m.median_disc("x"),
+        m.count_if(F.col("f")), m.rate(F.col("f")), m.any_flag(F.col("f")), m.sum_if(F.col("f"), "x"), m.approx_median("x"),
         m.ratio(m.count_if(F.col("f")), F.count(F.lit(1))),
     )
     assert rows(got) == [(2, 0.5, 1, 3, 1, 0.5)]

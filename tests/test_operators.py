@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from carepulse.functions import measures as m
 from carepulse.operators import aggregates as ag, joining as jo, quality as dq, ranking as rk, sets, shaping as sh, spine, windows as wn
 from carepulse.operators.metrics import MetricView
-from carepulse.operators.vocabulary import map_concepts, omop_person_load, surrogate_id
+from carepulse.operators.vocabulary import checked_persons, map_concepts, omop_person_load, surrogate_id
 from helpers import column, plan_of, rows
 
 
@@ -46,8 +46,8 @@ def test_date_spines(spark, table):
 
 def test_scaffold_is_dense_without_a_cross_join(spark, table):
     keys = table("site string", ("a",), ("b",))
-    days = spine.date_spine(spark, "2025-09-01", "2025-09-03").select("date")
-    grid = spine.scaffold(keys, {"date": days, "hour_of_day": spine.hour_spine(spark)})
+    days = spine.days_of(spine.date_spine(spark, "2025-09-01", "2025-09-03"))
+    grid = spine.scaffold(keys, {"date": days, "hour_of_day": spine.hours_of_day()})
     assert grid.count() == grid.distinct().count() == 2 * 3 * 24
     assert "NestedLoop" not in plan_of(grid) and "Cartesian" not in plan_of(grid)
 
@@ -58,10 +58,30 @@ def test_literal_relations(spark, table):
     assert rows(spine.scaffold(table("site string", ("s",)), {"kind": ["x", "y"]})) == [("s", "x"), ("s", "y")]
 
 
-def test_scaffold_refuses_an_unbounded_dimension(spark, table):
-    keys = table("site string", ("a",))
-    with pytest.raises(Exception, match="make it the keys"):
-        spine.scaffold(keys, {"id": spark.range(spine.MAX_MEMBERS + 1)}).count()
+def test_scaffold_refuses_a_relation_of_any_size(spark, table):
+    with pytest.raises(TypeError, match="make it the keys"):
+        spine.scaffold(table("site string", ("a",)), {"id": spark.range(1)})
+
+
+def test_scaffold_takes_a_long_range(table):
+    ends = table("date date", (d("1500-01-01"),), (d("1500-01-01") + dt.timedelta(days=199_999),))
+    grid = spine.scaffold(table("site string", ("a",), ("b",)), {"date": spine.days_of(ends)})
+    assert grid.count() == 2 * 200_000
+
+
+def test_exact_quantiles(table):
+    df = table("k string, v int, x double", ("a", 1, 0.5), ("a", 2, None), ("a", 2, None), ("a", 9, None), (None, None, 1.0), (None, 3, 2.0), ("b", None, None))
+    out = ag.exact_quantiles(df, ["k"], {"mid": "v", "low": "x"})
+    assert rows(out) == sorted([("a", 2, 0.5), (None, 3, 1.0), ("b", None, None)], key=repr)
+    assert out.dtypes == [("k", "string"), ("mid", "int"), ("low", "double")]
+    assert rows(ag.exact_quantiles(df.where("1 = 0"), ["k"], {"mid": "v"})) == []
+
+
+def test_exact_median_of_many_distinct_values(spark):
+    n = 20_001
+    df = spark.range(n, numPartitions=5).select(F.lit("g").alias("g"), F.pmod(F.col("id") * 7919, F.lit(n)).alias("v"))
+    assert rows(ag.exact_quantiles(df, ["g"], {"mid": "v"})) == [("g", n // 2)]
+    assert "Exchange" in plan_of(ag.exact_quantiles(df, ["g"], {"mid": "v"}))
 
 
 def test_explode_csv_with_spaces_empty_and_null(table):
@@ -70,7 +90,7 @@ def test_explode_csv_with_spaces_empty_and_null(table):
     assert rows(out, "id", "region") == [(1, "Central"), (1, "West"), (2, "East"), (3, "")]
 
 
-@pytest.mark.parametrize("spread", [None, 3])
+@pytest.mark.parametrize("spread", [False, True])
 def test_repeat_rows_crosses_chunks(table, spread):
     df = table("id int, n int", (1, 0), (2, 1), (3, 10), (4, None), (5, 4), (6, -2))
     out = spine.repeat_rows(df, "n", chunk=4, spread=spread)
@@ -211,7 +231,7 @@ def test_phases_are_half_open(table):
 
 def test_weekend_compare(table):
     df = table("t timestamp, v int", (dt.datetime(2025, 9, 6), 4), (dt.datetime(2025, 9, 8), 2), (dt.datetime(2025, 9, 9), 3))
-    assert rows(ag.weekend_compare(df, "t", {"med": m.median_disc("v")})) == [(False, 2), (True, 4)]
+    assert rows(ag.weekend_compare(df, "t", {}, {"med": "v"})) == [(False, 2), (True, 4)]
 
 
 # ---- quality --------------------------------------------------------------
@@ -290,7 +310,14 @@ def test_person_load(table):
     assert (got["12345"]["year_of_birth"], got["12345"]["month_of_birth"], got["12345"]["day_of_birth"]) == (1980, 1, 15)
     assert got["12345"]["location_id"] == 77 and got["6"]["location_id"] is None and got["6"]["year_of_birth"] is None
     ids = table("i int", *[(i,) for i in range(1000)]).select(surrogate_id("i").alias("p"))
-    assert ids.distinct().count() == 1000 and ids.where("p < 0 OR p IS NULL").count() == 0
+    assert ids.distinct().count() == 1000 and ids.where("length(p) = 32").count() == 1000
+
+
+def test_a_person_id_for_two_people_is_an_error(table):
+    rows_ = table("person_id string, person_source_value string", ("a", "1"), ("a", "1"), ("b", "2"))
+    assert checked_persons(rows_).count() == 3
+    with pytest.raises(ValueError, match="more than one"):
+        checked_persons(rows_.union(table("person_id string, person_source_value string", ("a", "3"))))
 
 
 def test_metric_view(table):

@@ -5,6 +5,7 @@ import uuid
 
 import pytest
 
+from carepulse.registry import QUERIES
 from __spark_entry__ import queries
 from carepulse.plans.pipeline import cc_steps, er_steps, materialise, one_schema, schema_per_layer
 from carepulse.registry.inputs import FIRST_DAY, LAST_DAY, WEIGHTS, Inputs
@@ -52,7 +53,7 @@ def test_cc_run_equals_the_lazy_tables(spark, inputs, prefix, tmp_path_factory):
     assert spark.table(f"{prefix}gold.gold_global_filters_bridge").count() > 0
 
 
-@pytest.mark.parametrize("key", [k for k in queries() if not k.startswith(("st", "incremental", "full_refresh"))])
+@pytest.mark.parametrize("key", [k for k in QUERIES if not k.startswith(("st", "incremental", "full_refresh"))])
 def test_no_cross_join_and_no_python_in_any_plan(spark, sf_dir, key):
     plan = plan_of(queries()[key](spark, sf_dir))
     for node in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroups", "SortAggregate"):
