@@ -124,11 +124,11 @@ def latest_vitals(readings: DataFrame, as_of: str, n: int = 10, glucose_limit: f
     return report.where(F.col("value").isNotNull())
 
 
-def latest_risk(patients: DataFrame, risk: DataFrame, fallback: float = 68.0) -> DataFrame:
+def latest_risk(patients: DataFrame, risk: DataFrame, fallback: float = 0.68) -> DataFrame:
     """Last daily score of each patient's tier, condition and region, with outlook labels.
 
-    The score stays a DOUBLE between 0 and 1. A group without any score gets the
-    fixed fallback score and labels.
+    The score is a DOUBLE between 0 and 1 throughout. A group without any score gets the
+    fixed fallback score, on the same scale, and labels.
     """
     group = ["risk_tier", "condition", "region"]
     newest = risk.groupBy(*group).agg(

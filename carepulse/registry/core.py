@@ -12,16 +12,17 @@ from pyspark.sql import types as T
 from .inputs import Inputs
 from .oracle import with_tables
 
-DIGITS = 9
+#: Digits after the first one.
+DIGITS = 11
 
 
 def present(df: DataFrame) -> DataFrame:
-    """Result columns as the check expects them: doubles rounded as decimals, timestamps without a zone."""
+    """Result columns as the check expects them: doubles to DIGITS + 1 significant digits, timestamps without a zone."""
 
     def shown(f: T.StructField):
         if isinstance(f.dataType, T.DoubleType):
-            exact = F.round(F.col(f.name).try_cast("decimal(28,12)"), DIGITS).cast("double")
-            return F.coalesce(exact, F.col(f.name)).alias(f.name)
+            shown_as = F.format_string(f"%.{DIGITS}e", F.col(f.name)).try_cast("double")
+            return F.when(F.col(f.name).isNotNull(), shown_as).alias(f.name)
         if isinstance(f.dataType, T.TimestampType):
             return F.col(f.name).cast("timestamp_ntz").alias(f.name)
         return F.col(f.name)

@@ -4,9 +4,25 @@ from __future__ import annotations
 
 import re
 
-from ..plans import cc, er
 from .bindings import BINDINGS
-from .inputs import FIRST_DAY, LAST_DAY, WEIGHTS
+from .inputs import FIRST_DAY, LAST_DAY
+
+
+# Fixed values, written out here: what the plans hold is what is checked, so nothing is taken from there.
+ER_DISPOSITIONS = ['Discharged', 'Admitted', 'Transferred', 'LWBS']
+ER_RISK_BANDS = ['Low', 'Medium', 'High']
+ER_ROLES = ['Nurse', 'Physician', 'Tech', 'Registration']
+ER_SITE_REGIONS = {'Urban': ['Lakeview Central', 'Lakeview East'], 'Suburban': ['North Ridge', 'South Point'], 'Rural': ['Pine Valley', 'Riverbend']}
+CC_ACTIONS = ['nurse_outreach', 'medication_review', 'nutrition_check_in', 'device_troubleshoot']
+CC_CONDITIONS = ['diabetes', 'hypertension']
+CC_DEVICE_TYPES = ['glucose', 'bp', 'weight']
+CC_LOG_CHANGES = ['rollout', 'config_push', 'hotfix']
+CC_MED_CHANGES = ['new', 'stop', 'dose_change', 'no_change']
+CC_MED_CLASSES = ['Metformin', 'Insulin', 'GLP-1', 'ACE_inhibitor', 'ARB', 'Beta_blocker', 'Diuretic']
+CC_REGIONS = ['East', 'Central', 'West']
+CC_RISK_TIERS = ['low', 'medium', 'high']
+CC_VENDORS = ['DEVCO-GM', 'DEVCO-BP', 'DEVCO-SC']
+RISK = {'high': 0.5, 'medium': 0.25, 'low': 0.1, 'no_glucose': 0.2, 'no_bp': 0.15, 'missing_factor': 0.3, 'missing_cap': 0.3, 'diet': 0.1, 'medication': 0.1, 'incident_factor': 1.6, 'cap': 1.0, 'incident_start': '2024-01-10', 'incident_end': '2024-01-20'}
 
 
 def members(c: str, allowed: list[str], other: str, fold: bool = True, trim: bool = True) -> str:
@@ -18,7 +34,7 @@ def members(c: str, allowed: list[str], other: str, fold: bool = True, trim: boo
     return f"CASE {value} {arms} ELSE {other} END"
 
 
-SITES = [s for group in er.SITE_REGIONS.values() for s in group]
+SITES = [s for group in ER_SITE_REGIONS.values() for s in group]
 
 
 def site(c: str = "site") -> str:
@@ -27,7 +43,7 @@ def site(c: str = "site") -> str:
 
 def region(c: str = "site") -> str:
     arms = " ".join(
-        f"WHEN {c} IN ({', '.join(repr(s) for s in group)}) THEN '{label}'" for label, group in er.SITE_REGIONS.items()
+        f"WHEN {c} IN ({', '.join(repr(s) for s in group)}) THEN '{label}'" for label, group in ER_SITE_REGIONS.items()
     )
     return f"CASE {arms} ELSE 'Unknown Region' END"
 
@@ -50,7 +66,7 @@ def half_up(x: str, digits: int) -> str:
 
 
 def cc_region(c: str = "region") -> str:
-    return members(c, cc.REGIONS, f"coalesce({c}, 'East')")
+    return members(c, CC_REGIONS, f"coalesce({c}, 'East')")
 
 
 def share(pred: str) -> str:
@@ -68,8 +84,6 @@ def moment(c: str) -> str:
     )
 
 
-w = WEIGHTS
-
 TABLES: dict[str, str] = {name: sql.format_map({t: t for t in re.findall(r"{(\w+)}", sql)}) for name, sql in BINDINGS.items()}
 
 TABLES |= {
@@ -88,7 +102,7 @@ FROM (
     try_cast(arrival_time AS TIMESTAMP) AS arrival_time_utc, try_cast(discharge_time AS TIMESTAMP) AS discharge_time_utc,
     try_cast(provider_start_time AS TIMESTAMP) AS provider_start_time_utc, arrival_hour, acuity_level,
     coalesce(diagnosis_group, 'Other') AS diagnosis_group,
-    {members('discharge_disposition', er.DISPOSITIONS, "'Discharged'")} AS discharge_disposition,
+    {members('discharge_disposition', ER_DISPOSITIONS, "'Discharged'")} AS discharge_disposition,
     coalesce(readmission_30d_flag, FALSE) AS readmission_30d_flag, CAST(cost_per_visit_usd AS DOUBLE) AS cost_per_visit_usd
   FROM raw_er_visits) typed""",
     "silver_hr_shifts": f"""
@@ -97,7 +111,7 @@ SELECT *, CAST(scheduled_start_utc AS DATE) AS shift_date, {dow('scheduled_start
   CAST(hour(scheduled_end_utc) AS INT) AS end_hour, lower(sick_leave_status) IN ('reported', 'confirmed') AS sick_leave_flag,
   CASE WHEN attended_flag THEN shift_coverage_hours ELSE 0 END AS effective_shift_hours, {region()} AS region, 'ER' AS service_line
 FROM (
-  SELECT trim(shift_id) AS shift_id, trim(staff_id) AS staff_id, {members('role', er.ROLES, "'Other'", fold=False)} AS role,
+  SELECT trim(shift_id) AS shift_id, trim(staff_id) AS staff_id, {members('role', ER_ROLES, "'Other'", fold=False)} AS role,
     {site()} AS site, coalesce(trim(unit), 'ER') AS unit, CAST(scheduled_start AS TIMESTAMP) AS scheduled_start_utc,
     CAST(scheduled_end AS TIMESTAMP) AS scheduled_end_utc, coalesce(actual_attended, TRUE) AS attended_flag,
     coalesce(sick_leave_status, 'None') AS sick_leave_status, CAST(overtime_hours AS DOUBLE) AS overtime_hours,
@@ -127,7 +141,7 @@ SELECT r.*, v.site, v.unit, v.arrival_date, v.is_weekend, v.region, 'ER' AS serv
 FROM (
   SELECT trim(visit_id) AS visit_id, trim(patient_id) AS patient_id, CAST(prediction_date AS DATE) AS prediction_date,
     CAST(readmission_probability AS DOUBLE) AS readmission_probability,
-    {members('risk_band', er.RISK_BANDS, "'Medium'")} AS risk_band
+    {members('risk_band', ER_RISK_BANDS, "'Medium'")} AS risk_band
   FROM raw_readmission_risk) r LEFT JOIN silver_er_visits v USING (visit_id, patient_id)""",
     # ---- emergency room, gold
     "er_grid": """
@@ -199,14 +213,14 @@ SELECT shift_date, site, region, unit, is_weekend, role, {dow('shift_date')}, se
     # ---- chronic care, silver
     "silver_patient_master": f"""
 SELECT CAST(patient_id AS VARCHAR) AS patient_id, {cc_region()} AS region,
-  {members('condition', cc.CONDITIONS, "'diabetes'")} AS condition, {members('risk_tier', cc.RISK_TIERS, "'medium'")} AS risk_tier,
+  {members('condition', CC_CONDITIONS, "'diabetes'")} AS condition, {members('risk_tier', CC_RISK_TIERS, "'medium'")} AS risk_tier,
   CASE WHEN program IN ('CCM', 'CCM+Nutrition') THEN program WHEN upper(program) LIKE '%NUTR%' THEN 'CCM+Nutrition' ELSE 'CCM' END
     AS program,
   CAST(enrollment_date AS DATE) AS enrollment_date, CAST(active_flag AS BOOLEAN) AS active_flag
 FROM raw_patient_master""",
     "silver_device_readings": f"""
 SELECT CAST(reading_id AS VARCHAR) AS reading_id, patient_id, {cc_region()} AS region,
-  {members('device_type', cc.DEVICE_TYPES, "'glucose'")} AS device_type, {members('vendor', cc.VENDORS, "'DEVCO-GM'")} AS vendor,
+  {members('device_type', CC_DEVICE_TYPES, "'glucose'")} AS device_type, {members('vendor', CC_VENDORS, "'DEVCO-GM'")} AS vendor,
   firmware_version, {moment('reading_time')}, CAST(glucose_mg_dl AS DOUBLE) AS glucose_mg_dl,
   CAST(bp_systolic_mm_hg AS DOUBLE) AS bp_systolic_mm_hg, CAST(bp_diastolic_mm_hg AS DOUBLE) AS bp_diastolic_mm_hg,
   CAST(weight_kg AS DOUBLE) AS weight_kg, valid_flag, coalesce(error_code, 'NONE') AS error_code,
@@ -218,21 +232,21 @@ SELECT CAST(note_id AS VARCHAR) AS note_id, patient_id, {cc_region()} AS region,
 FROM raw_encounter_notes""",
     "silver_medication_lists": f"""
 SELECT CAST(list_id AS VARCHAR) AS list_id, patient_id, {cc_region()} AS region, {moment('snapshot_time')},
-  {members('med_class', cc.MED_CLASSES, "'Other'", fold=False, trim=False)} AS med_class,
-  {members('change_type', cc.MED_CHANGES, "'no_change'", fold=False, trim=False)} AS change_type
+  {members('med_class', CC_MED_CLASSES, "'Other'", fold=False, trim=False)} AS med_class,
+  {members('change_type', CC_MED_CHANGES, "'no_change'", fold=False, trim=False)} AS change_type
 FROM raw_medication_lists""",
     "silver_device_change_log": f"""
 SELECT CAST(change_id AS VARCHAR) AS change_id, CAST(change_date AS TIMESTAMP) AS change_date, CAST(change_date AS DATE) AS date,
-  {members('vendor', cc.VENDORS, "coalesce(vendor, 'DEVCO-GM')")} AS vendor,
-  {members('device_type', cc.DEVICE_TYPES, "'glucose'")} AS device_type, version, trim(regions_scope) AS regions_scope,
-  {members('change_type', cc.LOG_CHANGES, 'lower(trim(change_type))')} AS change_type,
+  {members('vendor', CC_VENDORS, "coalesce(vendor, 'DEVCO-GM')")} AS vendor,
+  {members('device_type', CC_DEVICE_TYPES, "'glucose'")} AS device_type, version, trim(regions_scope) AS regions_scope,
+  {members('change_type', CC_LOG_CHANGES, 'lower(trim(change_type))')} AS change_type,
   coalesce(error_codes, 'NONE') AS error_codes, notes
 FROM raw_device_change_log""",
     "silver_care_actions": f"""
 SELECT a.action_id, a.patient_id, {cc_region('a.region')} AS region,
-  {members('a.condition', cc.CONDITIONS, 'p.condition')} AS condition, CAST(a.action_time AS TIMESTAMP) AS action_time,
+  {members('a.condition', CC_CONDITIONS, 'p.condition')} AS condition, CAST(a.action_time AS TIMESTAMP) AS action_time,
   CAST(a.action_time AS DATE) AS date, CAST(date_trunc('week', a.action_time) AS TIMESTAMP) AS week_start,
-  {members('a.action_type', cc.ACTIONS, "'nurse_outreach'")} AS action_type, a.executed_flag,
+  {members('a.action_type', CC_ACTIONS, "'nurse_outreach'")} AS action_type, a.executed_flag,
   CAST(a.estimated_cost_usd AS DOUBLE) AS estimated_cost_usd
 FROM raw_care_actions a LEFT JOIN silver_patient_master p USING (patient_id)""",
     # ---- chronic care, gold
@@ -258,17 +272,17 @@ SELECT date, region, {share('diet_non_adherence_flag')} AS pct_notes_with_diet_n
   {share('med_adherence_flag')} AS pct_notes_with_med_adherence_issues, count(*) AS notes_count
 FROM silver_encounter_notes GROUP BY ALL""",
     "gold_patient_risk_daily": f"""
-SELECT date, region, risk_tier, condition, avg(least(points * factor, {w.cap}::DOUBLE)) AS avg_risk_score, count(*) AS patient_days
+SELECT date, region, risk_tier, condition, avg(least(points * factor, {RISK['cap']}::DOUBLE)) AS avg_risk_score, count(*) AS patient_days
 FROM (
   SELECT d.date, p.region, p.risk_tier, p.condition,
-    CASE p.risk_tier WHEN 'high' THEN {w.high}::DOUBLE WHEN 'medium' THEN {w.medium} ELSE {w.low} END
-    + CASE WHEN p.condition = 'diabetes' AND NOT coalesce(r.glucose, FALSE) THEN {w.no_glucose}::DOUBLE ELSE 0 END
-    + CASE WHEN p.condition = 'hypertension' AND NOT coalesce(r.bp, FALSE) THEN {w.no_bp}::DOUBLE ELSE 0 END
-    + least(coalesce(r.missing, 0) * {w.missing_factor}::DOUBLE, {w.missing_cap}::DOUBLE)
-    + CASE WHEN coalesce(n.diet, FALSE) THEN {w.diet}::DOUBLE ELSE 0 END
-    + CASE WHEN coalesce(n.med, FALSE) THEN {w.medication}::DOUBLE ELSE 0 END AS points,
-    CASE WHEN d.date BETWEEN DATE '{w.incident_start}' AND DATE '{w.incident_end}' AND p.risk_tier = 'high'
-      AND p.condition = 'diabetes' THEN {w.incident_factor}::DOUBLE ELSE 1 END AS factor
+    CASE p.risk_tier WHEN 'high' THEN {RISK['high']}::DOUBLE WHEN 'medium' THEN {RISK['medium']} ELSE {RISK['low']} END
+    + CASE WHEN p.condition = 'diabetes' AND NOT coalesce(r.glucose, FALSE) THEN {RISK['no_glucose']}::DOUBLE ELSE 0 END
+    + CASE WHEN p.condition = 'hypertension' AND NOT coalesce(r.bp, FALSE) THEN {RISK['no_bp']}::DOUBLE ELSE 0 END
+    + least(coalesce(r.missing, 0) * {RISK['missing_factor']}::DOUBLE, {RISK['missing_cap']}::DOUBLE)
+    + CASE WHEN coalesce(n.diet, FALSE) THEN {RISK['diet']}::DOUBLE ELSE 0 END
+    + CASE WHEN coalesce(n.med, FALSE) THEN {RISK['medication']}::DOUBLE ELSE 0 END AS points,
+    CASE WHEN d.date BETWEEN DATE '{RISK['incident_start']}' AND DATE '{RISK['incident_end']}' AND p.risk_tier = 'high'
+      AND p.condition = 'diabetes' THEN {RISK['incident_factor']}::DOUBLE ELSE 1 END AS factor
   FROM gold_date_spine d CROSS JOIN (SELECT * FROM silver_patient_master WHERE active_flag) p
   LEFT JOIN (SELECT patient_id, date, bool_or(device_type = 'glucose' AND valid_flag) AS glucose,
       bool_or(device_type = 'bp' AND valid_flag) AS bp, {share("device_type = 'bp' AND bp_missing_diastolic")} AS missing
@@ -323,7 +337,7 @@ FROM clean_patients LEFT JOIN locations USING (zip)""",
 }
 
 
-def with_tables(sql: str, doubles: str = "", digits: int = 9) -> str:
+def with_tables(sql: str, doubles: str = "", digits: int = 11) -> str:
     """The statement with every table it names as a CTE; ``doubles`` are rounded in the result."""
     wanted: set[str] = set()
 
@@ -336,8 +350,8 @@ def with_tables(sql: str, doubles: str = "", digits: int = 9) -> str:
     visit(sql)
     ctes = ",\n".join(f"{name} AS ({TABLES[name].strip()})" for name in TABLES if name in wanted)
     if doubles:
-        def shown(c: str) -> str:  # decimals of large values do not all turn back into the same double
-            return f"CASE WHEN abs({c}) < 1000 THEN {half_up(c, digits)} ELSE round(CAST({c} AS DOUBLE), {digits}) END AS {c}"
+        def shown(c: str) -> str:  # twelve significant digits, whatever the magnitude, as core.present shows them
+            return f"CAST(printf('%.{digits}e', CAST({c} AS DOUBLE)) AS DOUBLE) AS {c}"
 
         rounded = ", ".join(shown(c) for c in doubles.split())
         sql = f"SELECT * REPLACE ({rounded}) FROM ({sql}) result"

@@ -218,7 +218,7 @@ def _vitals(t: Inputs):
 
 
 @query("latest_risk", """
-SELECT p.patient_id, p.risk_tier, p.condition, p.region, coalesce(s.avg_risk_score, 68) AS overall, s.date AS score_date,
+SELECT p.patient_id, p.risk_tier, p.condition, p.region, coalesce(s.avg_risk_score, 0.68) AS overall, s.date AS score_date,
   CASE WHEN s.date IS NULL OR p.risk_tier = 'high' THEN 'Medium-High' WHEN p.risk_tier = 'medium' THEN 'Medium' ELSE 'Low' END AS hospitalization,
   CASE WHEN s.date IS NULL OR p.risk_tier = 'high' THEN 'Medium' WHEN p.risk_tier = 'medium' THEN 'Low-Medium' ELSE 'Low' END AS deterioration
 FROM silver_patient_master p

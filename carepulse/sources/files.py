@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shared_dir
 from ..functions.temporal import decode_time, encode_iso_ms, floor_ms as _floor_ms
 
 
@@ -18,17 +20,26 @@ def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | str | No
 
 
 def write_parquet_files(df: DataFrame, path: str, num_files: int) -> None:
-    """Write at most ``num_files`` part files of even size; one file if there are fewer rows than files.
+    """Write files of ceil(rows / ``num_files``) rows each, the last one shorter, in the order of the input.
 
-    ``repartition`` and not ``coalesce``: it can raise the number of tasks and
-    does not pull the upstream work into few tasks. The row count is looked up
-    in the written files, so the input is computed once; only an output of fewer
-    than ``num_files`` rows is written again.
+    A file holds a run of rows that follow each other; fewer rows than files make one file. The input is computed once and stored beside the output with its partition and place; counts
+    per partition, one row each, give every row its number, and one shuffle deals the
+    rows to the files. What ``path`` held is replaced only by that last write.
     """
-    df.repartition(num_files).write.mode("overwrite").parquet(path)
-    few = df.sparkSession.read.schema(df.schema).parquet(path).take(num_files)
-    if len(few) < num_files:
-        df.sparkSession.createDataFrame(few, df.schema).coalesce(1).write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    place = F.monotonically_increasing_id()  # partition above bit 33, row below
+    marked = stored(df.select("*", place.alias("_place")), shared_dir(spark, "rows"))
+    part = F.shiftright("_place", 33)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = marked.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = stored(counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), "_n"),
+                     shared_dir(spark, "row-offsets"))
+    total = offsets.agg(F.sum("_n")).first()[0] or 0
+    size = max(1, -(-total // num_files) if total >= num_files else total)
+    numbered = marked.join(offsets.drop("_n"), part == F.col("_part")).withColumn(
+        "_row", F.col("_before") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)))
+    dealt = numbered.repartitionById(max(1, -(-total // size)), F.expr(f"CAST(_row DIV {size} AS INT)")).sortWithinPartitions("_row")
+    dealt.select(*df.columns).write.mode("overwrite").parquet(path)
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:

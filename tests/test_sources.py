@@ -26,6 +26,15 @@ def test_number_of_part_files(spark, tmp_path, n_rows, asked, written):
     assert len(parts(path)) == written and spark.read.parquet(path).count() == n_rows
 
 
+def test_part_files_are_runs_of_the_input(spark, tmp_path):
+    path = str(tmp_path / "out")
+    files.write_parquet_files(spark.range(0, 103, 1, 7), path, 4)
+    runs = sorted([r["id"] for r in spark.read.parquet(f).collect()] for f in parts(path))
+    assert runs == [list(range(a, min(a + 26, 103))) for a in range(0, 103, 26)]
+    files.write_parquet_files(spark.read.parquet(path).where("id < 10"), path, 2)
+    assert spark.read.parquet(path).count() == 10
+
+
 def test_scan_reads_matching_names_only(spark, tmp_path):
     files.write_parquet_files(spark.range(4), str(tmp_path / "d"), 1)
     (tmp_path / "d" / "readme.txt").write_text("not a table")
