@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import classify, enum_ci, enum_ci_keep_unknown, enum_ci_self, enum_exact, flag, null_default
@@ -386,13 +386,10 @@ def counter_valid_readings_7d(readings: DataFrame, calendar: DataFrame, days: in
 def counter_high_risk_avg_7d(risk: DataFrame, days: int = 7) -> DataFrame:
     """Mean daily score of the high tier over the trailing days of the risk table itself.
 
-    The table is read once: it is reduced to one row per day before its last day is looked up.
+    The last day is a scalar, so that of a table with a folder for each date only the trailing days are read.
     """
-    score = F.when(F.col("risk_tier") == "high", F.col("avg_risk_score"))
-    per_day = risk.groupBy("date").agg(F.sum(score).alias("total"), F.count(score).alias("n"))
-    last = F.max("date").over(Window.partitionBy(F.lit(0)))
-    recent = per_day.withColumn("last", last).where(in_trailing_days("date", F.col("last"), days))
-    return recent.agg(ratio(F.sum("total"), F.sum("n")).alias("avg_daily_risk_high_last7"))
+    recent = risk.where((F.col("risk_tier") == "high") & in_trailing_days("date", last_date(risk), days))
+    return recent.agg(F.avg("avg_risk_score").alias("avg_daily_risk_high_last7"))
 
 
 def counter_actions_executed_14d(actions: DataFrame, calendar: DataFrame, days: int = 14) -> DataFrame:

@@ -6,10 +6,11 @@ import re
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..plans import cc, er
 from ..plans.serving_er import Period
-from ..session import apply_settings
+from ..session import apply_settings, shared_dir
 from ..sources.files import scan_parquet
 from .bindings import BINDINGS
 
@@ -20,6 +21,9 @@ MID_MONTH = Period("2024-01-08", "2024-01-25")
 WEIGHTS = cc.RiskWeights(incident_start="2024-01-10", incident_end="2024-01-20")
 AS_OF = "2024-01-31 00:00:00"
 
+_DATED = ("quality", "hourly", "finance", "staffing", "readmission", "ingestion", "patient_risk", "bp_quality", "encounter_signals")
+_SERVED: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
+
 
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -122,3 +126,34 @@ class Inputs:
     @cached_property
     def alignment(self) -> DataFrame:
         return cc.gold_root_cause_alignment(self.ingestion, self.changes, self.readings)
+
+    @cached_property
+    def bp_quality(self) -> DataFrame:
+        return cc.gold_bp_quality(self.readings)
+
+    @cached_property
+    def risk_weekly(self) -> DataFrame:
+        return cc.gold_patient_risk_weekly(self.served("patient_risk"))
+
+    @cached_property
+    def cumulative_cost(self) -> DataFrame:
+        return cc.gold_cumulative_care_cost(self.actions)
+
+    @cached_property
+    def encounter_signals(self) -> DataFrame:
+        return cc.gold_encounter_signals(self.notes)
+
+    def served(self, name: str) -> DataFrame:
+        """The table as reports find it: stored, gold tables with a folder for each date.
+
+        Stored in the shared folder when it is first asked for in a session, then read from there, so
+        that a report's period is a partition filter.
+        """
+        key = self.spark.sparkContext.applicationId, self.sf_dir, name
+        if key not in _SERVED:
+            table, path = getattr(self, name), shared_dir(self.spark, f"served-{name}")
+            by = ["date"] if name in _DATED else []
+            (table.repartition(*by) if by else table).write.partitionBy(*by).parquet(path)
+            _SERVED[key] = path, table.schema
+        path, schema = _SERVED[key]
+        return self.spark.read.schema(schema).parquet(path).select(*schema.names)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..plans import cc, serving_cc as sc, serving_er as se
+from ..plans import serving_cc as sc, serving_er as se
 from .core import query
 from .inputs import AS_OF, JANUARY, MID_MONTH, Inputs
 from .oracle import half_up
@@ -20,7 +20,7 @@ SELECT site, is_weekend, {half_up('avg(lwbs_rate)', 4)} AS avg_lwbs_rate,
   CAST(sum(throughput_daily) AS BIGINT) AS total_throughput
 FROM gold_er_quality_daily WHERE {DAYS} GROUP BY ALL""")
 def _weekend(t: Inputs):
-    return se.er_weekend_compare(t.quality, MID_MONTH)
+    return se.er_weekend_compare(t.served("quality"), MID_MONTH)
 
 
 @query("er_coverage_gaps", f"""
@@ -28,7 +28,7 @@ SELECT site, date, role, coverage_gap_flag, avg_nurse_to_patient_ratio AS nurse_
 FROM gold_er_staffing_daily WHERE role = 'Nurse' AND is_weekend AND coverage_gap_flag AND {DAYS}""",
        "nurse_to_patient_ratio sick_leave_rate")
 def _gaps(t: Inputs):
-    return se.er_coverage_gaps(t.staffing, MID_MONTH)
+    return se.er_coverage_gaps(t.served("staffing"), MID_MONTH)
 
 
 @query("er_overtime_vs_quality", f"""
@@ -36,7 +36,7 @@ SELECT site, date, overtime_hours_sum, lwbs_rate, median_door_to_provider_minute
 FROM gold_er_finance_daily JOIN (SELECT site, unit, date, lwbs_rate, median_door_to_provider_minutes FROM gold_er_quality_daily) q
 USING (site, unit, date) WHERE {DAYS}""", "lwbs_rate")
 def _overtime(t: Inputs):
-    return se.er_overtime_vs_quality(t.finance, t.quality, MID_MONTH)
+    return se.er_overtime_vs_quality(t.served("finance"), t.served("quality"), MID_MONTH)
 
 
 @query("er_reimbursement_weekend", f"""
@@ -45,7 +45,7 @@ SELECT site, sum(reimbursement_at_risk_usd) AS weekend_reimbursement_at_risk_usd
 FROM gold_er_finance_daily WHERE is_weekend AND {DAYS} GROUP BY site""",
        "weekend_reimbursement_at_risk_usd cumulative_reimbursement_at_risk_usd")
 def _reimbursement(t: Inputs):
-    return se.er_reimbursement_weekend(t.finance, MID_MONTH)
+    return se.er_reimbursement_weekend(t.served("finance"), MID_MONTH)
 
 
 @query("er_hourly_signature", f"""
@@ -53,7 +53,7 @@ SELECT site, date, hour_of_day, arrivals, queue_length_median, {half_up('door_to
   {half_up('door_to_provider_median', 2)} AS door_to_provider_median_min, {half_up('nurse_to_patient_ratio', 3)} AS nurse_to_patient_ratio
 FROM gold_er_operational_hourly WHERE is_weekend AND {DAYS}""", "nurse_to_patient_ratio")
 def _signature(t: Inputs):
-    return se.er_hourly_signature(t.hourly, MID_MONTH)
+    return se.er_hourly_signature(t.served("hourly"), MID_MONTH)
 
 
 @query("er_readmission_exposure", f"""
@@ -61,20 +61,20 @@ SELECT site, is_weekend, {half_up('avg(avg_readmission_probability)', 4)} AS avg
   {half_up('avg(high_risk_share)', 5)} AS high_risk_share_avg, CAST(sum(realized_readmissions_30d) AS BIGINT) AS readmissions_30d
 FROM gold_er_readmission_daily WHERE {DAYS} GROUP BY ALL""", "avg_readmit_prob high_risk_share_avg")
 def _exposure(t: Inputs):
-    return se.er_readmission_exposure(t.readmission, MID_MONTH)
+    return se.er_readmission_exposure(t.served("readmission"), MID_MONTH)
 
 
 @query("er_lwbs_daily", f"""
 SELECT site, date, is_weekend, visits_total, lwbs_rate, {WAITS} FROM gold_er_quality_daily WHERE {DAYS}""", "lwbs_rate")
 def _lwbs(t: Inputs):
-    return se.er_lwbs_daily(t.quality, MID_MONTH)
+    return se.er_lwbs_daily(t.served("quality"), MID_MONTH)
 
 
 @query("er_nurse_sick_leave", f"""
 SELECT site, date, is_weekend, role, effective_hours, sick_leave_rate, avg_nurse_to_patient_ratio, coverage_gap_flag
 FROM gold_er_staffing_daily WHERE role = 'Nurse' AND {DAYS}""", "sick_leave_rate avg_nurse_to_patient_ratio")
 def _sick(t: Inputs):
-    return se.er_nurse_sick_leave(t.staffing, MID_MONTH)
+    return se.er_nurse_sick_leave(t.served("staffing"), MID_MONTH)
 
 
 @query("er_urban_hourly", f"""
@@ -82,7 +82,7 @@ SELECT site, date, hour_of_day, is_weekend, arrivals, throughput, queue_length_m
   door_to_triage_median AS triage_wait_median, door_to_provider_median, effective_staffing_hours, nurse_to_patient_ratio
 FROM gold_er_operational_hourly WHERE region = 'Urban' AND {DAYS}""", "nurse_to_patient_ratio")
 def _urban(t: Inputs):
-    return se.er_urban_hourly(t.hourly, MID_MONTH)
+    return se.er_urban_hourly(t.served("hourly"), MID_MONTH)
 
 
 @query("er_finance_listing", f"""
@@ -90,7 +90,7 @@ SELECT site, date, is_weekend, overtime_hours_sum, cost_per_visit_avg, reimburse
   cumulative_reimbursement_at_risk_usd FROM gold_er_finance_daily WHERE {DAYS}""",
        "cost_per_visit_avg reimbursement_at_risk_usd cumulative_reimbursement_at_risk_usd")
 def _finance(t: Inputs):
-    return se.er_finance_listing(t.finance, MID_MONTH)
+    return se.er_finance_listing(t.served("finance"), MID_MONTH)
 
 
 @query("er_finance_by_region", f"""
@@ -98,21 +98,21 @@ SELECT date, site, region, is_weekend, overtime_hours_sum, reimbursement_at_risk
 FROM gold_er_finance_daily WHERE unit = 'ER' AND {DAYS}""",
        "reimbursement_at_risk_usd cumulative_reimbursement_at_risk_usd")
 def _finance_region(t: Inputs):
-    return se.er_finance_by_region(t.finance, MID_MONTH)
+    return se.er_finance_by_region(t.served("finance"), MID_MONTH)
 
 
 @query("er_readmission_listing", f"""
 SELECT site, date, is_weekend, avg_readmission_probability, high_risk_share, realized_readmissions_30d
 FROM gold_er_readmission_daily WHERE {DAYS}""", "avg_readmission_probability high_risk_share")
 def _readmissions(t: Inputs):
-    return se.er_readmission_listing(t.readmission, MID_MONTH)
+    return se.er_readmission_listing(t.served("readmission"), MID_MONTH)
 
 
 @query("er_lwbs_ranking", f"""
 SELECT date, is_weekend, site, visits_total, lwbs_rate, {WAITS} FROM gold_er_quality_daily WHERE unit = 'ER' AND {DAYS}""",
        "lwbs_rate")
 def _ranking(t: Inputs):
-    return se.er_lwbs_ranking(t.quality, MID_MONTH)
+    return se.er_lwbs_ranking(t.served("quality"), MID_MONTH)
 
 
 @query("er_gap_vs_quality", f"""
@@ -121,7 +121,7 @@ SELECT q.date, q.site, q.region, s.sick_leave_rate, s.avg_nurse_to_patient_ratio
 FROM gold_er_quality_daily q JOIN gold_er_staffing_daily s ON q.date = s.date AND q.site = s.site AND q.unit = s.unit
 WHERE q.unit = 'ER' AND s.role = 'Nurse' AND q.{DAYS}""", "sick_leave_rate avg_nurse_to_patient_ratio lwbs_rate")
 def _gap_quality(t: Inputs):
-    return se.er_gap_vs_quality(t.quality, t.staffing, MID_MONTH)
+    return se.er_gap_vs_quality(t.served("quality"), t.served("staffing"), MID_MONTH)
 
 
 @query("er_weekend_hour_peaks", f"""
@@ -131,7 +131,7 @@ SELECT site, hour_of_day, avg(arrivals) AS avg_arrivals, avg(queue_length_median
 FROM gold_er_operational_hourly WHERE unit = 'ER' AND is_weekend AND {DAYS} GROUP BY ALL""",
        "avg_arrivals avg_queue_median avg_triage_wait_mins avg_dtp_mins avg_effective_staffing_hours")
 def _peaks(t: Inputs):
-    return se.er_weekend_hour_peaks(t.hourly, MID_MONTH)
+    return se.er_weekend_hour_peaks(t.served("hourly"), MID_MONTH)
 
 
 @query("er_risk_vs_access", f"""
@@ -140,7 +140,7 @@ SELECT r.date, r.site, r.region, r.is_weekend, r.avg_readmission_probability, r.
 FROM gold_er_readmission_daily r JOIN gold_er_quality_daily q ON r.date = q.date AND r.site = q.site AND r.unit = q.unit
 WHERE r.unit = 'ER' AND r.{DAYS}""", "avg_readmission_probability high_risk_share lwbs_rate")
 def _access(t: Inputs):
-    return se.er_risk_vs_access(t.readmission, t.quality, MID_MONTH)
+    return se.er_risk_vs_access(t.served("readmission"), t.served("quality"), MID_MONTH)
 
 
 @query("er_top10_lwbs_pct", f"""
@@ -148,48 +148,48 @@ SELECT site, date, is_weekend, visits_total, {half_up('lwbs_rate * 100', 2)} AS
 FROM gold_er_quality_daily WHERE {ALL_DAYS} ORDER BY lwbs_rate DESC, date, site, unit, is_weekend LIMIT 10""",
        "lwbs_rate_pct satisfaction_overall_avg")
 def _top(t: Inputs):
-    return se.er_top10_lwbs_pct(t.quality, 10, JANUARY)
+    return se.er_top10_lwbs_pct(t.served("quality"), 10, JANUARY)
 
 
 @query("cc_valid_readings", f"SELECT * FROM gold_device_ingestion WHERE {DAYS}", "valid_rate")
 def _cc_valid(t: Inputs):
-    return sc.cc_valid_readings(t.ingestion, MID_MONTH)
+    return sc.cc_valid_readings(t.served("ingestion"), MID_MONTH)
 
 
 @query("cc_bp_missing", f"SELECT * FROM gold_bp_quality WHERE {DAYS}", "missing_rate_diastolic")
 def _cc_bp(t: Inputs):
-    return sc.cc_bp_missing(cc.gold_bp_quality(t.readings), MID_MONTH)
+    return sc.cc_bp_missing(t.served("bp_quality"), MID_MONTH)
 
 
 @query("cc_risk_weekly", f"SELECT * FROM gold_patient_risk_weekly WHERE {WEEKS}", "avg_risk_score")
 def _cc_weekly(t: Inputs):
-    return sc.cc_risk_weekly(cc.gold_patient_risk_weekly(t.patient_risk), MID_MONTH)
+    return sc.cc_risk_weekly(t.served("risk_weekly"), MID_MONTH)
 
 
 @query("cc_root_cause", f"SELECT * FROM gold_root_cause_alignment WHERE {DAYS}", "valid_rate valid_rate_lag7 delta_vs_7d")
 def _cc_cause(t: Inputs):
-    return sc.cc_root_cause(t.alignment, MID_MONTH)
+    return sc.cc_root_cause(t.served("alignment"), MID_MONTH)
 
 
 @query("cc_actions_weekly", f"SELECT * FROM gold_care_actions_weekly WHERE {WEEKS}", "execute_rate avg_cost_usd")
 def _cc_actions(t: Inputs):
-    return sc.cc_actions_weekly(t.actions_weekly, MID_MONTH)
+    return sc.cc_actions_weekly(t.served("actions_weekly"), MID_MONTH)
 
 
 @query("cc_cumulative_cost", f"SELECT * FROM gold_cumulative_care_cost WHERE {DAYS}")
 def _cc_cost(t: Inputs):
-    return sc.cc_cumulative_cost(cc.gold_cumulative_care_cost(t.actions), MID_MONTH)
+    return sc.cc_cumulative_cost(t.served("cumulative_cost"), MID_MONTH)
 
 
 @query("cc_encounter_signals", f"SELECT * FROM gold_encounter_signals WHERE {DAYS}",
        "pct_notes_with_diet_non_adherence pct_notes_with_med_adherence_issues")
 def _cc_signals(t: Inputs):
-    return sc.cc_encounter_signals(cc.gold_encounter_signals(t.notes), MID_MONTH)
+    return sc.cc_encounter_signals(t.served("encounter_signals"), MID_MONTH)
 
 
 @query("patient_info", "SELECT * FROM silver_patient_master WHERE patient_id = 'PT-42'")
 def _info(t: Inputs):
-    return sc.patient_info(t.patients, "PT-42")
+    return sc.patient_info(t.served("patients"), "PT-42")
 
 
 @query("latest_vitals", f"""
@@ -214,7 +214,7 @@ FROM (
   WHERE newest = 1) shown
 WHERE value IS NOT NULL""")
 def _vitals(t: Inputs):
-    return sc.latest_vitals(t.readings, AS_OF)
+    return sc.latest_vitals(t.served("readings"), AS_OF)
 
 
 @query("latest_risk", """
@@ -226,7 +226,7 @@ LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY region, risk_tier, conditio
   FROM gold_patient_risk_daily) s
   ON s.rank = 1 AND s.region = p.region AND s.risk_tier = p.risk_tier AND s.condition = p.condition""", "overall")
 def _risk(t: Inputs):
-    return sc.latest_risk(t.patients, t.patient_risk)
+    return sc.latest_risk(t.served("patients"), t.served("patient_risk"))
 
 
 @query("recent_notes", """
@@ -237,4 +237,4 @@ FROM (SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY note_time DE
   FROM silver_encounter_notes) ranked
 WHERE rank <= 5 AND (diet_non_adherence_flag OR med_adherence_flag)""")
 def _recent(t: Inputs):
-    return sc.recent_notes(t.notes)
+    return sc.recent_notes(t.served("notes"))

@@ -105,7 +105,7 @@ SELECT avg(avg_risk_score) AS avg_daily_risk_high_last7
 FROM gold_patient_risk_daily, (SELECT max(date) AS d FROM gold_patient_risk_daily) m
 WHERE risk_tier = 'high' AND date BETWEEN d - 6 AND d""", "avg_daily_risk_high_last7")
 def _high(t: Inputs):
-    return cc.counter_high_risk_avg_7d(t.patient_risk)
+    return cc.counter_high_risk_avg_7d(t.served("patient_risk"))
 
 
 @query("counter_actions_executed_14d", """

@@ -243,7 +243,7 @@ def test_latest_risk_and_fallback(calendar, patients, readings, notes):
     assert got["A"]["overall"] == pytest.approx(0.7) and got["A"]["score_date"] == dt.date(2025, 10, 22)
     assert (got["A"]["hospitalization"], got["A"]["deterioration"]) == ("Medium-High", "Medium")
     assert (got["B"]["hospitalization"], got["B"]["deterioration"]) == ("Low", "Low")
-    assert (got["C"]["overall"], got["C"]["score_date"], got["C"]["hospitalization"]) == (68.0, None, "Medium-High")
+    assert (got["C"]["overall"], got["C"]["score_date"], got["C"]["hospitalization"]) == (0.68, None, "Medium-High")
 
 
 def test_recent_notes_show_flagged_ones_of_the_last_five(table):
