@@ -320,6 +320,30 @@ def test_a_person_id_for_two_people_is_an_error(table):
         checked_persons(rows_.union(table("person_id string, person_source_value string", ("a", "3"))))
 
 
+def test_interval_check_aggregates_before_the_shuffle(table):
+    visits = table("p string, s timestamp, e timestamp", *[("a", dt.datetime(2025, 1, 2), dt.datetime(2025, 1, 3))] * 3, ("b", dt.datetime(2025, 1, 2), None))
+    periods = table("p string, period_start timestamp, period_end timestamp", ("b", dt.datetime(2025, 1, 1), dt.datetime(2025, 1, 5)))
+    out = dq.dq_interval_order(visits, "s", "e", period=periods, on=["p"])
+    assert rows(out.where("rule = 'outside_period'"), "violations") == [(3,)]
+    plan = plan_of(dq.dq_interval_order(visits, "s", "e", period=periods, on=["p"]))
+    assert "partial_count" in plan
+
+
+def test_sample_computes_its_input_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+    spark.range(5000).write.parquet(str(tmp_path / "in"))
+    source = spark.read.parquet(str(tmp_path / "in"))
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    out = rk.sample_fixed_n(source.mapInArrow(look, "id long"), 1234, ["id"])
+    assert out.count() == out.distinct().count() == 1234 and seen.value == 5000
+    assert rows(out) == rows(rk.sample_fixed_n(source.repartition(7), 1234, ["id"]))
+
+
 def test_metric_view(table):
     df = table("g string, y int", ("f", 1980), ("f", 1990), ("m", 2000))
     view = MetricView(df, {"Gender": F.col("g")}, {"Total Patients": F.count(F.lit(1)), "Average Age": F.avg(2025 - F.col("y"))})

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from carepulse.sources.schemas import ORDERS_LANDING
 from carepulse.streaming import joins, tables as st
 from carepulse.streaming.orders import update_sales_orders
-from helpers import rows
+from helpers import plan_of, rows
 
 
 @pytest.fixture
@@ -62,6 +62,34 @@ def test_time_bound_drops_far_pairs(spark, table, land, update):
     assert rows(update(joins.stream_join(left, right, "k", 2, bound), "out"), "lt", "v") == [(at(0), 10), (at(30), 20)]
 
 
+def test_columns_of_both_sides_are_an_error_or_renamed(table, land, update):
+    left = land("l", table("k int, note string", (1, "mine")))
+    right = land("r", table("k int, note string", (1, "yours")))
+    with pytest.raises(ValueError, match="note"):
+        joins.stream_join(left, right, "k")
+    out = update(joins.stream_join(left, right, "k", rename={"note": "other_note"}), "out")
+    assert rows(out, "k", "note", "other_note") == [(1, "mine", "yours")]
+
+
+def test_batch_join_is_not_salted(table):
+    plan = plan_of(joins.stream_join(table("k int, a int", (1, 2)), table("k int, b int", (1, 3)), "k"))
+    assert "Generate" not in plan and "xxhash64" not in plan
+
+
+def test_order_pipeline_with_bound_and_small_batches(spark, tmp_path, land):
+    """Two landings per table, one file a batch; pairs further apart than the bound are left out."""
+    day = [dt.datetime(2025, 1, 1), dt.datetime(2025, 3, 1)]
+    for o in (1, 2):
+        land("customer", spark.createDataFrame([(o, "a", "b")], ORDERS_LANDING["customer"]))
+        land("product", spark.createDataFrame([(o, *[None] * 9, day[0], None, None)], ORDERS_LANDING["product"]))
+        land("salesorderdetail", spark.createDataFrame(
+            [(o, 1, 2, o, Decimal("1.50"), Decimal(0), Decimal("2.75"), day[o - 1])], ORDERS_LANDING["salesorderdetail"]))
+    streams = {n: st.read_stream(spark, str(tmp_path / n), s, max_files=1) for n, s in ORDERS_LANDING.items()}
+    bound = joins.TimeBound("ModifiedDate", "SellStartDate", "100 days", "10 days", "10 days")
+    out = update_sales_orders(streams, str(tmp_path / "target"), salts=2, bound=bound, max_files=1)
+    assert rows(out["sales_orders_flat"], "SalesOrderID") == [(1,)] and out["salesorderdetail"].count() == 2
+
+
 def test_flat_orders(table, land, update):
     lines = table(
         "SalesOrderID int, SalesOrderDetailID int, OrderQty int, ProductID int, UnitPrice double, UnitPriceDiscount double, LineTotal double, ModifiedDate timestamp",
