@@ -139,6 +139,11 @@ def hex_fingerprint(fp) -> F.Column:
 def deduplicate(docs: DataFrame, words: int = 3, bits: int = 2, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, one of every component: that with the smallest id. Of several rows with
-    that id any one stays; rows whose component has only null ids become one."""
-    kept = near_duplicates(docs, words, bits, id_col, text_col).select(F.col("component_id").alias("_llm_kept")).distinct()
-    return docs.join(keep(kept, "kept"), docs[id_col].eqNullSafe(F.col("_llm_kept")), "left_semi").dropDuplicates([id_col])
+    that id any one stays. A row with a null id has one of its text's digest here, larger than usual ids, so
+    that it stays if its text is like no other. One shuffle of the rows, by their id.
+    """
+    digest = F.shiftrightunsigned(F.xxhash64(text_col), 2) + F.lit(1 << 62)
+    keyed = docs.withColumn("_llm_id", F.coalesce(F.col(id_col).cast("long"), digest))
+    found = near_duplicates(keyed, words, bits, "_llm_id", text_col)
+    kept = keep(found.select(F.col("component_id").alias("_llm_id")).distinct(), "kept")
+    return keyed.join(kept, "_llm_id", "left_semi").dropDuplicates(["_llm_id"]).select(*docs.columns)

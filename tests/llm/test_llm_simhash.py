@@ -92,5 +92,12 @@ def test_deduplicate_keeps_one_of_each_group(spark):
     docs = odd_docs(spark)
     out = simhash.deduplicate(docs)
     assert out.columns == docs.columns and out.schema == docs.schema
-    want = {c for *_, c in reachable([(i, fingerprint(t)) for i, t in ODD], 2)}
-    assert sorted(r[0] if r[0] is not None else -1 for r in out.select("doc_id").collect()) == sorted(want)
+    prints = [(i if i is not None else 10 ** 6, fingerprint(t)) for i, t in ODD]
+    want = {c for *_, c in reachable(prints, 2)}
+    assert sorted(r[0] if r[0] is not None else 10 ** 6 for r in out.select("doc_id").collect()) == sorted(want)
+
+
+def test_rows_without_an_id(spark):
+    docs = odd_docs(spark, [(None, "first words of one text"), (None, "first words of one text"), (None, "other words of another"), (3, "other words of another")])
+    out = sorted((r["doc_id"] or 0, r["text"]) for r in simhash.deduplicate(docs).collect())
+    assert out == [(0, "first words of one text"), (3, "other words of another")]
