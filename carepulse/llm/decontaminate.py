@@ -33,13 +33,15 @@ LEAST_WORDS = 5
 BLOCK_BYTES = 8 << 20
 _FILTER_BITS = 22
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
+#: Words whose hash a Python worker remembers.
+REMEMBERED = 150_000
 _MEMORY: dict[str, int] = {}
 
 
 def word_hashes(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, place, first): hashes of lower-cased words without marks around them, the places of
     those that have anything left, and the texts' n + 1 offsets in them."""
-    if len(_MEMORY) > 400_000:
+    if len(_MEMORY) > REMEMBERED:
         _MEMORY.clear()
     known = _MEMORY
     for w in words.distinct:

@@ -13,7 +13,9 @@ import pyarrow.compute as pc
 from .batches import raw_bytes, texts
 
 #: Words that a Python worker remembers at most (twice over), and the longest of them.
-REMEMBERED, LONGEST = 700_000, 48
+REMEMBERED, LONGEST = 400_000, 32
+#: Pieces given to the library at once: what it returns is much larger than the ids.
+_ASKED = 4096
 _SPACE, _WORD, _MARK, _APOSTROPHE = range(4)
 _KIND = np.full(256, _WORD, np.uint8)
 _KIND[[9, 10, 11, 12, 13, 32]] = _SPACE
@@ -86,7 +88,8 @@ class WordEncoder:
             lists[i] = x = before.get(pieces[i])
             if x is None:
                 ask.append(i)
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([pieces[i] for i in ask], add_special_tokens=False)]
+        found = [e.ids for k in range(0, len(ask), _ASKED) for e in self.tokenizer.encode_batch_fast(
+            [pieces[i] for i in ask[k:k + _ASKED]], add_special_tokens=False)]
         counts = np.fromiter(map(len, found), np.int64, len(found))
         raw = np.fromiter(chain.from_iterable(found), self.kind, counts.sum()).tobytes()
         ends = (np.cumsum(counts) * self.kind.itemsize).tolist()
