@@ -27,7 +27,7 @@ from .words import Words, sample, split_words
 FEATURES = 1 << 18
 _PER_WORD = 9
 #: Words whose value a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Documents that a feature must be found in to get a weight, and the pull of all weights to 0.
 SUPPORT, PENALTY = 4, 1.0
 #: Texts that train the field, by label, and their words and lines in all.
@@ -242,7 +242,7 @@ def train(labelled: DataFrame, docs: DataFrame, most: dict | None = None, id_col
     labelled = labelled.where("label IN (0, 1)").groupBy("id").agg(F.max("label").cast("int").alias("label"))
     chosen = keep(sample(labelled, docs, most or SAMPLE, id_col, text_col), "toxicity-sample")
     row = chosen.orderBy(F.xxhash64("text")).repartition(1).mapInArrow(_train, "model binary").first()
-    return pickle.loads(row["model"])
+    return pickle.loads(row["model"]) if row else {"share": 0.0}
 
 
 _MEMORY: dict = {}
