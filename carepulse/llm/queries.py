@@ -91,6 +91,21 @@ def op10_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+LLM_SQL["op10_repeat_removal"] = """
+WITH d AS (SELECT doc_id, b, hex(b) AS h, octet_length(b) AS n FROM (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents) t),
+w AS (SELECT doc_id, p, b[p:p + 99] AS s FROM (SELECT doc_id, b, unnest(generate_series(1, n - 99)) AS p FROM d) t),
+r AS (SELECT doc_id, p FROM w QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, p) > 1),
+i AS (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 100 THEN 0 ELSE 1 END AS fresh FROM r),
+g AS (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM i),
+x AS (SELECT doc_id, min(p) AS a, max(p) + 99 AS z FROM g GROUP BY doc_id, k),
+y AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM x),
+c AS (SELECT doc_id, string_agg(substr(h, CAST(2 * before + 1 AS BIGINT), CAST(2 * (a - 1 - before) AS BIGINT)), '' ORDER BY a) AS kept,
+  max(z) AS last, sum(z - a + 1) AS gone, count(*) AS spans FROM y JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, n AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept || substr(h, CAST(2 * last + 1 AS BIGINT)), h))) AS kept_sha256
+FROM d LEFT JOIN c USING (doc_id)"""
+
+
 def marked_transcripts(conversations: DataFrame) -> DataFrame:
     """Conversations as transcripts in five styles of speaker markers; one turn in eight has none."""
     style = F.pmod(F.xxhash64("conv_id"), F.lit(5))
