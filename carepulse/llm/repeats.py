@@ -1,20 +1,20 @@
 """Repeated byte strings across a corpus, removed after their first occurrence, by prefix-free parsing.
 
-Every window of ``size`` bytes has a trigger: the place inside it with the
-smallest rolling hash. Windows next to each other that share a trigger form a
-phrase. Triggers depend on content alone, so equal windows have equal triggers,
-wherever they stand. The dictionary holds each distinct phrase once, the parse
-says where phrases occur.
+Every window of ``size`` bytes has a trigger, the smallest rolling hash inside
+it. Windows next to each other with one trigger form a phrase. Triggers depend on
+content alone, so equal windows have equal triggers, wherever they stand. The
+dictionary holds each distinct phrase once, the parse says where phrases occur.
 
 Sorting the parse by (trigger, phrase, document, place) puts the occurrences of
 a phrase in corpus order: all windows of all but the first are repeats. What
 remains are the phrases whose trigger also occurs in other phrases, the
-edges of repeated passages. Their windows, the dictionary's suffixes cut at ``size``
+edges of repeated passages, or in the same one again. Their windows, the dictionary's suffixes cut at ``size``
 bytes, are sorted the same way, and again all but the first of equals are
 repeats. Only equality matters, so suffixes are ordered by hash.
 
-Each task sends one row of a phrase or window at most, its first in the task:
-a passage that a third of all documents share meets the shuffle once per task.
+Each task sends one row of a phrase at most, its first in the task: a passage
+that a third of all documents share meets the shuffle once per task. Edges are dealt by
+trigger with their bytes, those of a frequent trigger window by window.
 """
 
 from __future__ import annotations
@@ -29,18 +29,21 @@ from pyspark.sql import functions as F
 from .batches import bounded_batches, keep, raw_bytes, record, slices
 
 _U = np.uint64
-_BYTES = np.random.default_rng(20240).integers(1, 2 ** 63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _LOWEST = -(1 << 63)
-#: Phrases or windows that a task holds before it sends what it has.
-HELD = 2_000_000
-_ROW = np.dtype([("a", "<u8"), ("b", "<u8"), ("doc", "<i8"), ("place", "<i8"), ("n", "<i4")])
+#: Phrases or windows that a task holds before it sends what it has, and bytes of text hashed at a time.
+HELD, HASHED = 600_000, 1 << 18
+#: A trigger with more distinct phrases is dealt window by window.
+HOT = 20_000
+_ROW = np.dtype([("a", "<u8"), ("b", "<u8"), ("doc", "<i8"), ("place", "<i8"), ("n", "<i4"), ("own", "u1")])
 
 
 def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Hash of two strings that follow each other from theirs."""
-    x = (a ^ (a >> _U(31))) * _U(0x9E3779B97F4A7C15) + b
-    x ^= x >> _U(29)
+    x = a * _U(0x9E3779B97F4A7C15)
+    x ^= x >> _U(32)
+    x += b
     x *= _U(0xBF58476D1CE4E5B9)
+    x ^= x >> _U(29)
     return x
 
 
@@ -48,33 +51,46 @@ def trigger_size(size: int) -> int:
     return 1 << max(0, (size // 3).bit_length() - 1)
 
 
-def rolling(raw: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the strings that start at each byte, as far as they fit: of a trigger's bytes, and two
-    of ``size`` bytes that are built from different parts."""
-    k, top = trigger_size(size), 1 << (size.bit_length() - 1)
-    h, n = _BYTES[raw], 1
-    trigger = h
-    while n < top:
-        h, n = _join(h[:max(0, len(h) - n)], h[n:]), 2 * n
-        if n == k:
-            trigger = h
-    count = max(0, len(raw) - size + 1)
-    window = _join(h[:count], h[size - top:size - top + count])
-    other = _join(_join(trigger[:count], trigger[(size - k) // 2:][:count]), trigger[size - k:][:count])
-    return trigger, window, other
-
-
-def leftmost_minimum(h: np.ndarray, width: int) -> np.ndarray:
-    """For every run of ``width`` values the place of its smallest, the first of equals."""
-    low, at, k = h, np.arange(len(h), dtype=np.int32), 1
+class Hashes:
+    """Hashes of the strings of one length that start at each byte, for lengths as they are asked for."""
+
+    def __init__(self, raw: np.ndarray):
+        padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+        self.count = len(raw)
+        eight = np.ndarray((len(raw),), "<u8", padded, strides=(1,)).copy()
+        self.known = {8: eight}
+
+    def _power(self, k: int) -> np.ndarray:
+        if k not in self.known:
+            if k < 8:
+                self.known[k] = _join(self.known[8] & _U((1 << 8 * k) - 1), np.zeros(self.count, np.uint64))
+            else:
+                half = self._power(k // 2)
+                self.known[k] = _join(half[:max(0, len(half) - k // 2)], half[k // 2:])
+        return self.known[k]
+
+    def of(self, size: int) -> np.ndarray:
+        """For every string of ``size`` bytes."""
+        n = max(0, self.count - size + 1)
+        top = 1 << (size.bit_length() - 1)
+        h = self._power(top)
+        return h[:n] if top == size else _join(h[:n], h[size - top:size - top + n])
+
+    def check(self, size: int) -> np.ndarray:
+        """Another hash of every string of ``size`` bytes, from other parts."""
+        k = trigger_size(size)
+        h, n = self._power(k), max(0, self.count - size + 1)
+        return _join(_join(h[:n], h[(size - k) // 2:(size - k) // 2 + n]), h[size - k:size - k + n])
+
+
+def extreme(h: np.ndarray, width: int, of=np.minimum) -> np.ndarray:
+    """The smallest (or largest) of every run of ``width`` values."""
+    k = 1
     while k < width:
         step = min(k, width - k)
-        right, there = low[step:], at[step:]
-        low, at = low[:max(0, len(low) - step)], at[:max(0, len(at) - step)]
-        less = right < low
-        low, at = np.where(less, right, low), np.where(less, there, at)
+        h = of(h[:max(0, len(h) - step)], h[step:])
         k += step
-    return at
+    return h
 
 
 def _windows(offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -85,32 +101,60 @@ def _windows(offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def phrases(raw: np.ndarray, offsets: np.ndarray, size: int):
-    """(trigger, digest, text, first window in the text, windows) of the texts' phrases in order."""
-    trigger, window, _ = rolling(raw, size)
+    """(trigger, digest, text, first window in the text, windows, own) of the texts' phrases in order.
+
+    ``own``: the trigger is found in the phrase more than once, so that it may repeat windows of its own.
+    """
     at, owner = _windows(offsets, size)
+    hashes = Hashes(raw)
     if not len(at):
-        return trigger[:0], window[:0], owner, at, at
-    place = leftmost_minimum(trigger, size - trigger_size(size) + 1)[at]
-    begin = np.flatnonzero(np.append(True, (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])))
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), owner, at, at, at
+    k = trigger_size(size)
+    width = size - k + 1  # places of the trigger in a window, so windows that one of its places can be in
+    inner, window = hashes.of(k), hashes.of(size)
+    low = extreme(inner, width)
+    trigger = low[at]
+    begin = np.flatnonzero(np.append(True, (trigger[1:] != trigger[:-1]) | (owner[1:] != owner[:-1])))
     n = np.diff(np.append(begin, len(at)))
-    low, owner, place = at[begin], owner[begin], place[begin]
-    digest = _join(_join(window[low], window[low + n - 1]), (n * (size + 1) + place - low).astype(_U))
-    return trigger[place], digest, owner, low - offsets[owner], n
-
-
-def _rows(a, b, doc, place, n) -> np.ndarray:
+    if n.max() > width:  # the same trigger again and again: short periods
+        parts = -(-n // width)
+        first = np.cumsum(parts) - parts
+        begin = np.repeat(begin, parts) + (np.arange(parts.sum()) - np.repeat(first, parts)) * width
+        n = np.diff(np.append(begin, len(at)))
+    edge = np.zeros(width - 1, np.uint64)
+    found = np.flatnonzero(inner == extreme(np.concatenate([edge, low, edge]), width, np.maximum))  # places of triggers
+    again = np.concatenate([[0], np.cumsum((inner[found[1:]] == inner[found[:-1]]) & (np.diff(found) < 2 * width))])
+    low, owner, trigger = at[begin], owner[begin], trigger[begin]
+    x, y = np.searchsorted(found, low), np.searchsorted(found, low + n + width - 2, side="right") - 1
+    digest = _join(_join(window[low], window[low + n - 1]), n.astype(_U))
+    return trigger, digest, owner, low - offsets[owner], n, again[y] > again[x]
+
+
+def _rows(a, b, doc, place, n, own=0) -> np.ndarray:
     out = np.empty(len(a), _ROW)
-    for name, values in zip(_ROW.names, (a, b, doc, place, n)):
+    for name, values in zip(_ROW.names, (a, b, doc, place, n, own)):
         out[name] = values
     return out
 
 
+def _alone(keys: np.ndarray) -> np.ndarray:
+    """Which of sorted keys differ from both neighbours."""
+    new = np.ones(len(keys) + 1, bool)
+    new[1:-1] = keys[1:] != keys[:-1]
+    return new[1:] & new[:-1]
+
+
 def _sorted(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows in corpus order of equals, and which are the first of theirs."""
-    rows = rows[np.lexsort((rows["place"], rows["doc"], rows["b"], rows["a"]))]
+    """Rows in corpus order of equals, each place once, and which are the first of theirs."""
+    rows = rows[np.argsort(rows["a"])]
+    alone = _alone(rows["a"])
+    some = rows[~alone]  # the full order matters among those only
+    rows[~alone] = some[np.lexsort((some["place"], some["doc"], some["b"], some["a"]))]
     first = np.ones(len(rows), bool)
     first[1:] = (rows["a"][1:] != rows["a"][:-1]) | (rows["b"][1:] != rows["b"][:-1])
-    return rows, first
+    fresh = first.copy()
+    fresh[1:] |= (rows["doc"][1:] != rows["doc"][:-1]) | (rows["place"][1:] != rows["place"][:-1])
+    return (rows, first) if fresh.all() else (rows[fresh], first[fresh])
 
 
 def _merged(rows: np.ndarray) -> np.ndarray:
@@ -141,53 +185,98 @@ def _unpacked(data: bytes) -> np.ndarray:
     return out
 
 
-_SENT = "bucket int, mark boolean, rows binary"
+_SENT = "bucket int, kind tinyint, rows binary, text binary"
+_PLAIN, _MARK, _CELL = range(3)
+
+
+def _dealt(kind: int, rows: np.ndarray, by: np.ndarray, buckets: int, text: list | None = None) -> Iterator[pa.RecordBatch]:
+    """Rows, and their bytes, as one record for each bucket."""
+    if not len(rows):
+        return
+    bucket = (_join(by.astype(_U), np.zeros(len(by), _U)) % _U(buckets)).astype(np.int32)
+    order = np.lexsort((rows["place"], rows["doc"], bucket))
+    rows, bucket = rows[order], bucket[order]
+    begin = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    end = np.append(begin[1:], len(rows))
+    texts = [None] * len(begin) if text is None else [b"".join(text[k] for k in order[x:y].tolist()) for x, y in zip(begin, end)]
+    yield pa.RecordBatch.from_pydict({
+        "bucket": pa.array(bucket[begin], pa.int32()), "kind": pa.array([kind] * len(begin), pa.int8()),
+        "rows": pa.array([_packed(rows[x:y]) for x, y in zip(begin, end)], pa.binary()), "text": pa.array(texts, pa.binary())})
 
 
 def _send(rows: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     """The first of equal rows dealt by their hash; the others, known repeats, as marks dealt by document."""
     rows, first = _sorted(rows)
-    for mark, part in ((False, rows[first]), (True, _merged(rows[~first]))):
-        if not len(part):
-            continue
-        deal = _join(part["doc"].astype(_U) if mark else part["a"], np.zeros(len(part), _U))
-        bucket = (deal % _U(buckets)).astype(np.int32)
-        order = np.lexsort((part["place"], part["doc"], bucket))
-        part, bucket = part[order], bucket[order]
-        begin = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-        end = np.append(begin[1:], len(part))
-        yield pa.RecordBatch.from_pydict({
-            "bucket": pa.array(bucket[begin], pa.int32()), "mark": pa.array([mark] * len(begin)),
-            "rows": pa.array([_packed(part[x:y]) for x, y in zip(begin, end)], pa.binary())})
+    yield from _dealt(_PLAIN, rows[first], rows["a"][first], buckets)
+    marks = _merged(rows[~first])
+    yield from _dealt(_MARK, marks, marks["doc"], buckets)
 
 
-_FOUND = "doc long, sub int, low int, n int, open boolean"
+_FOUND = "doc long, sub int, low int, n int, key long"
 
 
-def _found(rows: np.ndarray, is_open: bool) -> pa.RecordBatch:
+def _found(rows: np.ndarray, key: np.ndarray | None = None) -> pa.RecordBatch:
+    keys = pa.nulls(len(rows), pa.int64()) if key is None else pa.array(key.view(np.int64))
     return pa.RecordBatch.from_pydict({
         "doc": rows["doc"], "sub": (rows["place"] >> 32).astype(np.int32), "low": (rows["place"] & 0xFFFFFFFF).astype(np.int32),
-        "n": rows["n"], "open": np.full(len(rows), is_open)})
-
-
-def _settle(look_on: bool):
-    """Reduce side: marks for all but the first of equals; with ``look_on`` also the first
-    ones whose trigger has other phrases, as open."""
+        "n": rows["n"], "key": keys})
+
+
+def _received(batches: Iterator[pa.RecordBatch]) -> tuple[list[np.ndarray], list[np.ndarray], list[tuple[np.ndarray, bytes]]]:
+    plain, marks, cells = [np.zeros(0, _ROW)], [np.zeros(0, _ROW)], []
+    for batch in batches:
+        for kind, data, text in zip(*(batch[c].to_pylist() for c in ("kind", "rows", "text"))):
+            rows = _unpacked(data)
+            cells.append((rows, text)) if kind == _CELL else (marks if kind == _MARK else plain).append(rows)
+    return plain, marks, cells
+
+
+def _settle_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Marks for all but the first of equal phrases, and, with their key, the first ones that may repeat windows
+    of others (their trigger has other phrases) or of their own."""
+    plain, marks, _ = _received(batches)
+    rows, first = _sorted(np.concatenate(plain))
+    yield _found(_merged(np.concatenate([*marks, rows[~first]])))
+    rows = rows[first]
+    more = np.zeros(len(rows), bool)
+    more[1:] = rows["a"][1:] == rows["a"][:-1]
+    more[:-1] |= more[1:]
+    more |= rows["own"] > 0
+    yield _found(rows[more], np.ascontiguousarray(rows["a"][more]))
+
+
+def _settle_windows(size: int):
+    """Marks for all but the first of equal windows, which come by themselves or in phrases."""
+
+    def met(rows: np.ndarray, raw: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """The windows of phrases that meet others of their hash."""
+        length = rows["n"] + size - 1
+        ends = np.concatenate([[0], np.cumsum(length)])
+        text = raw[np.arange(ends[-1]) + np.repeat(begin - ends[:-1], length)]
+        at, owner = _windows(ends, size)
+        window = Hashes(text).of(size)[at]
+        order = np.argsort(window)
+        some = order[~_alone(window[order])]
+        window, owner, at = window[some], owner[some], at[some]
+        return _rows(window, rows["a"][owner], rows["doc"][owner], rows["place"][owner] + at - ends[owner], np.ones(len(at)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, marks = [np.zeros(0, _ROW)], [np.zeros(0, _ROW)]
-        for batch in batches:
-            for mark, data in zip(batch["mark"].to_pylist(), batch["rows"].to_pylist()):
-                (marks if mark else parts).append(_unpacked(data))
-        rows, first = _sorted(np.concatenate(parts))
+        plain, marks, cells = _received(batches)
+        rows, first = _sorted(np.concatenate(plain))
         marks.append(rows[~first])
-        yield _found(_merged(np.concatenate(marks)), False)
-        if look_on:
-            rows = rows[first]
-            more = np.zeros(len(rows), bool)
-            more[1:] = rows["a"][1:] == rows["a"][:-1]
-            more[:-1] |= more[1:]
-            yield _found(rows[more], True)
+        if cells:
+            rows, raw = np.concatenate([c[0] for c in cells]), np.frombuffer(b"".join(c[1] for c in cells), np.uint8)
+            length = rows["n"].astype(np.int64) + size - 1
+            begin = np.cumsum(length) - length
+            order = np.argsort(rows["a"], kind="stable")  # equal windows have one trigger: a run of triggers at a time
+            rows, begin = rows[order], begin[order]
+            run_no = np.cumsum(rows["n"], dtype=np.int64) // HELD
+            new = np.append(True, (rows["a"][1:] != rows["a"][:-1]))
+            cuts = [*np.flatnonzero(new & (np.append(-1, run_no[np.flatnonzero(new)[np.cumsum(new)[:-1] - 1]]) != run_no)).tolist(), len(rows)]
+            for x, y in zip(cuts, cuts[1:]):
+                part, first = _sorted(met(rows[x:y], raw, begin[x:y]))
+                marks.append(_merged(part[~first]))
+        yield _found(_merged(np.concatenate(marks)))
 
     return run
 
@@ -213,14 +302,14 @@ def repeats(docs: DataFrame, size: int = 100, id_col: str = "doc_id", text_col:
         raise ValueError("size must be 3 at least")
     spark = docs.sparkSession
     bounded_batches(spark)
-    rows, buckets = _texts(docs, id_col, text_col), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows, buckets = _texts(docs, id_col, text_col), int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
-        for batch in slices(batches):
+        for batch in slices(batches, limit=HASHED):
             doc, sub = _places(batch)
-            a, b, owner, low, count = phrases(*raw_bytes(batch["text"]), size)
-            held.append(_rows(a, b, doc[owner], sub[owner] + low, count))
+            a, b, owner, low, count, own = phrases(*raw_bytes(batch["text"]), size)
+            held.append(_rows(a, b, doc[owner], sub[owner] + low, count, own))
             n += len(a)
             if n > HELD:
                 yield from _send(np.concatenate(held), buckets)
@@ -229,32 +318,49 @@ def repeats(docs: DataFrame, size: int = 100, id_col: str = "doc_id", text_col:
             yield from _send(np.concatenate(held), buckets)
 
     parsed = rows.select("doc", "sub", "text").mapInArrow(parse, _SENT).repartition("bucket")
-    found = keep(parsed.mapInArrow(_settle(True), _FOUND), "phrases")
+    found = keep(parsed.mapInArrow(_settle_phrases, _FOUND), "phrases")
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for batch in slices(batches):
+        held, n, cells, texts, n_cells = [], 0, [], [], 0
+        for batch in slices(batches, limit=HASHED):
             doc, sub = _places(batch)
             raw, offsets = raw_bytes(batch["text"])
-            _, window, other = rolling(raw, size)
-            cells = batch["cells"]
-            owner = np.repeat(np.arange(batch.num_rows), np.diff(cells.offsets.to_numpy()))
-            inner = cells.flatten()
-            low, count = inner.field("low").to_numpy().astype(np.int64), inner.field("n").to_numpy().astype(np.int64)
-            low, owner = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count), np.repeat(owner, count)
-            at = offsets[owner] + low
-            held.append(_rows(window[at], other[at], doc[owner], sub[owner] + low, np.ones(len(at))))
-            n += len(at)
+            lists = batch["cells"]
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            inner = lists.flatten()
+            low, count = (inner.field(c).to_numpy().astype(np.int64) for c in ("low", "n"))
+            key, hot = inner.field("key").to_numpy().view(_U), inner.field("hot").to_numpy(zero_copy_only=False)
+            cold = np.flatnonzero(~hot)
+            cells.append(_rows(key[cold], np.zeros(len(cold)), doc[owner[cold]], sub[owner[cold]] + low[cold], count[cold]))
+            data, begin = memoryview(raw.tobytes()), offsets[owner[cold]] + low[cold]
+            texts += [bytes(data[x:y]) for x, y in zip(begin.tolist(), (begin + count[cold] + size - 1).tolist())]
+            n_cells += len(cold)
+            if hot.any():
+                low, count, owner = low[hot], count[hot], owner[hot]
+                low, owner = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count), np.repeat(owner, count)
+                hashes, at = Hashes(raw), offsets[owner] + low
+                held.append(_rows(hashes.of(size)[at], hashes.check(size)[at], doc[owner], sub[owner] + low, np.ones(len(at))))
+                n += len(at)
             if n > HELD:
                 yield from _send(np.concatenate(held), buckets)
                 held, n = [], 0
+            if n_cells > HELD // 8:
+                sent = np.concatenate(cells)
+                yield from _dealt(_CELL, sent, sent["a"], buckets, texts)
+                cells, texts, n_cells = [], [], 0
         if n:
             yield from _send(np.concatenate(held), buckets)
-
-    cells = found.where("open").groupBy("doc", "sub").agg(F.collect_list(F.struct("low", "n")).alias("cells"))
+        if n_cells:
+            sent = np.concatenate(cells)
+            yield from _dealt(_CELL, sent, sent["a"], buckets, texts)
+
+    edges = found.where("key IS NOT NULL")
+    hot = keep(edges.groupBy("key").count().where(F.col("count") > HOT).select("key", F.lit(True).alias("hot")), "hot-triggers")
+    cells = edges.join(hot, "key", "left").groupBy("doc", "sub").agg(F.collect_list(
+        F.struct("low", "n", "key", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("cells"))
     opened = rows.select("doc", "sub", "text").join(cells, ["doc", "sub"]).mapInArrow(suffixes, _SENT).repartition("bucket")
-    more = keep(opened.mapInArrow(_settle(False), _FOUND), "suffixes")
-    return found.where("NOT open").unionByName(more).drop("open")
+    more = keep(opened.mapInArrow(_settle_windows(size), _FOUND), "suffixes")
+    return found.where("key IS NULL").unionByName(more).drop("key")
 
 
 def remove(docs: DataFrame, size: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -271,7 +377,7 @@ def remove(docs: DataFrame, size: int = 100, id_col: str = "doc_id", text_col: s
                         ("n_spans", pa.int64()), ("kept", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=HASHED):
             raw, offsets = raw_bytes(batch["text"])
             marks = batch["marks"]
             lists = np.diff(marks.offsets.to_numpy()) * marks.is_valid().to_numpy(zero_copy_only=False)
