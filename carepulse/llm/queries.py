@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, decontaminate, fingerprints, language, packing, pii, repeats, simhash, toxicity, transcripts
+from . import bitpack, decontaminate, fingerprints, language, packing, pii, repair, repeats, resampling, simhash, toxicity, transcripts, urls
 from .words import fold
 
 TOKENIZER = "word_bpe_49k.json"
@@ -123,3 +123,99 @@ def op8_transcript_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = marked_transcripts(_table(spark, sf_dir, "conversations"))
     found = transcripts.parse(rows, "conv_id", "turn", "text", "role", fold("conv_id", 4) != 0)
     return found.select(F.col("id").alias("conv_id"), "first_line", "begins", "role", "n_lines", "rendered")
+
+
+#: Rules that pages are judged by: host, path, verdict.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+@_query
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge(_table(spark, sf_dir, "pages"), rules)
+
+
+LLM_SQL["op11_url_filter"] = """
+WITH r(h, p, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+s AS (SELECT row_number() OVER () AS k, page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+u AS (SELECT k, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM s),
+m AS (SELECT k, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS v
+  FROM u JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY k)
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM u LEFT JOIN m USING (k)"""
+
+#: CRC-32 of the UTF-8 bytes of {w}, with tab(t) the table of all bytes.
+_CRC_TABLE = """tab AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+_CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(octet_length(encode({w}))),
+  lambda i: CAST('0x' || substr(hex(encode({w})), 2 * i + 1, 2) AS BIGINT))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+@_query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+LLM_SQL["op12_importance_resampling"] = f"""
+WITH {_CRC_TABLE},
+d AS (SELECT row_number() OVER () AS k, doc_id, {_WORDS} AS ws FROM documents),
+dw AS (SELECT k, w, count(*) AS n FROM (SELECT k, unnest(ws) AS w FROM d) x GROUP BY k, w),
+bw AS (SELECT w, count(*) AS n FROM (SELECT unnest({_WORDS}) AS w FROM benchmark) x GROUP BY w),
+words AS (SELECT w, {_CRC.format(w='w')} % 10000 AS b FROM (SELECT w FROM dw UNION SELECT w FROM bw) x, tab),
+s AS (SELECT b, sum(n) AS n FROM dw JOIN words USING (w) GROUP BY b),
+t AS (SELECT b, sum(n) AS n FROM bw JOIN words USING (w) GROUP BY b),
+g AS (SELECT i.b AS b, floor(1000 * ln((coalesce(t.n, 0) + 1) * CAST((SELECT sum(n) FROM s) + 10000 AS DOUBLE)
+  / ((coalesce(s.n, 0) + 1) * CAST((SELECT sum(n) FROM t) + 10000 AS DOUBLE)))) AS gain
+  FROM (SELECT unnest(range(10000)) AS b) i LEFT JOIN s ON s.b = i.b LEFT JOIN t ON t.b = i.b),
+m AS (SELECT k, CAST(floor(sum(n * gain) / sum(n)) AS BIGINT) AS weight FROM dw JOIN words USING (w) JOIN g USING (b) GROUP BY k),
+f AS (SELECT k, doc_id, CAST(len(ws) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+  (CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM d LEFT JOIN m USING (k)),
+o AS (SELECT k, row_number() OVER (ORDER BY score DESC, doc_id, k) AS place FROM f WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= (SELECT count(*) FROM o) * 10 // 100 THEN place END AS rank FROM f LEFT JOIN o USING (k)"""
+
+
+@_query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired_report(_table(spark, sf_dir, "conversations"))
+
+
+LLM_SQL["op13_conversation_repair"] = f"""
+WITH RECURSIVE {_CRC_TABLE},
+given AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS w FROM conversations),
+dealt AS (SELECT *, {_CRC.format(w='w')} % 20 AS k FROM given, tab),
+damaged AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+  CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN k = 3 THEN 2 ELSE 1 END)) AS copy FROM dealt WHERE k <> 0),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS n FROM damaged),
+known AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again, substr(role, 1, 1) AS i,
+  rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM numbered),
+r AS (SELECT *, CASE WHEN body = '' THEN 'b' WHEN again THEN 'd' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+  lag(i) OVER (PARTITION BY conv_id ORDER BY n) AS before FROM known),
+ins(q, letters, cost, state, said) AS (VALUES (0, '', 0, 0, CAST([] AS VARCHAR[])), (1, '', 0, 1, []), (2, '', 0, 2, []), (3, '', 0, 3, []),
+  (0, 'I', 5, 2, ['user:']), (1, 'I', 5, 2, ['user:']), (3, 'I', 5, 2, ['user:']), (2, 'I', 5, 3, ['assistant:']),
+  (0, 'II', 10, 3, ['user:', 'assistant:']), (1, 'II', 10, 3, ['user:', 'assistant:']), (3, 'II', 10, 3, ['user:', 'assistant:']),
+  (2, 'II', 10, 2, ['assistant:', 'user:'])),
+kept(state, i, next) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)),
+way(state, letter, next, i) AS (SELECT state, 'K', next, i FROM kept UNION ALL SELECT * FROM (VALUES (0, 'R', 2, NULL), (1, 'R', 2, NULL), (3, 'R', 2, NULL),
+  (2, 'R', 3, NULL), (0, 'D', 0, NULL), (1, 'D', 1, NULL), (2, 'D', 2, NULL), (3, 'D', 3, NULL)) v),
+path(conv_id, n, q, best) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), 0, {{'c': CAST(0 AS BIGINT), 'a': '', 't': CAST([] AS VARCHAR[])}} FROM r
+  UNION ALL
+  SELECT path.conv_id, path.n + 1, next, min({{'c': best.c + cost + CASE letter WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END + CASE WHEN letter <> 'D' AND fault = 't' THEN 5 ELSE 0 END,
+    'a': best.a || letters || letter, 't': list_concat(best.t, said, CASE letter WHEN 'D' THEN [] WHEN 'K' THEN [role || ':' || text]
+    ELSE [CASE next WHEN 2 THEN 'user:' ELSE 'assistant:' END || text] END)}})
+  FROM path JOIN r ON r.conv_id IS NOT DISTINCT FROM path.conv_id AND r.n = path.n + 1 JOIN ins USING (q) JOIN way ON way.state = ins.state
+  WHERE (letter = 'D' OR fault NOT IN ('b', 'd')) AND (way.i IS NULL OR way.i = r.i) GROUP BY path.conv_id, path.n, next),
+done AS (SELECT path.conv_id, min({{'c': best.c + cost, 'a': best.a || letters, 't': list_concat(best.t, said)}}) AS best
+  FROM path JOIN (SELECT conv_id, max(n) AS n FROM r GROUP BY conv_id) l ON l.conv_id IS NOT DISTINCT FROM path.conv_id AND l.n = path.n
+  JOIN ins USING (q) WHERE state IN (0, 3) GROUP BY path.conv_id),
+facts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+  count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+  count(*) FILTER (before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id)
+SELECT o.conv_id AS conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(array_to_string(best.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM o.conv_id
+  LEFT JOIN facts ON facts.conv_id IS NOT DISTINCT FROM o.conv_id"""

@@ -33,9 +33,13 @@ class Words:
         return before[at] - before[self.texts[owner]]
 
 
-def split_words(batch: pa.RecordBatch, column: str = "text") -> Words:
+def split_words(batch: pa.RecordBatch, column: str = "text", between: np.ndarray = _SPACE,
+                letters: np.ndarray | None = None) -> Words:
+    """Words of the column, parted by the bytes that ``between`` marks; ``letters`` gives each byte another first."""
     raw, offsets = raw_bytes(texts(batch, column))
-    inside = ~_SPACE[raw]
+    if letters is not None:
+        raw = letters[raw]
+    inside = ~between[raw]
     edge = np.empty(len(raw) + 1, bool)
     edge[:-1], edge[-1:] = inside, False
     edge[1:] ^= inside
