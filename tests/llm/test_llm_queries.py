@@ -19,6 +19,9 @@ COLUMNS = {
     "op8_": "conv_id first_line role rendered",
     "op9_": "doc_id fingerprint component_id",
     "op10_": "doc_id n_bytes n_removed n_spans kept_sha256",
+    "op11_": "page_id host path rule verdict",
+    "op12_": "doc_id n_features weight score rank",
+    "op13_": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
     "pipeline": "doc_id sequence_id offset ids",
 }
 
@@ -35,7 +38,7 @@ def test_columns_and_rows(spark, sf_dir, key):
     assert set(wanted) <= set(out.columns)
     rows = out.select(*wanted).cache()
     n = rows.count()
-    if key[:4] in ("op2_", "op3_", "op4_", "op5_", "op6_", "op9_", "op10"):
+    if key[:4] in ("op2_", "op3_", "op4_", "op5_", "op6_", "op9_", "op10", "op12"):
         assert n == spark.read.parquet(f"{sf_dir}/documents.parquet").count() == rows.select("doc_id").distinct().count()
     else:
         assert n > 0
