@@ -101,7 +101,8 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     What rules can tell apart of a URL is its head: the last labels of the host and the first segments of
     the path. Distinct heads are expanded, so a host that a third of all URLs have is looked up once. Expressions meet
     rules on the first 32 bits of their SHA-256 and are confirmed by all 256. No side is hinted: Spark broadcasts
-    rules, or what was found, only below its threshold, and splits a frequent head otherwise.
+    rules, or what was found, only below its threshold, and splits a frequent head otherwise; what was
+    found is stored first, since a join can't be split above the aggregate that makes one side.
     """
     hashed = keep(hashed_rules(rules), "rules")
     labels, paths = _shapes(hashed)
@@ -120,8 +121,8 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     digest = F.sha2("_expression", 256)
     asked = asked.select("_head_host", "_head_path", _short(digest).alias("short"), digest.alias("_digest"))
     hits = asked.join(hashed, "short").where(F.col("_digest") == F.col("digest"))
-    best = hits.groupBy("_head_host", "_head_path").agg(
-        F.max(F.struct("size", "host_size", "rule", "verdict")).alias("_best"))
+    best = keep(hits.groupBy("_head_host", "_head_path").agg(
+        F.max(F.struct("size", "host_size", "rule", "verdict")).alias("_best")), "judged-heads")
     found = urls.join(best, ["_head_host", "_head_path"], "left")
     return found.select(F.col("_id").alias(id_col), F.col("_host").alias("host"), F.col("_path").alias("path"),
                         F.col("_best.rule").alias("rule"), F.coalesce("_best.verdict", F.lit(unlisted)).alias("verdict"))
