@@ -31,7 +31,7 @@ def any_flag(predicate: Column) -> Column:
 def approx_median(c: ColumnLike, p: float = 0.5, accuracy: int = 10000) -> Column:
     """Some element near rank ``p``: a bounded sketch for each group, within ``1/accuracy`` of the rank.
 
-    For exact medians see :func:`carepulse.operators.aggregates.exact_quantiles`.
+    For exact medians see :func:`carepulse.operators.selection.exact_quantiles`.
     """
     return F.percentile_approx(col(c), p, accuracy)
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import ColumnLike, classify, col
 from ..functions.temporal import is_weekend
+from .selection import exact_quantiles
 
 
 def count_by(df: DataFrame, keys: Mapping[str, ColumnLike], out: str = "n") -> DataFrame:
@@ -49,26 +50,6 @@ def phase_compare(df: DataFrame, time_col: ColumnLike, phases: Sequence[tuple[st
     return labelled.groupBy("phase").agg(*[m.alias(name) for name, m in measures.items()])
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], cols: Mapping[str, ColumnLike], p: float = 0.5) -> DataFrame:
-    """Per group the smallest value that at least the share ``p`` of its values do not exceed (0.5: the
-    lower median), for each of ``cols``: ``{name: column}``, numeric. NULL values don't count; NULL keys form a group.
-
-    Exact for groups of any size. Rows are counted per group and value, combined map-side, and
-    the counts are added up in the order of values, sorted on disk where need be.
-    """
-    kept = df.select(*keys, *[col(c).alias(f"_q{i}") for i, c in enumerate(cols.values())])
-    kinds = [kept.schema[f"_q{i}"].dataType for i in range(len(cols))]
-    stacked = kept.select(*keys, F.inline(F.array(*[
-        F.struct(F.lit(i).alias("_which"), F.col(f"_q{i}").cast("double").alias("_value")) for i in range(len(cols))])))
-    counted = stacked.groupBy(*keys, "_which", "_value").agg(F.count("_value").alias("_n"))
-    group = Window.partitionBy(*keys, "_which")
-    so_far = group.orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counted.withColumns({"_so_far": F.sum("_n").over(so_far), "_all": F.sum("_n").over(group)})
-    return ranked.where(F.col("_so_far") >= F.col("_all") * F.lit(p)).groupBy(*keys).agg(*[
-        F.min(F.when(F.col("_which") == i, F.col("_value"))).cast(kind).alias(name)
-        for i, (name, kind) in enumerate(zip(cols, kinds))])
-
-
 def with_group_columns(df: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join of a one-row-per-group relation; NULL keys match."""
     names = [f"_k{i}" for i in range(len(keys))]

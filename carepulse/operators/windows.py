@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .aggregates import exact_quantiles, with_group_columns
+from .aggregates import with_group_columns
+from .selection import exact_quantiles
 
 
 def partition_medians(df: DataFrame, c: str, parts: Sequence[str], out: str) -> DataFrame:

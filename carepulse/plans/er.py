@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.cleaning import bucket_in, enum_ci, enum_exact, flag, null_default, value_if
 from ..functions.measures import count_if, rate, ratio
 from ..functions.temporal import decode_time, duration_minutes, is_weekend, month_start, week_start
-from ..operators.aggregates import exact_quantiles
+from ..operators.selection import exact_quantiles
 from ..operators.joining import densify, left_enrich
 from ..operators.sets import union_distinct
 from ..operators.windows import partition_medians, running_sum, with_partition_median
