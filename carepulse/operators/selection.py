@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,8 +19,8 @@ from ..functions.cleaning import ColumnLike, col
 from ..session import shared_dir
 from ..sources.files import stored
 
-#: Distinct values of a group that one task may hold, and digits that a histogram has.
-FEW = DIGITS = 4096
+#: Distinct values of a group that one task may hold, 24 bytes each, and digits that a histogram has.
+FEW, DIGITS = 1 << 16, 1 << 12
 _SHIFT = DIGITS.bit_length() - 1
 #: Bits of a double's fraction, and its smallest normal exponent.
 _FRACTION, _LOWEST = 52, -1022
@@ -119,13 +119,14 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], cols: Mapping[str, Colum
     groups = [*keys, "_which"]
     stacked = kept.select(*keys, F.inline(F.array(*[row(i, kind) for i, kind in enumerate(kinds)])))
     counted = stacked.groupBy(*groups, "_key").agg(F.count("_key").alias("_n"), F.max("_value").alias("_value"))
-    counted = stored(counted, shared_dir(spark, "counted"))
+    seen = Observation()
+    counted = stored(counted.observe(seen, F.count(F.lit(1)).alias("rows")), shared_dir(spark, "counted"))
     known = counted.where("_key IS NOT NULL")
     totals = known.groupBy(*groups).agg(F.min("_key").alias("lo"), F.max("_key").alias("hi"), F.count("*").alias("distinct"),
                                         (F.sum("_n") * F.lit(p)).alias("need"))
-    if (totals.agg(F.max("distinct")).first()[0] or 0) > few:
+    if seen.get["rows"] > few and totals.agg(F.max("distinct")).first()[0] > few:
         state = stored(totals, shared_dir(spark, "quantile-round"))
-        while (state.agg(F.max("distinct")).first()[0] or 0) > few:
+        while state.agg(F.max("distinct")).first()[0] > few:
             large = _narrow(known, state.where(F.col("distinct") > few), groups)
             state = stored(state.where(F.col("distinct") <= few).unionByName(large), shared_dir(spark, "quantile-round"))
         right = _renamed(state, groups)

@@ -64,3 +64,9 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="carepulse-", dir="/tmp"))
         base = spark.sparkContext.getCheckpointDir()
     return f"{base}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark reads, if it is there (classic sessions only)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -7,8 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from ..sources.versions import Versions
 from .joins import TimeBound, flat_orders
-from .tables import read_stream, start_available
+from .tables import in_generation, read_stream, start_available
 
 COPIES = ("customer", "product", "salesorderdetail")
 FLAT = "sales_orders_flat"
@@ -18,26 +19,35 @@ def update_sales_orders(landing: Mapping[str, DataFrame], target: str, full_refr
                         salts: int = 8, bound: TimeBound | None = None, max_files: int | None = 1000) -> dict[str, DataFrame]:
     """Bring all four tables up to date, then stop; a later call adds only newer rows.
 
+    All four tables are one generation: a full refresh that fails in any of them leaves all four as they were.
     ``landing`` holds the three input streams and ``target`` is a shared folder.
     The flat table reads the copies, not the landing area, ``max_files`` new files a batch.
     ``salts`` and ``bound`` go to :func:`flat_orders`: the first splits a hot product, the second bounds the state.
     """
     spark = landing["product"].sparkSession
-
-    def start(name: str, stream: DataFrame) -> StreamingQuery:
-        return start_available(stream, f"{target}/{name}/data", f"{target}/{name}/checkpoint", full_refresh)
-
-    running: list[StreamingQuery] = []
-    try:
-        for name in COPIES:  # side by side
-            running.append(start(name, landing[name]))
-        for query in running:
-            query.awaitTermination()
-    finally:
-        for query in running:
-            query.stop()
-    copies = {name: read_stream(spark, f"{target}/{name}/data", landing[name].schema, max_files=max_files) for name in COPIES}
-    flat = flat_orders(copies["salesorderdetail"], copies["product"], salts, bound)
-    start(FLAT, flat).awaitTermination()
-    schemas = {**{n: s.schema for n, s in copies.items()}, FLAT: flat.schema}
-    return {n: spark.read.schema(schema).parquet(f"{target}/{n}/data") for n, schema in schemas.items()}
+    flat_schema = None
+
+    def update(generation: str) -> None:
+        nonlocal flat_schema
+        base = f"{target}/{generation}"
+
+        def start(name: str, stream: DataFrame) -> StreamingQuery:
+            return start_available(stream, f"{base}/{name}/data", f"{base}/{name}/checkpoint")
+
+        running: list[StreamingQuery] = []
+        try:
+            for name in COPIES:  # side by side
+                running.append(start(name, landing[name]))
+            for query in running:
+                query.awaitTermination()
+        finally:
+            for query in running:
+                query.stop()
+        copies = {name: read_stream(spark, f"{base}/{name}/data", landing[name].schema, max_files=max_files) for name in COPIES}
+        flat = flat_orders(copies["salesorderdetail"], copies["product"], salts, bound)
+        flat_schema = flat.schema
+        start(FLAT, flat).awaitTermination()
+
+    at = in_generation(Versions(spark, target), update, full_refresh)
+    schemas = {**{n: landing[n].schema for n in COPIES}, FLAT: flat_schema}
+    return {n: spark.read.schema(schema).parquet(f"{at.path}/{n}/data") for n, schema in schemas.items()}
