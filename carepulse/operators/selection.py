@@ -1,9 +1,9 @@
 """Exact order statistics of groups of any size, by histograms of ordered numbers.
 
-A value becomes a long integer that sorts like it. Equal values are one row with a
-count. While a group has more distinct values than a task should hold, its values are
-counted by their leading digits and only those in the digit that holds the wanted rank
-stay: no group is ever sorted, and nothing larger than a histogram meets in one task.
+Equal values are one row with a count. While a group has more distinct values than a
+task should hold, its values become long integers that sort like them, are counted by
+their leading digits, and only those in the digit that holds the wanted rank stay: no
+larger group is ever sorted, and nothing larger than a histogram meets in one task.
 """
 
 from __future__ import annotations
@@ -42,21 +42,22 @@ def _double_order(c: Column) -> Column:
     return F.when(F.isnan(c), most + 1).otherwise(F.when(c < 0, -magnitude).otherwise(magnitude))
 
 
-def ordered_long(c: Column, kind: T.DataType) -> tuple[Column, Column | None]:
-    """(a long that sorts like the column, the value as a double where the long doesn't tell it)."""
+def _as_number(c: Column, kind: T.DataType) -> tuple[Column, Column]:
+    """The value as a long if that is exact, else as a double; the other one is NULL."""
     if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return c.cast("long"), F.lit(None).cast("double")
     if isinstance(kind, T.DecimalType) and kind.precision <= 18:
         return (c * F.lit(10 ** kind.scale)).cast("long"), F.lit(None).cast("double")
     if not isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
         raise TypeError(f"no quantile of a {kind.simpleString()}")
-    return _double_order(c.cast("double")), c.cast("double")
+    return F.lit(None).cast("long"), c.cast("double")
 
 
-def _value(key: str, value: str, kind: T.DataType) -> Column:
+def _value(whole: str, value: str, kind: T.DataType) -> Column:
     if isinstance(kind, T.DecimalType) and kind.precision <= 18:
-        return (F.col(key).cast(T.DecimalType(38, 0)) / F.lit(10 ** kind.scale)).cast(kind)
-    return (F.col(value) if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)) else F.col(key)).cast(kind)
+        return (F.col(whole).cast(T.DecimalType(38, 0)) / F.lit(10 ** kind.scale)).cast(kind)
+    return F.coalesce(F.col(value), F.col(whole).cast("double")).cast(kind) if isinstance(
+        kind, (T.DoubleType, T.FloatType, T.DecimalType)) else F.col(whole).cast(kind)
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -113,32 +114,37 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], cols: Mapping[str, Colum
     kinds = [kept.schema[f"_q{i}"].dataType for i in range(len(cols))]
 
     def row(i: int, kind: T.DataType) -> Column:
-        key, value = ordered_long(F.col(f"_q{i}"), kind)
-        return F.struct(F.lit(i).alias("_which"), key.alias("_key"), value.alias("_value"))
+        whole, value = _as_number(F.col(f"_q{i}"), kind)
+        return F.struct(F.lit(i).alias("_which"), whole.alias("_whole"), value.alias("_value"))
 
     groups = [*keys, "_which"]
     stacked = kept.select(*keys, F.inline(F.array(*[row(i, kind) for i, kind in enumerate(kinds)])))
-    counted = stacked.groupBy(*groups, "_key").agg(F.count("_key").alias("_n"), F.max("_value").alias("_value"))
     seen = Observation()
+    counted = stacked.groupBy(*groups, "_whole", "_value").agg(F.count(F.lit(1)).alias("_n"))
     counted = stored(counted.observe(seen, F.count(F.lit(1)).alias("rows")), shared_dir(spark, "counted"))
-    known = counted.where("_key IS NOT NULL")
-    totals = known.groupBy(*groups).agg(F.min("_key").alias("lo"), F.max("_key").alias("hi"), F.count("*").alias("distinct"),
-                                        (F.sum("_n") * F.lit(p)).alias("need"))
-    if seen.get["rows"] > few and totals.agg(F.max("distinct")).first()[0] > few:
-        state = stored(totals, shared_dir(spark, "quantile-round"))
-        while state.agg(F.max("distinct")).first()[0] > few:
-            large = _narrow(known, state.where(F.col("distinct") > few), groups)
-            state = stored(state.where(F.col("distinct") <= few).unionByName(large), shared_dir(spark, "quantile-round"))
-        right = _renamed(state, groups)
-        known = known.join(right, _same(known, right, groups) & (F.col("_key") >= F.col("lo")) & (F.col("_key") <= F.col("hi"))).select(
-            *[known[c] for c in known.columns], "need")
-        need = F.first("need")
-    else:
-        need = F.sum("_n") * F.lit(p)
-    rows = F.array_sort(F.collect_list(F.struct(F.col("_key").alias("key"), F.col("_n").alias("n"), F.col("_value").alias("value"))))
+    known = counted.where("_whole IS NOT NULL OR _value IS NOT NULL")
+    need = F.sum("_n") * F.lit(p)
+    if seen.get["rows"] > few:
+        known, need = _part_with_rank(known, groups, p, few), F.first("need")
+    rows = F.array_sort(F.collect_list(F.struct(F.col("_whole").alias("whole"), F.col("_value").alias("value"), F.col("_n").alias("n"))))
     found = known.groupBy(*groups).agg(rows.alias("rows"), need.alias("need")).select(
-        *groups, _first_reaching(F.col("rows"), F.col("need"), ["key", "value"]).alias("at")).select(*groups, "at.key", "at.value")
+        *groups, _first_reaching(F.col("rows"), F.col("need"), ["whole", "value"]).alias("at")).select(*groups, "at.whole", "at.value")
     # a group whose values are all NULL has a row of NULLs
-    wide = found.unionByName(counted.where("_key IS NULL").select(*groups, F.col("_key").alias("key"), F.col("_value").alias("value")))
-    return wide.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("_which") == i, _value("key", "value", kind))).cast(kind).alias(name) for i, (name, kind) in enumerate(zip(cols, kinds))])
+    nulls = counted.where("_whole IS NULL AND _value IS NULL").select(*groups, F.col("_whole").alias("whole"), F.col("_value").alias("value"))
+    return found.unionByName(nulls).groupBy(*keys).agg(*[
+        F.max(F.when(F.col("_which") == i, _value("whole", "value", kind))).cast(kind).alias(name) for i, (name, kind) in enumerate(zip(cols, kinds))])
+
+
+def _part_with_rank(known: DataFrame, groups: Sequence[str], p: float, few: int) -> DataFrame:
+    """``known`` without the values of large groups that can't have the wanted rank; ``need`` is the rank in what is left."""
+    spark = known.sparkSession
+    known = known.withColumn("_key", F.coalesce("_whole", _double_order(F.col("_value"))))
+    totals = known.groupBy(*groups).agg(F.min("_key").alias("lo"), F.max("_key").alias("hi"), F.count("*").alias("distinct"),
+                                        (F.sum("_n") * F.lit(p)).alias("need"))
+    state = stored(totals, shared_dir(spark, "quantile-round"))
+    while (state.agg(F.max("distinct")).first()[0] or 0) > few:
+        large = _narrow(known, state.where(F.col("distinct") > few), groups)
+        state = stored(state.where(F.col("distinct") <= few).unionByName(large), shared_dir(spark, "quantile-round"))
+    right = _renamed(state, groups)
+    part = known.join(right, _same(known, right, groups) & (F.col("_key") >= F.col("lo")) & (F.col("_key") <= F.col("hi")))
+    return part.select(*[known[c] for c in known.columns], "need")
