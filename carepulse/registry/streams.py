@@ -9,6 +9,7 @@ from ..session import shared_dir
 from ..sources.tables import replace_table
 from ..streaming import joins, tables as st
 from ..streaming.orders import FLAT, update_sales_orders
+from ..streaming.skew import hot_keys
 from .bindings import BINDINGS
 from .core import query
 from .inputs import Inputs
@@ -47,7 +48,8 @@ SELECT l_orderkey, l_linenumber, l_quantity, p.p_partkey, p.p_name, p.p_retailpr
 def _join(t: Inputs):
     lines = _stream(t, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", F.col("l_partkey").alias("p_partkey"))
     parts = _stream(t, "part").select("p_partkey", "p_name", "p_retailprice")
-    return _drain(t, joins.stream_join(lines, parts, "p_partkey"), "join")
+    hot = hot_keys(t.supplied("lineitem"), "l_partkey")
+    return _drain(t, joins.stream_join(lines, parts, "p_partkey", hot), "join")
 
 
 @query("stream_computed_cols", """
@@ -87,10 +89,9 @@ def _incremental(t: Inputs):
     """Two landings and a run after each; the second run adds only the second landing."""
     base, orders = shared_dir(t.spark, "incremental"), t.supplied("orders")
     done = F.col("o_orderstatus") == "F"
-    out = f"{base}/data"
     for landing in (where(orders, done), where(orders, ~done)):
         landing.write.mode("append").parquet(f"{base}/landing")
-        st.stream_copy(t.spark, f"{base}/landing", orders.schema, out, f"{base}/checkpoint")
+        out = st.stream_copy(t.spark, f"{base}/landing", orders.schema, f"{base}/data", f"{base}/checkpoint")
     return t.spark.read.parquet(out)
 
 

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .skew import salts_of
+
 
 @dataclass(frozen=True)
 class TimeBound:
@@ -20,16 +22,16 @@ class TimeBound:
     after: str
 
 
-def stream_join(left: DataFrame, right: DataFrame, on: str, salts: int = 8, bound: TimeBound | None = None,
-                rename: Mapping[str, str] | None = None) -> DataFrame:
+def stream_join(left: DataFrame, right: DataFrame, on: str, salts: int | Mapping[object, int] = 8,
+                bound: TimeBound | None = None, rename: Mapping[str, str] | None = None) -> DataFrame:
     """Inner equi-join of two streams in append mode.
 
     Without ``bound`` both sides stay in state for good, as an unbounded inner
     join must; run it with the RocksDB state store when the state outgrows
-    memory. AQE does not act on streams, so a hot key is split by hand: each
-    left row goes to one of ``salts`` sub-keys, each right row to all of them.
-    The result is the same; the right side (the smaller one) is stored
-    ``salts`` times, so set it to the number of tasks that the hottest key needs. On batch tables
+    memory. AQE does not act on streams, so a hot key is split by hand: a left row goes to
+    one of its key's sub-keys, a right row (of the smaller side) to all of them. ``salts`` gives the sub-keys of
+    each hot key, as :func:`carepulse.streaming.skew.hot_keys` finds them, and other keys are stored once; a
+    number splits every key so far. The result is the same. It must not change while a checkpoint is in use. On batch tables
     nothing is salted, since AQE splits a hot key there.
 
     Columns other than the key that both sides have are an error, unless
@@ -43,12 +45,12 @@ def stream_join(left: DataFrame, right: DataFrame, on: str, salts: int = 8, boun
     if bound is not None and left.isStreaming:
         left = left.withWatermark(bound.left_time, bound.delay)
         right = right.withWatermark(bound.right_time, bound.delay)
-    salted = left.isStreaming or right.isStreaming
-    salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int") if salted else F.lit(0)
-    spread = left.withColumn("_salt", salt).alias("l")
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))) if salted else F.lit(0)).alias("r")
+    parts = salts_of(F.col(on), salts) if left.isStreaming or right.isStreaming else None
+    spread, copies = left.alias("l"), right.alias("r")
     match = F.col(f"l.{on}") == F.col(f"r.{on}")
-    if salted:
+    if parts is not None:
+        spread = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), parts).cast("int")).alias("l")
+        copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).alias("r")
         match = match & (F.col("l._salt") == F.col("r._salt"))
     if bound is not None:
         lt, rt = F.col(f"l.{bound.left_time}"), F.col(f"r.{bound.right_time}")
@@ -91,7 +93,8 @@ PRODUCT_COLUMNS = [
 ]
 
 
-def flat_orders(order_lines: DataFrame, products: DataFrame, salts: int = 8, bound: TimeBound | None = None) -> DataFrame:
+def flat_orders(order_lines: DataFrame, products: DataFrame, salts: int | Mapping[object, int] = 8,
+                bound: TimeBound | None = None) -> DataFrame:
     """Order lines with their product, flat; works on streams and on batch tables alike.
 
     ``bound`` (order ``ModifiedDate`` against a product time such as ``SellStartDate``) limits what the streams keep.

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.versions import Versions
 from .joins import TimeBound, flat_orders
+from .skew import hot_keys, kept_hot_keys
 from .tables import in_generation, read_stream, start_available
 
 COPIES = ("customer", "product", "salesorderdetail")
@@ -16,13 +17,14 @@ FLAT = "sales_orders_flat"
 
 
 def update_sales_orders(landing: Mapping[str, DataFrame], target: str, full_refresh: bool = False,
-                        salts: int = 8, bound: TimeBound | None = None, max_files: int | None = 1000) -> dict[str, DataFrame]:
+                        salts: int | None = None, bound: TimeBound | None = None, max_files: int | None = 1000) -> dict[str, DataFrame]:
     """Bring all four tables up to date, then stop; a later call adds only newer rows.
 
     All four tables are one generation: a full refresh that fails in any of them leaves all four as they were.
     ``landing`` holds the three input streams and ``target`` is a shared folder.
     The flat table reads the copies, not the landing area, ``max_files`` new files a batch.
-    ``salts`` and ``bound`` go to :func:`flat_orders`: the first splits a hot product, the second bounds the state.
+    Hot products are found by a sketch of the order lines that have landed when a generation begins, and kept with its checkpoint;
+    a number of ``salts`` splits every product instead. ``bound`` goes to :func:`flat_orders` and bounds the state.
     """
     spark = landing["product"].sparkSession
     flat_schema = None
@@ -44,7 +46,9 @@ def update_sales_orders(landing: Mapping[str, DataFrame], target: str, full_refr
             for query in running:
                 query.stop()
         copies = {name: read_stream(spark, f"{base}/{name}/data", landing[name].schema, max_files=max_files) for name in COPIES}
-        flat = flat_orders(copies["salesorderdetail"], copies["product"], salts, bound)
+        lines = spark.read.schema(landing["salesorderdetail"].schema).parquet(f"{base}/salesorderdetail/data")
+        split = salts or kept_hot_keys(f"{base}/{FLAT}/hot-keys", lambda: hot_keys(lines, "ProductID"), lines, "ProductID")
+        flat = flat_orders(copies["salesorderdetail"], copies["product"], split, bound)
         flat_schema = flat.schema
         start(FLAT, flat).awaitTermination()
 

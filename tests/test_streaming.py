@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from carepulse.sources.schemas import ORDERS_LANDING
 from carepulse.streaming import joins, tables as st
 from carepulse.streaming.orders import update_sales_orders
+from carepulse.streaming.skew import hot_keys, kept_hot_keys
 from helpers import plan_of, rows
 
 
@@ -137,3 +138,38 @@ def test_order_pipeline_updates_and_refreshes(spark, tmp_path, land):
     streams = {n: st.read_stream(spark, str(tmp_path / n), s) for n, s in ORDERS_LANDING.items()}
     again = update_sales_orders(streams, target, full_refresh=True)
     assert rows(again["sales_orders_flat"], "SalesOrderID") == [(1,), (2,), (2,)] and again["customer"].count() == 2
+
+
+def state_rows(stream, tmp_path, name):
+    query = st.start_available(stream, str(tmp_path / name), str(tmp_path / f"{name}-ckpt"))
+    query.awaitTermination()
+    return [p for p in query.recentProgress if p["stateOperators"]][-1]["stateOperators"][0]["numRowsTotal"]
+
+
+def test_hot_keys_of_a_sketch(spark):
+    rows_ = spark.range(30_000).select(F.expr("CASE WHEN id % 3 = 0 THEN 'a' WHEN id % 10 = 1 THEN 'b' WHEN id % 7 = 0 THEN NULL ELSE CAST(id AS STRING) END").alias("k"))
+    found = hot_keys(rows_, "k", 0.05)
+    n = rows_.where("k IS NOT NULL").count()
+    assert set(found) == {"a", "b"} and found["a"] == -(-10_000 // int(0.05 * n)) and found["b"] >= 2
+    assert hot_keys(rows_.where("k < 'a'"), "k", 0.05) == {} == hot_keys(rows_.limit(0), "k")
+
+
+@pytest.mark.parametrize("hot", [0, 600])
+def test_only_hot_keys_are_stored_more_than_once(spark, land, tmp_path, hot):
+    """900 lines over 100 products, all alike or two thirds of one; a copy in state only for that one."""
+    lines = spark.range(900).select("id", F.when(F.col("id") < hot, 7).otherwise(F.col("id") % 100).alias("p"))
+    products = spark.range(100).select(F.col("id").alias("p"), F.concat(F.lit("n"), "id").alias("name"))
+    found = hot_keys(lines, "p", 0.1)
+    assert list(found) == ([7] if hot else [])
+    left, right = land("l", lines), land("r", products)
+    assert state_rows(joins.stream_join(left, right, "p", found), tmp_path, "hot") == 900 + 100 + sum(n - 1 for n in found.values())
+    assert state_rows(joins.stream_join(left, right, "p", 8), tmp_path, "all") == 900 + 8 * 100
+    for name in ("hot", "all"):
+        assert rows(spark.read.parquet(str(tmp_path / name)), "id", "p", "name") == rows(lines.join(products, "p"), "id", "p", "name")
+
+
+def test_hot_keys_stay_with_the_checkpoint(spark, table, tmp_path):
+    path, like = str(tmp_path / "hot"), table("p int, x int", (1, 1))
+    assert kept_hot_keys(path, lambda: {5: 3, 6: 2}, like, "p") == {5: 3, 6: 2}
+    assert kept_hot_keys(path, lambda: {9: 9}, like, "p") == {5: 3, 6: 2}
+    assert kept_hot_keys(str(tmp_path / "none"), dict, like, "p") == {} == kept_hot_keys(str(tmp_path / "none"), lambda: {1: 1}, like, "p")
