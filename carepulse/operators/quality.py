@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .ranking import latest_n
+from .scans import in_blocks, running
 
 
 def _row_count() -> Column:
@@ -39,17 +40,36 @@ def dq_interval_order(df: DataFrame, start: str, end: str, as_of: str | None = N
         checks["in_future"] = F.count_if((s > limit) | (e > limit))
     out = df.agg(*[c.alias(n) for n, c in checks.items()]).unpivot([], list(checks), "rule", "violations")
     if period is not None:
-        p = period.select(*[F.col(k).alias(f"_p_{k}") for k in on], *period_cols)
-        lo, hi = period_cols
-        owner = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_p_{k}") for k in on])
-        # equal intervals of an owner are one row before they are shuffled
-        rows = df.groupBy(*on, start, end).agg(_row_count().alias("_n"))
-        stray = rows.join(p.distinct(), owner & (s >= p[lo]) & (F.coalesce(e, s) <= p[hi]), "left_anti")
-        total = F.coalesce(F.sum("_n"), F.lit(0).cast("long")).alias("violations")
+        stray = outside_periods(df, start, end, period, on, period_cols)
+        total = F.coalesce(F.sum("rows"), F.lit(0).cast("long")).alias("violations")
         out = out.unionByName(stray.agg(total).select(F.lit("outside_period").alias("rule"), "violations"))
     return out
 
 
+def outside_periods(df: DataFrame, start: str, end: str, period: DataFrame, on: Sequence[str],
+                    period_cols: tuple[str, str] = ("period_start", "period_end")) -> DataFrame:
+    """(on, start, end, rows): intervals that lie in no period of their owner.
+
+    One sweep in order of time: the latest end of all periods that have begun by an interval's start, a running
+    maximum, is not before the interval's end just where one period holds it. So the work is linear in intervals and
+    periods, however many an owner has, and blocks of the sweep are spread over tasks (:mod:`.scans`). An
+    open end counts as the start; an interval without an owner or a start lies in none.
+    """
+    lo, hi = period_cols
+    s, e = F.col(start), F.col(end)
+    keys = [f"_k{i}" for i in range(len(on))]
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*on, lo, hi]])
+    # equal periods, and equal intervals, of an owner are one row before they are shuffled
+    periods = period.where(known).select(*[F.col(k).alias(n) for k, n in zip(on, keys)], F.col(lo).alias("_at"), F.col(hi).alias("_until")).distinct()
+    spans = df.groupBy(*on, start, end).agg(_row_count().alias("_n")).select(
+        *[F.col(k).alias(n) for k, n in zip(on, keys)], s.alias("_at"), e.alias("_end"), "_n")
+    events = periods.withColumn("_what", F.lit(0)).unionByName(spans.withColumn("_what", F.lit(1)), allowMissingColumns=True)
+    swept = running(in_blocks(events, keys, ["_at", "_what"]), keys, maxima={"_held": "_until"})
+    covered = F.coalesce(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]) & (F.coalesce("_end", "_at") <= F.col("_held")), F.lit(False))
+    return swept.where((F.col("_what") == 1) & ~covered).select(
+        *[F.col(n).alias(k) for k, n in zip(on, keys)], F.col("_at").alias(start), F.col("_end").alias(end), F.col("_n").alias("rows"))
+
+
 def dq_referential(child: DataFrame, parent: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """(orphan_keys, orphan_rows) for child keys without a parent; NULL keys are not checked.
 

@@ -8,8 +8,9 @@ from pyspark.sql import types as T
 from ..functions import measures as m
 from ..functions.cleaning import band_probability
 from ..operators import aggregates as ag, quality as dq, ranking as rk
-from ..operators.metrics import metric_view
+from ..operators.metrics import MetricStore, largest_of, mean_of, metric_view, row_total
 from ..operators.vocabulary import checked_persons, omop_person_load
+from ..session import shared_dir
 from .core import query
 from .inputs import Inputs
 from .oracle import share
@@ -121,6 +122,28 @@ def _(t: Inputs):
     )
 
 
+_AGE = "2024 - year_of_birth"
+
+
+@query("metric_states", f"""
+WITH p AS (SELECT coalesce(CAST(gender_concept_id AS VARCHAR), 'unknown') AS gender, year_of_birth // 10 * 10 AS decade, {_AGE} AS age FROM person),
+g AS (SELECT 'gender' AS grouping, gender AS value, count(*) AS total_patients, avg(age) AS average_age, max(age) AS oldest FROM p GROUP BY gender
+UNION ALL SELECT 'decade', CAST(decade AS VARCHAR), count(*), avg(age), max(age) FROM p GROUP BY decade
+UNION ALL SELECT 'all', NULL, count(*), avg(age), max(age) FROM p)
+SELECT * FROM g""", "average_age")
+def _(t: Inputs):
+    """Three groupings from one stored state."""
+    age = F.lit(2024) - F.col("year_of_birth")
+    dims = {"gender": F.coalesce(F.col("gender_concept_id").cast("string"), F.lit("unknown")), "decade": F.expr("year_of_birth DIV 10 * 10")}
+    store = MetricStore(t.spark, shared_dir(t.spark, "metrics"), dims, {
+        "total_patients": row_total(), "average_age": mean_of(age), "oldest": largest_of(age)})
+    store.store(_person(t), ["gender", "decade"])
+    answers = [store.answer(list(store.measures), by, [["gender", "decade"]]).select(
+        F.lit(by[0] if by else "all").alias("grouping"), (F.col(by[0]) if by else F.lit(None)).cast("string").alias("value"), *store.measures)
+        for by in (["gender"], ["decade"], [])]
+    return answers[0].unionByName(answers[1]).unionByName(answers[2])
+
+
 # ---- data preparation -----------------------------------------------------
 
 

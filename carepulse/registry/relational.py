@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import measures as m
-from ..operators import aggregates as ag, joining as jo, ranking as rk, sets, spine, vocabulary, windows as wn
+from ..operators import aggregates as ag, joining as jo, ranking as rk, scans as sc, sets, spine, vocabulary, windows as wn
 from ..plans import er, serving_er as se
 from .core import query
 from .inputs import FIRST_DAY, JANUARY, LAST_DAY, Inputs
@@ -281,6 +281,47 @@ def _(t: Inputs):
     return out.select("date", "region", "device_type", "delta")
 
 
+_LINES = "PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
+_LINE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+
+
+@query("win_prefix_sum", f"""
+SELECT l_orderkey, l_linenumber, l_returnflag, sum(l_quantity) OVER ({_LINES} ROWS UNBOUNDED PRECEDING) AS so_far FROM lineitem""", "so_far")
+def _(t: Inputs):
+    """Three partitions that grow with the table, each spread over blocks."""
+    out = sc.prefix_sum(t.supplied("lineitem"), "l_quantity", ["l_returnflag"], _LINE_ORDER, "so_far")
+    return out.select("l_orderkey", "l_linenumber", "l_returnflag", "so_far")
+
+
+@query("win_lag_rows", f"""
+SELECT l_orderkey, l_linenumber, l_returnflag, lag(l_extendedprice, 3) OVER ({_LINES}) AS third_before FROM lineitem""", "third_before")
+def _(t: Inputs):
+    out = sc.lag_rows(t.supplied("lineitem"), "l_extendedprice", 3, ["l_returnflag"], _LINE_ORDER, "third_before")
+    return out.select("l_orderkey", "l_linenumber", "l_returnflag", "third_before")
+
+
+_DAILY = "SELECT date, region, device_type, count(*) AS n FROM silver_device_readings GROUP BY ALL"
+
+
+@query("win_lag_days", f"""
+WITH daily AS ({_DAILY})
+SELECT a.date AS date, a.region AS region, a.device_type AS device_type, a.n AS n, b.n AS week_ago FROM daily a
+LEFT JOIN daily b ON b.region IS NOT DISTINCT FROM a.region AND b.device_type IS NOT DISTINCT FROM a.device_type AND b.date = a.date - 7""")
+def _(t: Inputs):
+    """A sparse table: the row 7 rows back need not be 7 days back."""
+    daily = ag.count_by(t.readings, {"date": "date", "region": "region", "device_type": "device_type"})
+    return sc.lag_days(daily, "n", 7, ["region", "device_type"], "date", "week_ago")
+
+
+@query("win_lag_density", f"""
+WITH daily AS ({_DAILY})
+SELECT region, device_type, count(*) AS rows, count(*) AS days, CAST(max(date) - min(date) AS BIGINT) + 1 - count(*) AS missing_days,
+  CAST(0 AS BIGINT) AS repeated_days, max(date) - min(date) + 1 = count(*) AS dense FROM daily GROUP BY ALL""")
+def _(t: Inputs):
+    daily = ag.count_by(t.readings, {"date": "date", "region": "region", "device_type": "device_type"})
+    return sc.density(daily, ["region", "device_type"], "date")
+
+
 # ---- order and top-k ------------------------------------------------------
 
 

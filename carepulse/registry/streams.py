@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from ..operators.shaping import where
 from ..session import shared_dir
 from ..sources.tables import replace_table
+from ..sources.versions import Versions
 from ..streaming import joins, tables as st
 from ..streaming.orders import FLAT, update_sales_orders
+from ..streaming.pinned import run_pinned
 from ..streaming.skew import hot_keys
 from .bindings import BINDINGS
 from .core import query
@@ -77,6 +79,17 @@ def _enrich(t: Inputs):
     return _drain(t, joins.enrich_stream(stream, people, "user_id"), "enrich")
 
 
+@query("stream_pinned_join", """
+SELECT event_id, user_id, c_mktsegment FROM events LEFT JOIN customer ON user_id = c_custkey""")
+def _pinned(t: Inputs):
+    """The same join with a version of the table that is written down with the run."""
+    base = shared_dir(t.spark, "pinned")
+    people = Versions(t.spark, f"{base}/customer")
+    people.write(t.supplied("customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment"))
+    stream = _stream(t, "events").select("event_id", "user_id")
+    return t.spark.read.parquet(f"{run_pinned(stream, people, 'user_id', f'{base}/out').path}/data").select("event_id", "user_id", "c_mktsegment")
+
+
 @query("live_table_join", "SELECT o_orderkey, o_custkey, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey")
 def _live(t: Inputs):
     people = t.supplied("customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
