@@ -26,12 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.scans import numbered
 from .batches import bounded_batches, keep, raw_bytes, record, slices
 
 _U = np.uint64
 _LOWEST = -(1 << 63)
 #: Phrases or windows that a task holds before it sends what it has, and bytes of text hashed at a time.
 HELD, HASHED = 600_000, 1 << 18
+#: Text that a bucket stands for.
+BUCKET_BYTES = 16 << 20
 #: A trigger with more distinct phrases is dealt window by window.
 HOT = 20_000
 _ROW = np.dtype([("a", "<u8"), ("b", "<u8"), ("doc", "<i8"), ("place", "<i8"), ("n", "<i4"), ("own", "u1")])
@@ -281,28 +284,44 @@ def _settle_windows(size: int):
     return run
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, sub, id, text): doc orders the texts (null ids first), sub tells and orders texts of one id by a digest."""
+def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, sub, id, text): doc orders the texts (null ids first), sub numbers different texts of one id.
+
+    Ids that occur once, as a rule all, have sub 0. The texts of others are numbered by their SHA-256, by
+    range, so that an id which very many rows share (or lack) is not gathered; then the rows are stored with their numbers.
+    """
     text = F.coalesce(text_col, F.lit(""))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LOWEST)).alias("doc"),
-                       F.xxhash64(text).bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("sub"),
-                       F.col(id_col).cast("long").alias("id"), text.alias("text"))
+    plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LOWEST)).alias("doc"), F.col(id_col).cast("long").alias("id"), text.alias("text"))
+    again = keep(plain.groupBy("doc").count().where("count > 1").select("doc", F.lit(True).alias("again")), "repeated-ids")
+    if again.isEmpty():
+        return plain.select("doc", F.lit(0).alias("sub"), "id", "text")
+    marked = plain.join(again, "doc", "left").withColumn("digest", F.when(F.col("again"), F.sha2("text", 256)))
+    subs = numbered(marked.where("again").select("doc", "digest").distinct(), ["doc"], ["digest"], "sub")
+    return keep(marked.join(subs, ["doc", "digest"], "left").select(
+        "doc", F.coalesce("sub", F.lit(0)).cast("int").alias("sub"), "id", "text"), "identified")
+
+
+def _inside(low: np.ndarray, n: np.ndarray, size: int, length: np.ndarray) -> None:
+    """A text is never cut or read by another one's places."""
+    if (low + n + size - 1 > length).any():
+        raise RuntimeError("places that a text doesn't have")
 
 
 def _places(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return batch["doc"].to_numpy(), batch["sub"].to_numpy().astype(np.int64) << 32
 
 
-def repeats(docs: DataFrame, size: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, sub, low, n): windows ``low`` to ``low + n - 1`` of a text also start earlier in the corpus.
+def repeats(rows: DataFrame, size: int = 100, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """(doc, sub, low, n): windows ``low`` to ``low + n - 1`` of a text of :func:`identified` also start earlier in the corpus.
 
-    Stored in the shared folder; a window may be told of twice. See ``remove`` for the order of texts.
+    Stored in the shared folder; a window may be told of twice. See ``remove`` for the order of texts. A task settles one bucket
+    of about ``bucket_bytes`` of text, so there are as many as the corpus needs; raise it with the memory of executors.
     """
     if size < 3:
         raise ValueError("size must be 3 at least")
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    rows, buckets = _texts(docs, id_col, text_col), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark = rows.sparkSession
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket_bytes))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -317,7 +336,7 @@ def repeats(docs: DataFrame, size: int = 100, id_col: str = "doc_id", text_col:
         if n:
             yield from _send(np.concatenate(held), buckets)
 
-    parsed = rows.select("doc", "sub", "text").mapInArrow(parse, _SENT).repartition("bucket")
+    parsed = rows.select("doc", "sub", "text").mapInArrow(parse, _SENT).repartitionById(buckets, "bucket")
     found = keep(parsed.mapInArrow(_settle_phrases, _FOUND), "phrases")
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,6 +348,7 @@ def repeats(docs: DataFrame, size: int = 100, id_col: str = "doc_id", text_col:
             owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
             inner = lists.flatten()
             low, count = (inner.field(c).to_numpy().astype(np.int64) for c in ("low", "n"))
+            _inside(low, count, size, np.diff(offsets)[owner])
             key, hot = inner.field("key").to_numpy().view(_U), inner.field("hot").to_numpy(zero_copy_only=False)
             cold = np.flatnonzero(~hot)
             cells.append(_rows(key[cold], np.zeros(len(cold)), doc[owner[cold]], sub[owner[cold]] + low[cold], count[cold]))
@@ -358,12 +378,13 @@ def repeats(docs: DataFrame, size: int = 100, id_col: str = "doc_id", text_col:
     hot = keep(edges.groupBy("key").count().where(F.col("count") > HOT).select("key", F.lit(True).alias("hot")), "hot-triggers")
     cells = edges.join(hot, "key", "left").groupBy("doc", "sub").agg(F.collect_list(
         F.struct("low", "n", "key", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("cells"))
-    opened = rows.select("doc", "sub", "text").join(cells, ["doc", "sub"]).mapInArrow(suffixes, _SENT).repartition("bucket")
+    opened = rows.select("doc", "sub", "text").join(cells, ["doc", "sub"]).mapInArrow(suffixes, _SENT).repartitionById(buckets, "bucket")
     more = keep(opened.mapInArrow(_settle_windows(size), _FOUND), "suffixes")
     return found.where("key IS NULL").unionByName(more).drop("key")
 
 
-def remove(docs: DataFrame, size: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove(docs: DataFrame, size: int = 100, id_col: str = "doc_id", text_col: str = "text",
+           bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): every text's UTF-8 bytes without those covered by a string of
     ``size`` bytes that also starts earlier.
 
@@ -372,7 +393,9 @@ def remove(docs: DataFrame, size: int = 100, id_col: str = "doc_id", text_col: s
     each gets its result. Matches never cross texts; null and empty texts, and those shorter
     than ``size``, lose nothing by themselves. Other columns are not looked at. ``kept`` is binary, as a cut may fall inside a character.
     """
-    marks = repeats(docs, size, id_col, text_col).groupBy("doc", "sub").agg(F.collect_list(F.struct("low", "n")).alias("marks"))
+    bounded_batches(docs.sparkSession)
+    rows = identified(docs, id_col, text_col)
+    marks = repeats(rows, size, bucket_bytes).groupBy("doc", "sub").agg(F.collect_list(F.struct("low", "n")).alias("marks"))
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
                         ("n_spans", pa.int64()), ("kept", pa.binary())])
 
@@ -383,6 +406,7 @@ def remove(docs: DataFrame, size: int = 100, id_col: str = "doc_id", text_col: s
             lists = np.diff(marks.offsets.to_numpy()) * marks.is_valid().to_numpy(zero_copy_only=False)
             inner = marks.flatten()
             owner = np.repeat(np.arange(batch.num_rows), lists)
+            _inside(inner.field("low").to_numpy().astype(np.int64), inner.field("n").to_numpy(), size, np.diff(offsets)[owner])
             begin = offsets[owner] + inner.field("low").to_numpy()
             end = begin + inner.field("n").to_numpy() + size - 1
             depth = np.zeros(len(raw) + 1, np.int64)
@@ -401,5 +425,5 @@ def remove(docs: DataFrame, size: int = 100, id_col: str = "doc_id", text_col: s
             kept = [data[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
             yield record(schema, batch["id"], np.diff(offsets), removed, spans[offsets[1:]] - spans[offsets[:-1]], kept)
 
-    return _texts(docs, id_col, text_col).join(marks, ["doc", "sub"], "left").mapInArrow(
+    return rows.join(marks, ["doc", "sub"], "left").mapInArrow(
         cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

@@ -1,6 +1,8 @@
+import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from odd import ODD, odd_docs, prose
 
@@ -80,3 +82,34 @@ def test_triggers_depend_on_content_alone():
 def test_too_small_a_size_is_refused(spark):
     with pytest.raises(ValueError):
         repeats.repeats(odd_docs(spark), 2)
+
+
+def by_digest(text):
+    return hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_two_hundred_thousand_rows_without_an_id(spark):
+    """All different, so 31 bits of a digest would clash often; some share passages, and no text may lose another's bytes."""
+    rnd = random.Random(1)
+    shared = [prose(k, 30)[:130] for k in range(5)]
+    texts = [f"{k} {rnd.getrandbits(400):x}" + (rnd.choice(shared) if k % 50 == 0 else "") for k in range(200_000)]
+    rows = spark.createDataFrame(pa.table({"doc_id": pa.nulls(len(texts), pa.int64()), "text": texts})).repartition(8)
+    want = brute([(t, t) for t in sorted(texts, key=by_digest)], 100)
+    got_rows = repeats.remove(rows, 100).where("n_removed > 0").collect()
+    assert sorted(bytes(r["kept"]) for r in got_rows) == sorted(w[3] for w in want.values() if w[1]) and len(got_rows) > 3000
+    assert repeats.remove(rows, 100).agg({"n_bytes": "sum"}).first()[0] == sum(map(len, texts))
+
+
+def test_texts_of_one_id_go_by_their_digest(spark):
+    texts = [prose(k, 40) + prose(99, 40) + prose(k % 3, 30) for k in range(12)]
+    rows = [(None if k % 2 else 5, t) for k, t in enumerate(texts)] + [(5, texts[0]), (7, texts[1])]
+    order = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, by_digest(r[1])))
+    want = brute([((i, t), t) for i, t in order], 100)
+    found = repeats.remove(odd_docs(spark, rows), 100).collect()
+    assert sorted((r["doc_id"] or -1, bytes(r["kept"])) for r in found) == sorted((i or -1, want[i, t][3]) for i, t in rows)
+
+
+def test_places_that_a_text_lacks_are_an_error():
+    with pytest.raises(RuntimeError):
+        repeats._inside(np.array([5]), np.array([3]), 100, np.array([106]))
+    repeats._inside(np.array([5]), np.array([3]), 100, np.array([107]))
