@@ -196,9 +196,18 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     return out.select(*[F.col(k).alias(c) for k, c in zip(names_out, carried.values())], "lang_pred", "score")
 
 
-def accepted(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that have a language, with all their columns."""
+def accepted(docs: DataFrame, model: dict, text_col: str = "text", least_score: float = 0.0,
+             languages: list[str] | None = None, fill: str | None = None) -> DataFrame:
+    """The rows of ``docs`` in one of ``languages`` (without them, in any that was learned), with all their columns.
+
+    A text is in the language that ``predict`` finds; below ``least_score`` it is in none. At about 0.5 the
+    machines can't tell the language from the next one, as for a script that none of them has seen. Texts without a letter are in
+    none. A NULL in the column ``fill`` becomes the language found.
+    """
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     text = plain.columns[docs.columns.index(text_col)]
     found = predict(plain, model, plain.columns[0], text, carry=plain.columns)
-    return found.where(F.col("lang_pred") != UNKNOWN).select(*plain.columns).toDF(*docs.columns)
+    keep = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)
+    found = found.where(keep if languages is None else keep & F.col("lang_pred").isin(languages))
+    filled = plain.columns[docs.columns.index(fill)] if fill in docs.columns else None
+    return found.select(*[F.coalesce(c, "lang_pred").alias(c) if c == filled else c for c in plain.columns]).toDF(*docs.columns)

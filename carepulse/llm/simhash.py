@@ -138,12 +138,17 @@ def hex_fingerprint(fp) -> F.Column:
 
 def deduplicate(docs: DataFrame, words: int = 3, bits: int = 2, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, one of every component: that with the smallest id. Of several rows with
-    that id any one stays. A row with a null id has one of its text's digest here, larger than usual ids, so
-    that it stays if its text is like no other. One shuffle of the rows, by their id.
+    """The rows of ``docs``, one of every component: the first by id (null ids last), then by a digest
+    of the text (128 bits).
+
+    Ids need not be unique: rows of one id with unlike texts are in different components and all stay;
+    of equal rows of one component one stays. A component is one whose fingerprints are linked, as in ``near_duplicates``. The rows are
+    shuffled once, by id and digest; what tells which stay are numbers.
     """
-    digest = F.shiftrightunsigned(F.xxhash64(text_col), 2) + F.lit(1 << 62)
-    keyed = docs.withColumn("_llm_id", F.coalesce(F.col(id_col).cast("long"), digest))
-    found = near_duplicates(keyed, words, bits, "_llm_id", text_col)
-    kept = keep(found.select(F.col("component_id").alias("_llm_id")).distinct(), "kept")
-    return keyed.join(kept, "_llm_id", "left_semi").dropDuplicates(["_llm_id"]).select(*docs.columns)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).cast("long").alias("id"),
+                   F.xxhash64(text).alias("text"), F.xxhash64(F.lit(1), text).alias("check"))
+    keyed = docs.withColumn("_llm_key", key)
+    found = near_duplicates(keyed, words, bits, "_llm_key", text_col)
+    kept = keep(found.select(F.col("component_id").alias("_llm_key")).distinct(), "kept")
+    return keyed.join(kept, "_llm_key", "left_semi").dropDuplicates(["_llm_key"]).select(*docs.columns)

@@ -58,21 +58,34 @@ def split_words(batch: pa.RecordBatch, column: str = "text", between: np.ndarray
                  coded.dictionary.to_pylist())
 
 
+#: Labels that a classifier may tell apart.
+MOST_LABELS = 1000
+
+
 def sample(labelled: DataFrame, docs: DataFrame, most: dict | int, id_col: str, text_col: str) -> DataFrame:
     """(label, text) of at most ``most`` rows a label (one number, or by label), chosen by a hash of the id.
 
-    ``labelled`` has columns id and label. One text stands for an id, that of the
-    least digest, so that repeated rows can't enlarge the sample.
+    ``labelled`` has columns id and label, with MOST_LABELS labels at most (more are an error). One text stands for an id, that of the
+    least digest, so that repeated rows can't enlarge the sample. A label's rows are thinned where they lie, by a
+    share that is a little too large; only what is left is sorted by hash, so no label is ever gathered.
     """
-    limits = most if isinstance(most, dict) else None
-    limit = F.lit(most) if limits is None else F.element_at(F.create_map(*[F.lit(x) for kv in limits.items() for x in kv]), F.col("label"))
     rows = keep(labelled.where("id IS NOT NULL AND label IS NOT NULL").distinct(), "labelled")
-    # a share of each label's rows that is a little too large, then exactly the first of them
-    share = rows.groupBy("label").agg((limit * 1.3 * (1 << 20) / F.count("*")).alias("_share"))
-    few = rows.join(share, "label").where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.col("_share") + 64)
+    counts = rows.groupBy("label").count().limit(MOST_LABELS + 1).collect()
+    if len(counts) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels")
+    limits = {r["label"]: most[r["label"]] if isinstance(most, dict) else most for r in counts}
+    if not limits:
+        return docs.limit(0).select(F.lit(None).cast(rows.schema["label"].dataType).alias("label"), F.col(text_col).alias("text"))
+
+    def of_label(values: dict) -> F.Column:
+        return F.element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), F.col("label"))
+
+    # six standard deviations above the limit: as good as never too few
+    shares = {r["label"]: min(1 << 20, 1 + int((n + 6 * n ** 0.5 + 20) * (1 << 20) / r["count"])) for r in counts for n in [limits[r["label"]]]}
+    few = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < of_label(shares))
     order = Window.partitionBy("label").orderBy(F.xxhash64(F.lit(1), "id"), "id")
-    rows = few.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= limit)
-    chosen = keep(rows.select("id", "label"), "sample")
+    chosen = few.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= of_label(limits))
+    chosen = keep(chosen.select("id", "label"), "sample")
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = docs.select(F.col(id_col).alias("id"), text.alias("text")).join(chosen, "id")
     return found.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("label", "text")

@@ -9,7 +9,7 @@ import pytest
 from odd import ODD, odd_docs, prose
 from pyspark.sql import functions as F
 
-from carepulse.llm import language, pii, toxicity, transcripts
+from carepulse.llm import language, pii, toxicity, transcripts, words
 
 LANGS = {
     "en": "the of and to in that is was for it with on as by this are be from thing ing ed er",
@@ -62,6 +62,32 @@ def test_language_of_odd_documents(spark, language_model):
     assert language.predict(odd_docs(spark, []), language_model).count() == 0
 
 
+def test_language_stage_drops_what_no_machine_can_tell(spark, language_model, monkeypatch):
+    rows = [(1, "مرحبا بالعالم هذا نص عربي" * 5, None), (2, "der die das und ist nicht ein eine mit von auf " * 5, None), (3, "123", "de"),
+            (4, "the of and to in that is was for it with on " * 5, "kept")]
+    docs = spark.createDataFrame([(i, t, lang, "s", len(t)) for i, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    score = {r["doc_id"]: r["score"] for r in language.predict(docs, language_model).collect()}
+    assert 0 < score[1] < score[2]  # letters, but of no language that was learned
+    least = (score[1] + score[2]) / 2
+    kept = language.accepted(docs, language_model, least_score=least, fill="lang")
+    assert {(r["doc_id"], r["lang"]) for r in kept.collect()} == {(2, "de"), (4, "kept")} and kept.columns == docs.columns
+    only = language.accepted(docs, language_model, languages=["en"])
+    assert {r["doc_id"] for r in only.collect()} & {2, 4} == {4}
+
+
+def test_sampling_thins_labels_where_they_lie(spark):
+    """Two thirds of the rows have one label; what meets in one task is about the limit."""
+    labelled = spark.range(30_000).selectExpr("id", "CASE WHEN id % 3 < 2 THEN 'hot' ELSE concat('l', id % 40) END AS label")
+    docs = labelled.selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    got = words.sample(labelled, docs, 50, "doc_id", "text").groupBy("label").count().collect()
+    assert {r["label"]: r["count"] for r in got} == {label: 50 for label in ["hot", *[f"l{k}" for k in range(40)]]}
+    some = words.sample(labelled, docs, {f"l{k}": 5 for k in range(40)} | {"hot": 700}, "doc_id", "text")
+    assert some.where("label = 'hot'").count() == 700 and some.count() == 900
+    with pytest.raises(ValueError):
+        words.sample(spark.range(2000).selectExpr("id", "cast(id AS string) AS label"), docs, 5, "doc_id", "text")
+    assert words.sample(labelled.limit(0), docs, 5, "doc_id", "text").count() == 0
+
+
 def test_few_or_no_languages(spark):
     docs = odd_docs(spark)
     none = language.train(docs.selectExpr("doc_id AS id", "lang AS label").where("false"), docs)

@@ -92,8 +92,10 @@ def test_deduplicate_keeps_one_of_each_group(spark):
     docs = odd_docs(spark)
     out = simhash.deduplicate(docs)
     assert out.columns == docs.columns and out.schema == docs.schema
-    prints = [(i if i is not None else 10 ** 6, fingerprint(t)) for i, t in ODD]
-    want = {c for *_, c in reachable(prints, 2)}
+    by_id = sorted(i if i is not None else 10 ** 6 for i, _ in ODD)
+    rows = sorted(ODD, key=lambda r: r[0] if r[0] is not None else 10 ** 6)  # rows of one id are rows of their own
+    roots = {c for *_, c in reachable([(k, fingerprint(t)) for k, (_, t) in enumerate(rows)], 2)}
+    want = [by_id[c] for c in roots]
     assert sorted(r[0] if r[0] is not None else 10 ** 6 for r in out.select("doc_id").collect()) == sorted(want)
 
 
@@ -101,3 +103,9 @@ def test_rows_without_an_id(spark):
     docs = odd_docs(spark, [(None, "first words of one text"), (None, "first words of one text"), (None, "other words of another"), (3, "other words of another")])
     out = sorted((r["doc_id"] or 0, r["text"]) for r in simhash.deduplicate(docs).collect())
     assert out == [(0, "first words of one text"), (3, "other words of another")]
+
+
+def test_unlike_rows_of_one_id_stay(spark):
+    rows = [(1, prose(1, 40)), (1, prose(2, 40)), (1, prose(2, 40)), (None, prose(3, 40)), (None, prose(4, 40)), (None, prose(4, 40)), (2, prose(1, 40)), (None, prose(1, 40))]
+    out = sorted((r["doc_id"] or 0, r["text"]) for r in simhash.deduplicate(odd_docs(spark, rows)).collect())
+    assert out == sorted({(1, prose(1, 40)), (1, prose(2, 40)), (0, prose(3, 40)), (0, prose(4, 40))})
