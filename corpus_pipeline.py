@@ -17,13 +17,16 @@ from carepulse.llm import decontaminate, language, packing, pii, simhash
 from carepulse.llm.batches import keep
 
 CAPACITY, END = 2048, 0
+#: What the weakest machine that a language has won must say of it; 0.5 says nothing.
+LEAST_SCORE = 0.51
 TOKENIZER = "word_bpe_49k.json"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that have a language: texts without any letter, and null texts, go."""
+    """Documents in a language that was learned: null texts, texts without any letter and those that the
+    machines can't tell (a score below LEAST_SCORE) go. A document without ``lang`` gets the one found."""
     known = docs.where(F.col("lang").isNotNull()).select(F.col("doc_id").alias("id"), F.col("lang").alias("label"))
-    return language.accepted(docs, language.train(known, docs))
+    return language.accepted(docs, language.train(known, docs), least_score=LEAST_SCORE, fill="lang")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
