@@ -146,9 +146,10 @@ def deduplicate(docs: DataFrame, words: int = 3, bits: int = 2, id_col: str = "d
     shuffled once, by id and digest; what tells which stay are numbers.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).cast("long").alias("id"),
-                   F.xxhash64(text).alias("text"), F.xxhash64(F.lit(1), text).alias("check"))
-    keyed = docs.withColumn("_llm_key", key)
-    found = near_duplicates(keyed, words, bits, "_llm_key", text_col)
-    kept = keep(found.select(F.col("component_id").alias("_llm_key")).distinct(), "kept")
-    return keyed.join(kept, "_llm_key", "left_semi").dropDuplicates(["_llm_key"]).select(*docs.columns)
+    key = {"_llm_none": F.col(id_col).isNull(), "_llm_id": F.coalesce(F.col(id_col).cast("long"), F.lit(0)),
+           "_llm_text": F.xxhash64(text), "_llm_check": F.xxhash64(F.lit(1), text)}
+    keyed = docs.withColumns(key)
+    found = near_duplicates(keyed.withColumn("_llm_key", F.struct(*key)), words, bits, "_llm_key", text_col)
+    kept = keep(found.select("component_id.*").distinct(), "kept")
+    # by plain columns: Spark would cast a struct that may be null, and then shuffle again
+    return keyed.join(kept, list(key), "left_semi").dropDuplicates(list(key)).select(*docs.columns)
