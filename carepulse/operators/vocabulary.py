@@ -58,7 +58,7 @@ def checked_persons(persons: DataFrame) -> DataFrame:
 
 def omop_person_load(patients: DataFrame, locations: DataFrame | None = None,
                      lookup: Mapping[str, str] | None = None) -> DataFrame:
-    """PERSON rows from cleaned patients.
+    """PERSON rows from cleaned patients; an error if an id stands for two of them (:func:`checked_persons`).
 
     With ``locations`` the ``location_id`` is looked up by ``{patient column:
     location column}``; else the patients carry it already.
@@ -69,7 +69,7 @@ def omop_person_load(patients: DataFrame, locations: DataFrame | None = None,
         found = locations.select(*[F.col(l).alias(p) for p, l in pairs.items()], "location_id")
         rows = rows.join(found, list(pairs), "left")
     born = F.col("birth_datetime")
-    return rows.select(
+    return checked_persons(rows.select(
         surrogate_id("source_patient_id").alias("person_id"),
         "gender_concept_id",
         F.year(born).alias("year_of_birth"),
@@ -80,4 +80,4 @@ def omop_person_load(patients: DataFrame, locations: DataFrame | None = None,
         "ethnicity_concept_id",
         "location_id",
         F.col("source_patient_id").alias("person_source_value"),
-    )
+    ))

@@ -49,21 +49,21 @@ def er_steps() -> dict[str, Step]:
         "gold_er_operational_hourly": Step(
             lambda t: er.gold_er_operational_hourly(
                 t["silver_emr_er_visits"], t["silver_patient_flow_metrics"], t["silver_hr_shifts_and_sickleave"]),
-            "Dense site-hour operations: arrivals, throughput, waits, staffing, ratios."),
+            "Dense site-hour operations: arrivals, throughput, waits, staffing, ratios.", ("date",)),
         "gold_er_quality_daily": Step(
             lambda t: er.gold_er_quality_daily(
                 t["silver_emr_er_visits"], t["silver_patient_flow_metrics"], t["silver_patient_satisfaction_surveys"]),
-            "Daily access and satisfaction measures per site."),
+            "Daily access and satisfaction measures per site.", ("date",)),
         "gold_er_finance_daily": Step(
             lambda t: er.gold_er_finance_daily(
                 t["silver_hr_shifts_and_sickleave"], t["silver_emr_er_visits"], t["gold_er_quality_daily"]),
-            "Daily overtime, cost and reimbursement at risk with running total."),
+            "Daily overtime, cost and reimbursement at risk with running total.", ("date",)),
         "gold_er_staffing_daily": Step(
             lambda t: er.gold_er_staffing_daily(t["silver_hr_shifts_and_sickleave"], t["gold_er_operational_hourly"]),
-            "Daily hours, sick-leave rate and coverage gap by role."),
+            "Daily hours, sick-leave rate and coverage gap by role.", ("date",)),
         "gold_er_readmission_risk_daily": Step(
             lambda t: er.gold_er_readmission_daily(t["silver_readmission_risk_feed"], t["silver_emr_er_visits"]),
-            "Daily predicted risk and realised readmissions."),
+            "Daily predicted risk and realised readmissions.", ("date",)),
         "gold_global_filters_bridge": Step(
             lambda t: er.gold_er_filters_bridge(t["silver_emr_er_visits"], t["silver_hr_shifts_and_sickleave"]),
             "Distinct filter values over visits and shifts."),
@@ -90,16 +90,16 @@ def cc_steps(spark: SparkSession, start: str, end: str, weights: cc.RiskWeights
         "gold_device_ingestion_timeseries": Step(
             lambda t: cc.gold_device_ingestion(
                 t["silver_device_readings"], t["gold_date_spine"], t["silver_patient_master"]),
-            "Dense daily readings and valid share by region and device."),
+            "Dense daily readings and valid share by region and device.", ("date",)),
         "gold_bp_quality_timeseries": Step(
-            lambda t: cc.gold_bp_quality(t["silver_device_readings"]), "Daily missing-diastolic rate by region."),
+            lambda t: cc.gold_bp_quality(t["silver_device_readings"]), "Daily missing-diastolic rate by region.", ("date",)),
         "gold_encounter_signal_timeseries": Step(
-            lambda t: cc.gold_encounter_signals(t["silver_encounter_notes"]), "Daily note-flag rates by region."),
+            lambda t: cc.gold_encounter_signals(t["silver_encounter_notes"]), "Daily note-flag rates by region.", ("date",)),
         "gold_patient_risk_timeseries": Step(
             lambda t: cc.gold_patient_risk_daily(
                 t["gold_date_spine"], t["silver_patient_master"], t["silver_device_readings"],
                 t["silver_encounter_notes"], weights),
-            "Mean patient-day risk score by region, tier and condition."),
+            "Mean patient-day risk score by region, tier and condition.", ("date",)),
         "gold_patient_risk_weekly": Step(
             lambda t: cc.gold_patient_risk_weekly(t["gold_patient_risk_timeseries"]), "Weekly mean of daily risk means."),
         "gold_care_actions_weekly": Step(

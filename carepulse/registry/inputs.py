@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..plans import cc, er
 from ..plans.serving_er import Period
-from ..session import apply_settings, shared_dir
+from ..session import apply_settings, folder_state, shared_dir
 from ..sources.files import scan_parquet
 from .bindings import BINDINGS
 
@@ -22,7 +22,7 @@ WEIGHTS = cc.RiskWeights(incident_start="2024-01-10", incident_end="2024-01-20")
 AS_OF = "2024-01-31 00:00:00"
 
 _DATED = ("quality", "hourly", "finance", "staffing", "readmission", "ingestion", "patient_risk", "bp_quality", "encounter_signals")
-_SERVED: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
+_SERVED: dict[tuple[str, str, str, str], tuple[str, T.StructType]] = {}
 
 
 class Inputs:
@@ -143,13 +143,21 @@ class Inputs:
     def encounter_signals(self) -> DataFrame:
         return cc.gold_encounter_signals(self.notes)
 
+    @cached_property
+    def state(self) -> str:
+        return folder_state(self.spark, self.sf_dir)
+
+    def served_path(self, name: str) -> str:
+        self.served(name)
+        return _SERVED[self.spark.sparkContext.applicationId, self.sf_dir, self.state, name][0]
+
     def served(self, name: str) -> DataFrame:
         """The table as reports find it: stored, gold tables with a folder for each date.
 
-        Stored in the shared folder when it is first asked for in a session, then read from there, so
-        that a report's period is a partition filter.
+        The query store_reports stores them, or else the first report that asks; then they are read from
+        there, so that a report's period is a partition filter. When a supplied file has changed they are stored anew.
         """
-        key = self.spark.sparkContext.applicationId, self.sf_dir, name
+        key = self.spark.sparkContext.applicationId, self.sf_dir, self.state, name
         if key not in _SERVED:
             table, path = getattr(self, name), shared_dir(self.spark, f"served-{name}")
             by = ["date"] if name in _DATED else []

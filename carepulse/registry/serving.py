@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..plans import serving_cc as sc, serving_er as se
+from ..sources.files import footer_counts
 from .core import query
 from .inputs import AS_OF, JANUARY, MID_MONTH, Inputs
 from .oracle import half_up
@@ -13,6 +14,17 @@ WEEKS = f"week_start BETWEEN TIMESTAMP '{MID_MONTH.first}' AND TIMESTAMP '{MID_M
 WAITS = "median_triage_wait_minutes, median_door_to_provider_minutes"
 
 
+STORED = {"quality": "gold_er_quality_daily", "hourly": "gold_er_operational_hourly", "finance": "gold_er_finance_daily",
+          "staffing": "gold_er_staffing_daily", "readmission": "gold_er_readmission_daily", "ingestion": "gold_device_ingestion",
+          "patient_risk": "gold_patient_risk_daily", "bp_quality": "gold_bp_quality", "encounter_signals": "gold_encounter_signals"}
+
+
+@query("store_reports", " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in STORED.values()))
+def _store(t: Inputs):
+    """The step before the reports: their tables stored by date, and counted from the footers."""
+    return footer_counts(t.spark, {table: t.served_path(name) for name, table in STORED.items()})
+
+
 @query("er_weekend_compare", f"""
 SELECT site, is_weekend, {half_up('avg(lwbs_rate)', 4)} AS avg_lwbs_rate,
   {half_up('avg(median_triage_wait_minutes)', 2)} AS avg_triage_wait_min,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -70,3 +71,13 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of any file system that Spark reads, if it is there (classic sessions only)."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def folder_state(spark: SparkSession, path: str) -> str:
+    """A digest of names, sizes and times of the files below ``path``: another one when any of them has changed (classic sessions only)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files, found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(folder, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hashlib.sha256(repr(sorted(found)).encode()).hexdigest()

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import remove_folder
+from .files import footer_counts
 from .versions import Versions
 
 
@@ -130,12 +131,16 @@ def run_sql(spark: SparkSession, text: str, args: Mapping[str, object] | None =
     return spark.sql(text, args=dict(args or {}))
 
 
-def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """(table_name, row_count), one row per table."""
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-        for name, df in frames.items()
-    ]
+def row_counts(frames: Mapping[str, DataFrame | str]) -> DataFrame:
+    """(table_name, row_count), one row per table. A path of Parquet files is counted from their footers, no row is read."""
+    derived = {n: df for n, df in frames.items() if not isinstance(df, str)}
+    counts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count") for name, df in derived.items()]
+    paths = {n: path for n, path in frames.items() if isinstance(path, str)}
+    if paths:
+        spark = next(iter(derived.values())).sparkSession if derived else SparkSession.active()
+        found = footer_counts(spark, paths)
+        # a row a table, brought over from the session that counts by footers
+        counts.append(spark.createDataFrame(found.collect(), found.schema) if derived else found)
     return reduce(lambda a, b: a.unionByName(b), counts)
 
 
