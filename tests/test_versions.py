@@ -116,7 +116,7 @@ def test_a_refresh_that_fails_serves_the_old_output(spark, tmp_path):
     broken = land(3, 5).selectExpr("CASE WHEN id < 4 THEN id ELSE raise_error('stop') END AS id")
     with pytest.raises(Exception):
         st.run_available(broken, dst, ckpt, full_refresh=True)
-    assert Versions(spark, dst).current().path == first and column(spark.read.parquet(first), "id") == [0, 1, 2]
+    assert Versions(spark, dst).current().path == first and sorted(column(spark.read.parquet(first), "id")) == [0, 1, 2]
     assert len(folders(dst)) == len(folders(ckpt)) == 1
     assert st.run_available(land(5, 6), dst, ckpt) == first  # goes on where it was
     assert sorted(column(spark.read.parquet(first), "id")) == [0, 1, 2, 3, 4, 5]
