@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from .batches import bounded_batches, record, slices
 from .words import Words, split_words
 
-#: Words looked at have a one. Between them they find any stretch with one word in five replaced.
+#: Words looked at have a one. Between them they find any stretch of seven words or more with one word in five
+#: replaced; of six words with one replaced in half of the places, five words only as they stand.
 MASKS = ("11111", "111011", "1101101", "11010011")
 #: An item's stretch that must agree (all of a shorter item), and in which share of its words.
 STRETCH, SHARE = 13, 0.8
@@ -160,7 +161,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
 
     One row for each text and item with a stretch of STRETCH words (all of a
     shorter item) that agree in SHARE of their places; start and end are code points of the
-    whole range of such stretches. Case and marks around words don't count. Null
+    whole range of such stretches. Of items of five and six words a replaced word can hide the seeds (see MASKS). Case and marks around words don't count. Null
     and empty texts and items, and items of fewer than LEAST_WORDS words, match nothing. Repeated
     rows and items give repeated results; other columns are not looked at.
     """
