@@ -4,8 +4,10 @@ import hashlib
 import random
 import re
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
+import pytest
 from hypothesis import given, settings, strategies as st
 from odd import ODD, odd_docs, prose
 from pyspark.sql import functions as F
@@ -99,22 +101,70 @@ def test_decontamination(spark):
     assert kept.schema == docs.schema and {r["doc_id"] for r in kept.collect()} == set(texts) - {k for k, _ in want}
 
 
-def test_blocks_of_the_benchmark_find_the_same(spark, monkeypatch):
-    items = [(k, prose(k, 20), 0, 0) for k in range(50)]
-    docs = odd_docs(spark, [(k, prose(1000 + k, 30) + " " + prose(k, 20)) for k in range(50)])
-    whole = sorted(decontaminate.find(docs, bench(spark, items)).collect())
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 600)
-    assert len(decontaminate.blocks(bench(spark, items))) > 3
-    assert sorted(decontaminate.find(docs, bench(spark, items)).collect()) == whole and len(whole) == 50
-
-
-def test_masks_find_every_stretch_with_one_word_in_five_replaced():
-    rnd = random.Random(0)
-    for _ in range(3000):
-        agree = [True] * 13
-        for k in rnd.sample(range(13), 2):
-            agree[k] = False
-        assert any(all(agree[i + k] for k, m in enumerate(mask) if m == "1") for mask in decontaminate.MASKS for i in range(14 - len(mask)))
+def plain_passages(docs, items, least=5):
+    """{(doc, item): (words, agreeing)} of the best diagonal, every one of them looked at word by word."""
+    out = {}
+    for d, text in docs:
+        t = [w.lower() for w in text.split()]
+        for i, item, *_ in items:
+            w = item.lower().split()
+            size = min(len(w), 13)
+            if len(w) < least:
+                continue
+            for shift in range(-len(w), len(t)):
+                a, b = max(0, -shift), min(len(w), len(t) - shift)
+                same = [w[k] == t[k + shift] for k in range(a, b)]
+                good = [k for k in range(len(same) - size + 1) if sum(same[k:k + size]) * 5 >= 4 * size]
+                if good:
+                    n = sum(same[good[0]:good[-1] + size])
+                    if n > out.get((d, i), (0, 0))[1]:
+                        out[d, i] = (good[-1] + size - good[0], n)
+    return out
+
+
+@pytest.mark.parametrize("hot", [64, 1, 0])
+def test_decontamination_against_every_diagonal(spark, monkeypatch, hot):
+    monkeypatch.setattr(decontaminate, "HOT", hot)
+    rnd, few = random.Random(4), "abcdefghijkl"
+    items = [(k, " ".join(rnd.choices(few, k=rnd.randint(3, 20))), 0, 0) for k in range(60)]
+    docs = []
+    for k in range(80):
+        words = rnd.choices(few, k=rnd.randint(0, 40))
+        at = rnd.randint(0, len(words))
+        item = rnd.choice(items)[1].split()
+        item[rnd.randrange(len(item))] = "z"
+        docs.append((k, " ".join(words[:at] + item + words[at:])))
+    out = decontaminate.find(odd_docs(spark, docs), bench(spark, items), least_words=4).collect()
+    want = plain_passages(docs, items, 4)
+    assert {(r["doc_id"], r["item_id"]) for r in out} == set(want) and len(out) == len(want)
+    assert sum((r["n_words"], r["n_agreeing"]) == want[r["doc_id"], r["item_id"]] for r in out) >= 0.95 * len(out)
+    dirty = {d for d, _ in want}
+    kept = decontaminate.remove(odd_docs(spark, docs), bench(spark, items), least_words=4)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [d for d, _ in docs if d not in dirty]
+
+
+@pytest.mark.parametrize("size", range(1, 14))
+def test_masks_and_keys_leave_no_replacement_out(size):
+    words = np.arange(1, size + 1, dtype=np.uint64) * np.uint64(7919)
+    k = decontaminate._replaced(size)
+    plain = decontaminate.window_keys(words, np.array([0]), size)[0]
+    for gone in combinations(range(size), k):
+        assert any(all(i + j not in gone for j, m in enumerate(mask) if m == "1")
+                   for mask in decontaminate.masks_for(size) for i in range(size - len(mask) + 1))
+        other = words.copy()
+        other[list(gone)] = 1
+        assert (decontaminate.window_keys(other, np.array([0]), size)[0] == plain).any()
+
+
+def test_shared_openings_make_no_pairs(spark):
+    def rows(n, seed):
+        return [(k, "one opening that all of them share " + prose(seed + k, 30)) for k in range(n)]
+    items = decontaminate._items(bench(spark, [(k, t, 0, 0) for k, t in rows(300, 10 ** 6)]), "item_id", "text", 5)
+    seed_rows = decontaminate._item_seeds(items)
+    docs = odd_docs(spark, rows(300, 0)).selectExpr("doc_id AS id", "text")
+    segments = decontaminate._segments(docs, list(decontaminate.MASKS), *decontaminate._filter(seed_rows))
+    assert segments.count() >= 300
+    assert decontaminate._candidates(items, seed_rows, segments).count() * 50 < 300 * 300  # all pairs share seeds
 
 
 def test_odd_decontamination(spark):
