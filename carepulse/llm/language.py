@@ -23,7 +23,13 @@ from .words import sample
 #: Hashed features, and the place of runs that cross the end of a text.
 FEATURES = 1 << 13
 UNKNOWN = "und"
-# Language codes by family; a language that isn't listed is a family of its own.
+#: Weights of all machines together, 32 KB each; more labels than fit are an error.
+MODEL_BYTES = 128 << 20
+#: Machines from which on texts are counted first and each family's machines see only its own texts.
+MANY = 64
+#: Places of a language's profile.
+_PROFILE = 512
+# Language codes by family; other languages are put into families by their profiles.
 FAMILIES = {
     "germanic": ("en", "de", "nl", "sv", "da", "no", "nb", "nn", "is", "af"),
     "romance": ("fr", "es", "it", "pt", "ro", "ca", "gl"),
@@ -36,6 +42,7 @@ FAMILIES = {
 
 
 def family_of(lang: str) -> str:
+    """The family of a listed language; before profiles are known any other stands alone."""
     return next((name for name, members in FAMILIES.items() if lang in members), f"only-{lang}")
 
 
@@ -88,6 +95,44 @@ def _train(table: pa.Table) -> pa.Table:
     return pa.table({"pair": [f"{a}\t{b}"], "weights": [weights.tobytes()], "bias": [float(bias)]})
 
 
+def _profile(table: pa.Table) -> pa.Table:
+    """Shares of a language's runs of bytes, each text counting alike; of unit length."""
+    total = np.zeros(_PROFILE)
+    for text in table["text"]:
+        grams, _ = ngrams(pa.array([text.as_py()]))
+        counts = sum(np.bincount(g[g < FEATURES] % _PROFILE, minlength=_PROFILE) for g in grams)
+        total += np.sqrt(counts / max(1, counts.sum()))
+    total /= np.linalg.norm(total) + 1e-12
+    return pa.table({"label": table["label"].slice(0, 1), "profile": [total.astype("<f4").tobytes()]})
+
+
+def _families(chosen: DataFrame, langs: list[str]) -> dict[str, list[str]]:
+    """Listed languages by FAMILIES; n others in the root of n families of like profiles, none over twice the root.
+
+    Profiles (2 KB a language, of MOST_LABELS at most) come to the driver, where families grow around languages far apart from each other.
+    """
+    families: dict[str, list[str]] = {}
+    for lang in langs:
+        if family_of(lang) in FAMILIES:
+            families.setdefault(family_of(lang), []).append(lang)
+    others = [lang for lang in langs if family_of(lang) not in FAMILIES]
+    if not others:
+        return families
+    found = chosen.where(F.col("label").isin(others)).groupBy("label").applyInArrow(_profile, "label string, profile binary").collect()
+    profiles = {r["label"]: np.frombuffer(r["profile"], "<f4") for r in found}
+    likeness = np.array([profiles[x] for x in others]) @ np.array([profiles[x] for x in others]).T
+    heads = [0]
+    while len(heads) < np.ceil(np.sqrt(len(others))):
+        heads.append(int(likeness[heads].max(0).argmin()))
+    room = dict.fromkeys(heads, 2 * len(heads))
+    order = sorted(range(len(others)), key=lambda i: (i not in room, -likeness[heads, i].max(), i))  # the surest first
+    for i in order:
+        head = i if i in heads else max((h for h in heads if room[h]), key=lambda h: likeness[h, i])
+        room[head] -= 1
+        families.setdefault(f"like-{others[head]}", []).append(others[i])
+    return {f: sorted(members) for f, members in families.items()}
+
+
 def train(labelled: DataFrame, docs: DataFrame, per_language: int = 600, id_col: str = "doc_id",
           text_col: str = "text") -> dict:
     """A model from ``labelled`` (id, label) and the texts of ``docs``.
@@ -95,14 +140,16 @@ def train(labelled: DataFrame, docs: DataFrame, per_language: int = 600, id_col:
     It is fitted on at most ``per_language`` texts of a language, and every
     machine is trained by a task of its own on the texts of its two sides, at
     most as many a side. The result holds 32 KB for every pair of families and
-    every pair of languages within one.
+    every pair of languages within one; languages that aren't in FAMILIES are put into families by
+    their texts, so that n languages need some n to the power of 1.5 machines. More than MODEL_BYTES is an error.
     """
     bounded_batches(docs.sparkSession)
     chosen = keep(sample(labelled, docs, per_language, id_col, text_col), "language-sample")
     langs = sorted(r[0] for r in chosen.select("label").distinct().collect())  # languages, a closed set
-    families: dict[str, list[str]] = {}
-    for lang in langs:
-        families.setdefault(family_of(lang), []).append(lang)
+    families = _families(chosen, langs)
+    machines = sum(len(f) * (len(f) - 1) // 2 for f in (families, *families.values()))
+    if machines * FEATURES * 4 > MODEL_BYTES:
+        raise ValueError(f"{len(langs)} languages need {machines} machines, more than MODEL_BYTES")
     sides = []
     for a, b in combinations(sorted(families), 2):
         for f in (a, b):
@@ -114,7 +161,7 @@ def train(labelled: DataFrame, docs: DataFrame, per_language: int = 600, id_col:
         return {"families": families, "machines": {}}
     spark = docs.sparkSession
     table = spark.createDataFrame(sides, "pair string, side string, label string, share double")
-    rows = chosen.join(F.broadcast(table), "label").where(
+    rows = chosen.join(table, "label").where(
         F.pmod(F.xxhash64("text", "pair"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
     found = rows.select("pair", "side", "text").groupBy("pair").applyInArrow(
         _train, "pair string, weights binary, bias double").collect()  # the model itself
@@ -138,6 +185,44 @@ def _vote(names: list[str], values: dict[tuple[str, str], np.ndarray], n: int) -
     return best, weakest[np.arange(n), best]
 
 
+def _shares(grams: list[np.ndarray], offsets: np.ndarray) -> np.ndarray:
+    """The features of the texts between the offsets, one row each."""
+    out = np.zeros((len(offsets) - 1, FEATURES + 1), np.float32)
+    for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
+        for g in grams:
+            out[i] += np.bincount(g[a:b], minlength=FEATURES + 1)
+    out = out[:, :FEATURES]
+    return out / np.maximum(1, out.sum(1, keepdims=True))
+
+
+def _by_family(shares: np.ndarray, families: dict, column_of: dict, weights: np.ndarray, bias: np.ndarray):
+    """(language, weakest win) of each row: all machines of families, then those of the family found."""
+    def values(keys: list, rows: np.ndarray) -> dict:
+        at = [column_of[k] for k in keys]
+        out = rows @ weights[:FEATURES, at] + bias[at]
+        return {key: out[:, j] for j, key in enumerate(keys)}
+
+    names, n = sorted(families), len(shares)
+    between = values([k for k in column_of if k[0].startswith("f:")], shares)
+    best, margin = _vote(names, {(a[2:], b[2:]): v for (a, b), v in between.items()}, n)
+    pred, weak = np.full(n, UNKNOWN, object), np.zeros(n)
+    for f in np.unique(best):
+        members, at = families[names[f]], np.flatnonzero(best == f)
+        inner = [k for k in combinations(members, 2) if k in column_of]
+        won, inside = _vote(members, values(inner, shares[at]), len(at))
+        pred[at], weak[at] = np.array(members, object)[won], np.minimum(margin[at], inside)
+    return pred, weak
+
+
+def _answer(batch: pa.RecordBatch, names_out: list[str], column: pa.Array, pred: np.ndarray, weak: np.ndarray, learned: bool) -> pa.RecordBatch:
+    """The batch with language and score; texts without a letter have none."""
+    letters = pc.match_substring_regex(column, r"\pL").to_numpy(zero_copy_only=False) & learned
+    with np.errstate(over="ignore"):
+        score = np.where(letters, 1 / (1 + np.exp(-2 * weak)), 0.0)
+    pred = pa.array(np.where(letters, pred, UNKNOWN).tolist(), pa.string())
+    return pa.RecordBatch.from_arrays([*[batch[c] for c in names_out], pred, pa.array(score)], [*names_out, "lang_pred", "score"])
+
+
 def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text",
             carry: list[str] | None = None) -> DataFrame:
     """(doc_id, lang_pred, score) of every row, or the ``carry`` columns with lang_pred and score.
@@ -162,9 +247,19 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
             weights[:FEATURES, k] = machines[key][0]
         bias = np.array([machines[key][1] for key in keys])
         names = sorted(families)
+        column_of = {key: k for k, key in enumerate(keys)}
+        many = len(keys) > MANY
         for batch in slices(batches, limit=1 << 20):
             column, n = texts(batch), batch.num_rows
             grams, offsets = ngrams(column)
+            if many:
+                pred, weak = np.full(n, UNKNOWN, object), np.zeros(n)
+                for at in range(0, n, 500):
+                    shares = _shares(grams, offsets[at:at + 501])
+                    now = slice(at, at + len(shares))
+                    pred[now], weak[now] = _by_family(shares, families, column_of, weights, bias)
+                yield _answer(batch, names_out, column, pred, weak, True)
+                continue
             total, count = np.zeros((n, len(keys))), np.zeros(n)
             full = np.diff(offsets) > 0
             begins = offsets[:-1][full]
@@ -184,12 +279,7 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
                 won, inside = _vote(members, inner, len(at))
                 pred[at] = np.array(members, object)[won]
                 weak[at] = np.minimum(margin[at], inside)
-            letters = pc.match_substring_regex(column, r"\pL").to_numpy(zero_copy_only=False) & bool(names)
-            with np.errstate(over="ignore"):
-                score = np.where(letters, 1 / (1 + np.exp(-2 * weak)), 0.0)
-            pred = pa.array(np.where(letters, pred, UNKNOWN).tolist(), pa.string())
-            yield pa.RecordBatch.from_arrays([*[batch[c] for c in names_out], pred, pa.array(score)],
-                                             [*names_out, "lang_pred", "score"])
+            yield _answer(batch, names_out, column, pred, weak, bool(names))
 
     kinds = dict(rows.dtypes)
     out = rows.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in names_out) + ", lang_pred string, score double")

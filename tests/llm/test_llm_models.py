@@ -43,6 +43,32 @@ def test_language_held_out(spark, language_model):
     assert out.where("score < 0 OR score > 1").count() == 0
 
 
+def test_unlisted_languages_form_families(spark, monkeypatch):
+    rnd, rows = random.Random(3), []
+    for lang in range(36):  # six groups of six; a language has words of its group and some of its own
+        group = random.Random(lang // 6)
+        words = ["".join(group.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(20)]
+        words += ["".join(random.Random(100 + lang).choices("abcdefghijklmnopqrstuvwxyz", k=60))[i:i + 5] for i in range(0, 60, 5)]
+        rows += [(len(rows) + k, " ".join(rnd.choices(words, k=40)), f"x{lang:02}") for k in range(16)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learn = docs.where("doc_id % 4 > 0")
+    model = language.train(learn.selectExpr("doc_id AS id", "lang AS label"), learn)
+    assert sum(len(m) for m in model["families"].values()) == 36 and len(model["families"]) == 6
+    assert len(model["machines"]) <= 300 < 36 * 35 / 2
+    held = docs.where("doc_id % 4 = 0")
+    assert language.predict(held, model).join(held, "doc_id").where("lang_pred = lang").count() >= 0.95 * held.count()
+    by_family = {r["doc_id"]: r for r in language.predict(held, model).collect()}
+    monkeypatch.setattr(language, "MODEL_BYTES", 1 << 20)
+    with pytest.raises(ValueError):
+        language.train(learn.selectExpr("doc_id AS id", "lang AS label"), learn)
+    some = {f: m for f, m in model["families"].items() if f in sorted(model["families"])[:2]}  # few machines: all at once
+    names = {x for m in some.values() for x in m} | {f"f:{f}" for f in some}
+    few = {"families": some, "machines": {k: v for k, v in model["machines"].items() if set(k) <= names}}
+    assert len(few["machines"]) <= language.MANY
+    mine = [r for r in language.predict(held, few).join(held.select("doc_id", "lang"), "doc_id").collect() if r["lang"] in names]
+    assert sum(r["lang_pred"] == by_family[r["doc_id"]]["lang_pred"] for r in mine) >= 0.95 * len(mine) > 0
+
+
 def test_language_score_depends_on_the_text_alone(spark, language_model):
     docs = language_docs(spark, 5)
     alone = {r["doc_id"]: r["score"] for d in docs.collect()[:4]
