@@ -9,13 +9,15 @@ executor costs at most the table in progress.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import hashlib
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from . import cc, er
-from ..sources.tables import replace_table
+from ..session import folder_state
+from ..sources.tables import get_property, replace_table, scan_table, set_property, table_versions
 
 
 @dataclass(frozen=True)
@@ -140,19 +142,65 @@ def schema_per_layer(prefix: str = "") -> Callable[[str], str]:
     return lambda name: f"{prefix}{name.split('_', 1)[0]}"
 
 
+#: Property of a table that says what it was built from.
+BUILT_FROM = "carepulse.built_from"
+
+
+class _Noted(Mapping[str, DataFrame]):
+    """Tables that remember which of them were looked up."""
+
+    def __init__(self, tables: Mapping[str, DataFrame]):
+        self.tables, self.used = tables, set()
+
+    def __getitem__(self, name: str) -> DataFrame:
+        self.used.add(name)
+        return self.tables[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.tables)
+
+    def __len__(self) -> int:
+        return len(self.tables)
+
+
+def feed_states(spark: SparkSession, folders: Mapping[str, str]) -> dict[str, str]:
+    """For each raw feed a digest of its files' names, sizes and times (classic sessions only)."""
+    return {name: folder_state(spark, path) for name, path in folders.items()}
+
+
 def materialise(raw: Mapping[str, DataFrame], steps: Mapping[str, Step], db_of: Callable[[str], str],
-                root: str | None = None) -> dict[str, DataFrame]:
+                root: str | None = None, states: Mapping[str, str] | None = None, release: str = "") -> dict[str, DataFrame]:
     """Write the tables in order and return them for reading.
 
     ``db_of`` gives the database of a table; ``root`` is a shared folder for
     the files (without it the warehouse keeps them).
+
+    With ``states``, a text for each raw feed that changes whenever its rows do
+    (:func:`feed_states`), a table is left as it is if the feeds and the versions of the tables that it is built from are those of its last
+    complete build: a run that failed goes on at the table it failed at, and a feed that has changed
+    rebuilds its own line of tables only. Another ``release`` (of the code, the calendar, the weights: whatever
+    steps hold besides tables) rebuilds all. A feed without a state is taken as changed.
     """
     tables = dict(raw)
+    known = dict(states or {})
     for name, step in steps.items():
-        df = step.build(tables)
-        if step.partition_by:
-            # one shuffle by date, so a date's rows land in few files instead of one per task;
-            # AQE splits a date that is far larger than the rest
-            df = df.hint("rebalance", *step.partition_by)
-        tables[name] = replace_table(df, db_of(name), name, root, step.comment, step.partition_by)
+        noted = _Noted(tables)
+        df = step.build(noted)
+        db, spark = db_of(name), df.sparkSession
+        origin = None
+        if states is not None and noted.used <= known.keys():
+            parts = [release, step.comment, *step.partition_by, *(f"{n}={known[n]}" for n in sorted(noted.used))]
+            origin = hashlib.sha256("\n".join(parts).encode()).hexdigest()
+        if origin and get_property(spark, db, name, BUILT_FROM) == origin:
+            tables[name] = scan_table(spark, db, name)
+        else:
+            if step.partition_by:
+                # one shuffle by date, so a date's rows land in few files instead of one per task;
+                # AQE splits a date that is far larger than the rest
+                df = df.hint("rebalance", *step.partition_by)
+            tables[name] = replace_table(df, db, name, root, step.comment, step.partition_by)
+            if origin:  # noted only now: a build that ended before is no build
+                set_property(spark, db, name, BUILT_FROM, origin)
+        if states is not None:
+            known[name] = table_versions(spark, db, name, root).current().name
     return {name: tables[name] for name in steps}

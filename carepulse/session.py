@@ -5,6 +5,9 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -50,6 +53,25 @@ def local_session(app: str = "carepulse", cores: str = "*", partitions: int = 8)
     return spark
 
 
+_FOLDERS: ContextVar[list[str] | None] = ContextVar("folders", default=None)
+
+
+@contextmanager
+def passing_folders(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete, at the end, the folders of intermediate rows that operators make inside the block, also after an error.
+
+    Results are read from such folders, so write them elsewhere within the block. Blocks may be nested.
+    """
+    made: list[str] = []
+    token = _FOLDERS.set(made)
+    try:
+        yield made
+    finally:
+        _FOLDERS.reset(token)
+        for folder in made:
+            remove_folder(spark, folder)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 
@@ -64,7 +86,10 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="carepulse-", dir="/tmp"))
         base = spark.sparkContext.getCheckpointDir()
-    return f"{base}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{base}/{purpose}-{uuid.uuid4().hex}"
+    if (made := _FOLDERS.get()) is not None:
+        made.append(path)
+    return path
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:

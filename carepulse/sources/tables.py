@@ -126,6 +126,17 @@ def get_comment(spark: SparkSession, db: str, name: str) -> str | None:
     return spark.catalog.getTable(_quoted(db, name)).description
 
 
+def set_property(spark: SparkSession, db: str, name: str, key: str, value: str) -> None:
+    """A property of the table as it is now: replacing the table takes it away."""
+    spark.sql(f"ALTER VIEW {_quoted(db, name)} SET TBLPROPERTIES ({_text(key)} = {_text(value)})")
+
+
+def get_property(spark: SparkSession, db: str, name: str, key: str) -> str | None:
+    if not spark.catalog.databaseExists(db) or not spark.catalog.tableExists(_quoted(db, name)):
+        return None
+    return next((r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_quoted(db, name)}").collect() if r["key"] == key), None)
+
+
 def run_sql(spark: SparkSession, text: str, args: Mapping[str, object] | None = None) -> DataFrame:
     """SQL text with named parameters; names of tables go through ``IDENTIFIER(:name)``."""
     return spark.sql(text, args=dict(args or {}))

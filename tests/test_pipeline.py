@@ -7,10 +7,12 @@ import pytest
 
 from carepulse.registry import QUERIES
 from __spark_entry__ import queries
-from carepulse.plans.pipeline import cc_steps, er_steps, materialise, one_schema, schema_per_layer
+from carepulse.plans.pipeline import Step, cc_steps, er_steps, feed_states, materialise, one_schema, schema_per_layer
+from carepulse.session import passing_folders, shared_dir
+from carepulse.sources.files import stored
 from carepulse.registry.inputs import FIRST_DAY, LAST_DAY, WEIGHTS, Inputs
 from carepulse.sources.schemas import CC_RAW, ER_RAW, read_raw
-from carepulse.sources.tables import get_comment
+from carepulse.sources.tables import get_comment, table_versions
 from helpers import plan_of, rows
 
 
@@ -53,6 +55,58 @@ def test_cc_run_equals_the_lazy_tables(spark, inputs, prefix, tmp_path_factory):
     assert spark.table(f"{prefix}gold.gold_global_filters_bridge").count() > 0
 
 
+def test_run_goes_on_where_it_failed_and_rebuilds_what_changed(spark, prefix, tmp_path):
+    broken = {"b"}
+    feeds = {n: str(tmp_path / n) for n in ("raw_x", "raw_y")}
+    for n, path in feeds.items():
+        spark.range(5).write.parquet(path)
+
+    def step(name, *sources):
+        def build(t):
+            df = t[sources[0]].select("id")
+            for s in sources[1:]:
+                df = df.union(t[s].select("id"))
+            return df.selectExpr("CAST(id AS STRING) || 'x' AS s", "CAST(CAST(id AS STRING) || 'x' AS INT) AS id") if name in broken else df
+        return Step(build, f"table {name}")
+
+    steps = {"a": step("a", "raw_x"), "b": step("b", "a", "raw_y"), "c": step("c", "raw_x"), "d": step("d", "b")}
+
+    def run(release=""):
+        raw = {n: spark.read.parquet(path) for n, path in feeds.items()}
+        before = versions()
+        out = materialise(raw, steps, one_schema(f"{prefix}go"), str(tmp_path / "out"), feed_states(spark, feeds), release)
+        after = versions()
+        return out, {n for n in steps if before.get(n) != after[n]}
+
+    def versions():
+        found = {n: table_versions(spark, f"{prefix}go", n, str(tmp_path / "out")).current() for n in steps}
+        return {n: v.name for n, v in found.items() if v}
+
+    with pytest.raises(Exception):
+        run()
+    assert set(versions()) == {"a"}
+    broken.clear()
+    assert run()[1] == {"b", "c", "d"}  # a was complete
+    assert run()[1] == set()
+    spark.range(2).write.mode("append").parquet(feeds["raw_y"])
+    out, new = run()
+    assert new == {"b", "d"} and out["d"].count() == 12 and out["a"].count() == 5
+    assert run("next release")[1] == set(steps)
+    spark.sql(f"DROP VIEW {prefix}go.c")
+    assert run("next release")[1] == {"c"}
+
+
+def test_intermediate_folders_go(spark, tmp_path):
+    import os
+    kept = shared_dir(spark, "kept")
+    with pytest.raises(ZeroDivisionError), passing_folders(spark):
+        inner = shared_dir(spark, "inner")
+        assert stored(spark.range(3), inner).count() == 3 and os.path.exists(inner.removeprefix("file:"))
+        stored(spark.range(3), kept)
+        1 / 0
+    assert not os.path.exists(inner.removeprefix("file:")) and spark.read.parquet(kept).count() == 3
+
+
 @pytest.mark.parametrize("key", [k for k in QUERIES if not k.startswith(("st", "incremental", "full_refresh"))])
 def test_no_cross_join_and_no_python_in_any_plan(spark, sf_dir, key):
     plan = plan_of(queries()[key](spark, sf_dir))
