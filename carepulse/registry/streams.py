@@ -51,7 +51,7 @@ def _join(t: Inputs):
     lines = _stream(t, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", F.col("l_partkey").alias("p_partkey"))
     parts = _stream(t, "part").select("p_partkey", "p_name", "p_retailprice")
     hot = hot_keys(t.supplied("lineitem"), "l_partkey")
-    return _drain(t, joins.stream_join(lines, parts, "p_partkey", hot), "join")
+    return _drain(t, joins.stream_join(lines, parts, "p_partkey", hot, pack=True), "join")
 
 
 @query("stream_computed_cols", """

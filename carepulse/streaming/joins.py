@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .packed import packed
 from .skew import salts_of
 
 
@@ -23,7 +24,7 @@ class TimeBound:
 
 
 def stream_join(left: DataFrame, right: DataFrame, on: str, salts: int | Mapping[object, int] = 8,
-                bound: TimeBound | None = None, rename: Mapping[str, str] | None = None) -> DataFrame:
+                bound: TimeBound | None = None, rename: Mapping[str, str] | None = None, pack: bool = False) -> DataFrame:
     """Inner equi-join of two streams in append mode.
 
     Without ``bound`` both sides stay in state for good, as an unbounded inner
@@ -34,6 +35,10 @@ def stream_join(left: DataFrame, right: DataFrame, on: str, salts: int | Mapping
     number splits every key so far. The result is the same. It must not change while a checkpoint is in use. On batch tables
     nothing is salted, since AQE splits a hot key there.
 
+    With ``pack`` the left rows of a sub-key that come in one batch are kept and looked up as arrays
+    (:func:`carepulse.streaming.packed.packed`), so that the cost of state goes by keys instead of rows; the result is the same.
+    Like ``salts`` it must not change while a checkpoint is in use. A ``bound`` is by row and can't be packed.
+
     Columns other than the key that both sides have are an error, unless
     ``rename`` (``{right column: name in the result}``) tells them apart.
     """
@@ -42,10 +47,13 @@ def stream_join(left: DataFrame, right: DataFrame, on: str, salts: int | Mapping
     clash = sorted(set(left.columns) & set(taken))
     if clash:
         raise ValueError(f"both sides have the columns {clash}; rename those of the right side")
+    if pack and bound is not None:
+        raise ValueError("a bound is by row: rows can't be packed")
     if bound is not None and left.isStreaming:
         left = left.withWatermark(bound.left_time, bound.delay)
         right = right.withWatermark(bound.right_time, bound.delay)
-    parts = salts_of(F.col(on), salts) if left.isStreaming or right.isStreaming else None
+    streaming = left.isStreaming or right.isStreaming
+    parts = salts_of(F.col(on), salts) if streaming else None
     spread, copies = left.alias("l"), right.alias("r")
     match = F.col(f"l.{on}") == F.col(f"r.{on}")
     if parts is not None:
@@ -55,6 +63,11 @@ def stream_join(left: DataFrame, right: DataFrame, on: str, salts: int | Mapping
     if bound is not None:
         lt, rt = F.col(f"l.{bound.left_time}"), F.col(f"r.{bound.right_time}")
         match = match & (rt >= lt - F.expr(f"INTERVAL {bound.before}")) & (rt <= lt + F.expr(f"INTERVAL {bound.after}"))
+    if pack and streaming:
+        keys = [on] if parts is None else [on, "_salt"]
+        both = packed(spread, keys).alias("l").join(copies, match, "inner")
+        taken = [F.col(f"r.{c}").alias(names.get(c, c)) for c in right.columns if c != on]
+        return both.select(F.inline("l.rows"), *taken).select(*left.columns, *[names.get(c, c) for c in right.columns if c != on])
     return spread.join(copies, match, "inner").select(
         *[F.col(f"l.{c}") for c in left.columns],
         *[F.col(f"r.{c}").alias(names.get(c, c)) for c in right.columns if c != on],
@@ -94,11 +107,11 @@ PRODUCT_COLUMNS = [
 
 
 def flat_orders(order_lines: DataFrame, products: DataFrame, salts: int | Mapping[object, int] = 8,
-                bound: TimeBound | None = None) -> DataFrame:
+                bound: TimeBound | None = None, pack: bool = False) -> DataFrame:
     """Order lines with their product, flat; works on streams and on batch tables alike.
 
-    ``bound`` (order ``ModifiedDate`` against a product time such as ``SellStartDate``) limits what the streams keep.
+    ``pack`` as in :func:`stream_join`. ``bound`` (order ``ModifiedDate`` against a product time such as ``SellStartDate``) limits what the streams keep.
     """
     lines = order_lines.select("ProductID", *ORDER_COLUMNS)
-    joined = stream_join(lines, products.select(*PRODUCT_COLUMNS), "ProductID", salts, bound)
+    joined = stream_join(lines, products.select(*PRODUCT_COLUMNS), "ProductID", salts, bound, pack=pack)
     return with_order_amounts(joined.select(*ORDER_COLUMNS, *PRODUCT_COLUMNS)).withColumnsRenamed(FLAT_RENAMES)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from carepulse.sources.schemas import ORDERS_LANDING
 from carepulse.streaming import joins, tables as st
 from carepulse.streaming.orders import update_sales_orders
+from carepulse.streaming.packed import packed
 from carepulse.streaming.skew import hot_keys, kept_hot_keys
 from helpers import plan_of, rows
 
@@ -173,3 +174,41 @@ def test_hot_keys_stay_with_the_checkpoint(spark, table, tmp_path):
     assert kept_hot_keys(path, lambda: {5: 3, 6: 2}, like, "p") == {5: 3, 6: 2}
     assert kept_hot_keys(path, lambda: {9: 9}, like, "p") == {5: 3, 6: 2}
     assert kept_hot_keys(str(tmp_path / "none"), dict, like, "p") == {} == kept_hot_keys(str(tmp_path / "none"), lambda: {1: 1}, like, "p")
+
+
+@pytest.mark.parametrize("hot", [{}, {7: 3}, 4])
+def test_packed_lines_are_one_state_row_for_each_key(spark, land, tmp_path, hot):
+    """900 lines over 100 products, some of no product: state goes by products, over two runs the pairs are those of the batch join."""
+    product = F.when(F.col("id") % 9 == 0, 7).when(F.col("id") % 10 == 1, None).otherwise(F.col("id") % 100)
+    lines = spark.range(900).select("id", product.alias("p"), F.array("id").alias("many"))
+    products = spark.range(90).select(F.col("id").alias("p"), F.concat(F.lit("n"), "id").alias("name"))
+    left, right = land("l", lines), land("r", products)
+    sub_keys = lines.where("p IS NOT NULL").select("p").distinct().count()
+    if hot == {}:
+        assert state_rows(joins.stream_join(left, right, "p", hot, pack=True), tmp_path, "out") == sub_keys + 90
+        assert state_rows(joins.stream_join(left, right, "p", hot), tmp_path, "plain") > 800
+    else:
+        state_rows(joins.stream_join(left, right, "p", hot, pack=True), tmp_path, "out")
+    left, right = land("l", lines.withColumn("id", F.col("id") + 1000)), land("r", spark.range(95, 98).select(F.col("id").alias("p"), F.lit("late").alias("name")))
+    state_rows(joins.stream_join(left, right, "p", hot, pack=True), tmp_path, "out")
+    whole = spark.read.parquet(str(tmp_path / "l")).join(spark.read.parquet(str(tmp_path / "r")), "p")
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.columns == ["id", "p", "many", "name"]
+    assert rows(out, "id", "p", "many", "name") == rows(whole, "id", "p", "many", "name")
+
+
+def test_packed_rows_are_bounded_and_whole(spark, table):
+    some = [("a" if i % 3 else None if i % 2 else "b", i % 2, i, Decimal(i), dt.datetime(2025, 1, 1)) for i in range(100)]
+    df = table("k string, s int, v int, d decimal(9,2), t timestamp", *some)
+    for gathered in (1, 1 << 20):
+        got = packed(df, ["k", "s"], gathered, 7)
+        assert got.columns == ["k", "s", "rows"] and got.selectExpr("max(size(rows))").first()[0] <= 7
+        assert rows(got.select(F.inline("rows"))) == rows(df.where("k IS NOT NULL"))
+        assert got.where("exists(rows, r -> r.k <> k OR r.s <> s)").count() == 0
+    assert packed(df.limit(0), ["k"]).count() == 0
+
+
+def test_packed_join_with_a_bound_is_an_error(table):
+    a, b = table("k int, lt timestamp", (1, None)), table("k int, rt timestamp", (1, None))
+    with pytest.raises(ValueError, match="bound"):
+        joins.stream_join(a, b, "k", bound=joins.TimeBound("lt", "rt", "1 hour", "1 minute", "1 minute"), pack=True)
