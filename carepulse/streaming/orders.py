@@ -17,7 +17,8 @@ FLAT = "sales_orders_flat"
 
 
 def update_sales_orders(landing: Mapping[str, DataFrame], target: str, full_refresh: bool = False,
-                        salts: int | None = None, bound: TimeBound | None = None, max_files: int | None = 1000) -> dict[str, DataFrame]:
+                        salts: int | None = None, bound: TimeBound | None = None, max_files: int | None = 1000,
+                        pack: bool = True) -> dict[str, DataFrame]:
     """Bring all four tables up to date, then stop; a later call adds only newer rows.
 
     All four tables are one generation: a full refresh that fails in any of them leaves all four as they were.
@@ -25,6 +26,7 @@ def update_sales_orders(landing: Mapping[str, DataFrame], target: str, full_refr
     The flat table reads the copies, not the landing area, ``max_files`` new files a batch.
     Hot products are found by a sketch of the order lines that have landed when a generation begins, and kept with its checkpoint;
     a number of ``salts`` splits every product instead. ``bound`` goes to :func:`flat_orders` and bounds the state.
+    Without it the lines of a product are kept in arrays (``pack``); a generation that began without that goes on with ``pack=False``.
     """
     spark = landing["product"].sparkSession
     flat_schema = None
@@ -48,7 +50,7 @@ def update_sales_orders(landing: Mapping[str, DataFrame], target: str, full_refr
         copies = {name: read_stream(spark, f"{base}/{name}/data", landing[name].schema, max_files=max_files) for name in COPIES}
         lines = spark.read.schema(landing["salesorderdetail"].schema).parquet(f"{base}/salesorderdetail/data")
         split = salts or kept_hot_keys(f"{base}/{FLAT}/hot-keys", lambda: hot_keys(lines, "ProductID"), lines, "ProductID")
-        flat = flat_orders(copies["salesorderdetail"], copies["product"], split, bound)
+        flat = flat_orders(copies["salesorderdetail"], copies["product"], split, bound, pack=pack and bound is None)
         flat_schema = flat.schema
         start(FLAT, flat).awaitTermination()
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from carepulse.sources.schemas import ORDERS_LANDING
-from carepulse.streaming import joins, tables as st
+from carepulse.streaming import joins, orders, tables as st
 from carepulse.streaming.orders import update_sales_orders
 from carepulse.streaming.packed import packed
 from carepulse.streaming.skew import hot_keys, kept_hot_keys
@@ -212,3 +212,20 @@ def test_packed_join_with_a_bound_is_an_error(table):
     a, b = table("k int, lt timestamp", (1, None)), table("k int, rt timestamp", (1, None))
     with pytest.raises(ValueError, match="bound"):
         joins.stream_join(a, b, "k", bound=joins.TimeBound("lt", "rt", "1 hour", "1 minute", "1 minute"), pack=True)
+
+
+def test_order_pipeline_keeps_the_lines_of_a_product_together(spark, tmp_path, monkeypatch):
+    """40 lines of two products: two packed state rows and one for each product, the same table as line by line."""
+    lines = [(o, 1, 2, 1 + o % 2, Decimal("1.50"), Decimal(0), Decimal("2.75"), dt.datetime(2025, 1, 1)) for o in range(40)]
+    given = {"customer": [(1, "a", "b")], "product": [(p, *[None] * 12) for p in (1, 2, 3)], "salesorderdetail": lines}
+    for name, some in given.items():
+        spark.createDataFrame(some, ORDERS_LANDING[name]).write.parquet(str(tmp_path / name))
+    landing = {n: st.read_stream(spark, str(tmp_path / n), s) for n, s in ORDERS_LANDING.items()}
+    queries = []
+    monkeypatch.setattr(orders, "start_available", lambda *a: queries.append(st.start_available(*a)) or queries[-1])
+    state, out = {}, {}
+    for pack in (True, False):
+        out[pack] = rows(update_sales_orders(landing, str(tmp_path / f"target-{pack}"), pack=pack)["sales_orders_flat"])
+        state[pack] = [p for p in queries[-1].recentProgress if p["stateOperators"]][-1]["stateOperators"][0]["numRowsTotal"]
+    assert len(out[True]) == 40 and out[True] == out[False]
+    assert state[True] < 10 < 40 < state[False]
