@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,24 +24,53 @@ def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | str | No
 def write_parquet_files(df: DataFrame, path: str, num_files: int) -> None:
     """Write files of ceil(rows / ``num_files``) rows each, the last one shorter, in the order of the input.
 
-    A file holds a run of rows that follow each other; fewer rows than files make one file. The input is computed once and stored beside the output with its partition and place; counts
-    per partition, one row each, give every row its number, and one shuffle deals the
-    rows to the files. What ``path`` held is replaced only by that last write.
+    A file holds a run of rows that follow each other; fewer rows than files make one file. The input is computed once and
+    stored, a file for each partition, its rows with their place. An output file is then the stored files of its run one after
+    another, cut by place at the ends: its task streams them, so nothing is sorted or held and rows aren't shuffled. The driver gets name,
+    first place and count of each stored file; the plan has a scan for each. What ``path`` held is replaced only by that last write.
     """
     spark = df.sparkSession
     place = F.monotonically_increasing_id()  # partition above bit 33, row below
-    marked = stored(df.select("*", place.alias("_place")), shared_dir(spark, "rows"))
-    part = F.shiftright("_place", 33)
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = marked.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = stored(counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), "_n"),
-                     shared_dir(spark, "row-offsets"))
-    total = offsets.agg(F.sum("_n")).first()[0] or 0
+    rows = shared_dir(spark, "rows")
+    marked = stored(df.select("*", place.alias("_place")), rows)
+    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    found = marked.select(name.alias("_name"), "_place").groupBy("_name").agg(
+        F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n")).orderBy("_first").collect()
+    total = sum(r["_n"] for r in found)
     size = max(1, -(-total // num_files) if total >= num_files else total)
-    numbered = marked.join(offsets.drop("_n"), part == F.col("_part")).withColumn(
-        "_row", F.col("_before") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)))
-    dealt = numbered.repartitionById(max(1, -(-total // size)), F.expr(f"CAST(_row DIV {size} AS INT)")).sortWithinPartitions("_row")
-    dealt.select(*df.columns).write.mode("overwrite").parquet(path)
+    runs: list[list[DataFrame]] = [[] for _ in range(-(-total // size))]
+    before = 0
+    for r in found:
+        whole = spark.read.schema(marked.schema).parquet(f"{rows}/{r['_name']}")
+        for k in range(before // size, (before + r["_n"] - 1) // size + 1):
+            a, b = max(0, k * size - before), min(r["_n"], (k + 1) * size - before)
+            cut = whole if b - a == r["_n"] else whole.where(F.col("_place").between(r["_first"] + a, r["_first"] + b - 1))
+            runs[k].append(cut.select(*df.columns))
+        before += r["_n"]
+    out = _union([_union(run).coalesce(1) for run in runs] or [marked.select(*df.columns).coalesce(1)])
+    with _setting(spark, "spark.sql.unionOutputPartitioning", "false"):  # or tables of one partition each become one partition
+        out.write.mode("overwrite").parquet(path)
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    """All rows of the tables in their order; by halves, so that no part of a long plan is analysed often."""
+    if len(tables) == 1:
+        return tables[0]
+    half = len(tables) // 2
+    return _union(tables[:half]).union(_union(tables[half:]))
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:

@@ -4,10 +4,11 @@ import glob
 import uuid
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame as Classic
 
 from carepulse.session import shared_dir
 from carepulse.sources import files, jdbc, tables
-from helpers import rows
+from helpers import plan_of, rows
 
 
 @pytest.fixture
@@ -120,3 +121,31 @@ def test_jdbc_options():
     options = jdbc.jdbc_options("jdbc:x", "sales.t", split, extra={"user": "u"})
     assert options["dbtable"] == "sales.t" and options["numPartitions"] == "8" and options["user"] == "u"
     assert options["pushDownPredicate"] == "true" and "partitionColumn" not in jdbc.jdbc_options("jdbc:x", "t")
+
+
+def test_part_files_are_written_without_sort_or_shuffle_of_rows(spark, tmp_path):
+    """Runs over many partitions, some empty and one large, of odd column types; the writer holds no rows."""
+    df = spark.range(0, 4000, 1, 9).where("id < 100 OR id >= 1500").selectExpr("id", "array(id) AS many", "IF(id % 7 = 0, NULL, concat('n', id)) AS name")
+    for asked in (1, 3, 50):
+        path = str(tmp_path / f"out{asked}")
+        files.write_parquet_files(df, path, asked)
+        size = -(-2600 // asked)
+        runs = [[tuple(r) for r in spark.read.parquet(f).collect()] for f in parts(path)]
+        assert sorted(map(len, runs), reverse=True) == [min(size, 2600 - a) for a in range(0, 2600, size)]
+        assert [r for run in sorted(runs) for r in run] == [tuple(r) for r in df.collect()]
+    empty = str(tmp_path / "empty")
+    files.write_parquet_files(df.where("id < 0"), empty, 3)
+    assert len(parts(empty)) == 1 and spark.read.parquet(empty).count() == 0
+    plans = written_plans(lambda: files.write_parquet_files(df, str(tmp_path / "last"), 3))
+    assert plans and "Exchange" not in plans[-1] and "Sort" not in plans[-1]
+
+
+def written_plans(action):
+    """Plans of the Parquet writes that happen in ``action``, in order."""
+    plans, before = [], Classic.write
+    Classic.write = property(lambda df: plans.append(plan_of(df)) or before.fget(df))
+    try:
+        action()
+    finally:
+        Classic.write = before
+    return plans
