@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterator
 from pathlib import Path
@@ -18,6 +19,9 @@ from ..sources.files import stored
 BATCH_BYTES = 4 << 20
 
 
+#: Settings of Python workers: Arrow buffers go back to the system when they are freed, not to a pool of each idle worker.
+WORKER_ENV = {"ARROW_DEFAULT_MEMORY_POOL": "system"}
+
 #: Where this package was imported from.
 _ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -25,6 +29,7 @@ _ROOT = str(Path(__file__).resolve().parents[2])
 def bounded_batches(spark: SparkSession) -> None:
     """Limit what Spark sends to a Python worker at once by rows and by bytes, and let
     workers import this package from where the driver has it (--py-files elsewhere).
+    Workers give memory back by WORKER_ENV.
 
     Shuffle files of a finished query are removed with it: each step below
     leaves its rows in the shared folder, so later steps never go back to them.
@@ -32,11 +37,21 @@ def bounded_batches(spark: SparkSession) -> None:
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, _ROOT]))
+    for name, value in WORKER_ENV.items():
+        spark.sparkContext.environment.setdefault(name, value)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 * BATCH_BYTES))
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
+def give_back() -> None:
+    """Return what this worker has freed to the system, where its C library can (glibc)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def keep(df: DataFrame, purpose: str) -> DataFrame:
     """Write to a new shared folder and read back, so that lost executors cost no earlier work."""
     return stored(df, shared_dir(df.sparkSession, purpose))

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import bounded_batches, keep, record, slices
+from .tokens import forget
 from .words import Words, split_words
 
 #: Words looked at have a one. Between them they find any stretch of seven words or more with one word in five replaced.
@@ -188,6 +189,7 @@ def _segments(rows: DataFrame, masks: list[str], bits: int, bitmap: bytes) -> Da
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         known = np.frombuffer(shared.value, np.uint8)
         below = np.uint64((1 << bits) - 1)
         row = done = 0

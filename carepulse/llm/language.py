@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .batches import bounded_batches, keep, raw_bytes, record, slices, texts
+from .tokens import forget
 from .words import sample
 
 #: Hashed features, and the place of runs that cross the end of a text.
@@ -64,6 +65,7 @@ def ngrams(column: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
 
 def _train(table: pa.Table) -> pa.Table:
     """Weights of one machine: squared hinge loss with a quadratic penalty, by accelerated descent."""
+    forget()
     a, b = table["pair"][0].as_py().split("\t")
     x = np.zeros((table.num_rows, FEATURES + 1), np.float32)
     for i in range(table.num_rows):
@@ -240,6 +242,7 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     names_out = [k if c != text_col else "text" for k, c in carried.items()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         machines = pickle.loads(shared.value)
         keys = list(machines)
         weights = np.zeros((FEATURES + 1, max(1, len(keys))), np.float32)

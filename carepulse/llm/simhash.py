@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from .batches import bounded_batches, keep, record, slices, texts
 from .components import components
+from .tokens import forget
 
 SEED = 42
 #: bit values of every byte, most significant first
@@ -61,6 +62,7 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in slices(batches, limit=1 << 20):
             for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
                 lists = [shingle_hashes(t, words) for t in texts(part).cast(pa.binary()).to_pylist()]

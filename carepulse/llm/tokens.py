@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .batches import raw_bytes, texts
+from .batches import give_back, raw_bytes, texts
 
 #: Words that a Python worker remembers at most (twice over), and the longest of them.
 REMEMBERED, LONGEST = 400_000, 32
@@ -114,6 +114,13 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def forget() -> None:
+    """Drop the worker's encoders with all words, up to some hundred MB: other work that the worker is reused for has no use for them."""
+    if encoder.cache_info().currsize:
+        encoder.cache_clear()
+        give_back()
+
+
 def encode_with_end(path: str, batch: pa.RecordBatch, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the batch's texts, id ``end`` after each, and the n + 1 offsets. Ids are as wide as the vocabulary needs."""
     ids, offsets = encoder(path).encode(texts(batch))

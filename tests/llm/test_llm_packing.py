@@ -110,3 +110,25 @@ def test_token_files_of_odd_documents(spark, tokenizer):
     assert sorted((int(i) if i == i else -1, tuple(x)) for i, x in zip(out.doc_id, out.ids)) == want
     assert all(c == zlib.crc32(np.array(x, "<u4").tobytes()) for c, x in zip(out.ids_crc32, out.ids))
     assert bitpack.read_ids(bitpack.write_ids(odd_docs(spark, []), PATH, 1)).count() == 0
+
+
+def test_other_work_of_a_worker_drops_its_words():
+    import carepulse.llm.language as language
+    import carepulse.llm.tokens as tokens
+
+    for work in (tokens.forget, lambda: language._train(pa.table({"pair": ["a\tb"] * 2, "side": ["a", "b"], "text": ["some text", "mehr Text"]}))):
+        tokens.encoder(PATH).encode(pa.array(["words to remember"]))
+        assert tokens.encoder.cache_info().currsize == 1
+        work()
+        assert tokens.encoder.cache_info().currsize == 0
+
+
+def test_workers_give_arrow_memory_back(spark):
+    from carepulse.llm.batches import bounded_batches
+
+    def pool(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"pool": [pa.default_memory_pool().backend_name] * batch.num_rows})
+
+    bounded_batches(spark)
+    assert {r[0] for r in spark.range(4).mapInArrow(pool, "pool string").collect()} == {"system"}
