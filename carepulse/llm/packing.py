@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import bounded_batches, keep, record, slices
-from .tokens import encode_with_end
+from .tokens import encoded
 
 #: Pieces that one task packs: enough for gaps of every size to meet what fills them.
 GROUP = 20_000
@@ -66,8 +66,7 @@ def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int, end: int, id_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
-        for batch in slices(batches, limit=2 << 20):
-            ids, offsets = encode_with_end(tokenizer, batch, end)
+        for batch, ids, offsets in encoded(tokenizer, slices(batches, limit=2 << 20), end):
             pieces = -(-np.diff(offsets) // capacity)
             owner = np.repeat(np.arange(batch.num_rows), pieces)
             number = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)

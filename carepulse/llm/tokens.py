@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import os
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -114,6 +115,13 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def encoded(path: str, batches: Iterator[pa.RecordBatch], end: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Each batch with its ids and offsets (:func:`encode_with_end`); what the task has freed is given back at its end."""
+    for batch in batches:
+        yield batch, *encode_with_end(path, batch, end)
+    give_back()
+
+
 def forget() -> None:
     """Drop the worker's encoders with all words, up to some hundred MB: other work that the worker is reused for has no use for them."""
     if encoder.cache_info().currsize:
